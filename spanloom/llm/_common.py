@@ -37,10 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: lineage ends here, the rows are computed once,
-    and a lost executor costs no more than the read of its files."""
+    and a lost executor costs no more than the read of its files. The shuffle files behind it go as soon as the driver
+    has collected its garbage, which is asked for here."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ the order of (key, content) equal zones stand side by side, which is what a suff
 
 Documents come in batches. A batch's array is sorted and merge-scanned against the levels that stand; zones whose key
 holds one content only are settled at once: all but the first are repeats. Keys that hold several contents (a passage
-in different surroundings) go on to a scan of their single strings. Levels of about equal size merge, so that there
+in different surroundings) go on to a comparison of their single strings. Levels of about equal size merge, so that there
 are never more than a logarithmic number of them.
 
 No key gathers its rows in one task: what repeats within a block of a task is settled there, so that a key has at most
@@ -40,6 +40,9 @@ CHUNK = 60_000
 #: Entries that a task settles at a time.
 BLOCK = 1_500_000
 
+#: Most zones of a key that are compared in one group.
+GROUP = 256
+
 #: Kinds of rows: an entry of an array; sign that a key holds several contents; a zone whose strings must be looked at
 #: one by one; a repeat.
 ZONE, MARK, OPEN, REPEAT = 0, 1, 2, 3
@@ -104,17 +107,13 @@ def zones(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def strings_of(data: bytes, start: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, key, content) of the single strings of these zones; key and content are independent hashes."""
-    found = []
-    text = np.frombuffer(data, dtype=np.uint8)
-    for base in np.unique(start // CHUNK) * CHUNK:
-        here = (start // CHUNK) * CHUNK == base
-        part = text[base : base + CHUNK + WIDTH - 1]
-        at = np.concatenate([np.arange(s, s + n) for s, n in zip(start[here] - base, strings[here], strict=True)])
-        key, content = (_mix((sums[at + WIDTH] - sums[at]) * _POWERS[i + 1][at]) for i, sums in ((0, _sums(part, 0)), (2, _sums(part, 2))))
-        found.append((at + base, key, content | _U(1)))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+def strings_of(zone: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(key, content) of the single strings of a zone's bytes; they are independent hashes."""
+    part = np.frombuffer(zone, dtype=np.uint8)
+    at = np.arange(len(part) - WIDTH + 1)
+    sums = [_sums(part, 0), _sums(part, 2)]
+    key, content = (_mix((x[at + WIDTH] - x[at]) * _POWERS[i][at]) for i, x in zip((1, 3), sums, strict=True))
+    return key, content | _U(1)
 
 
 def variant_of(data: bytes) -> int:
@@ -123,8 +122,8 @@ def variant_of(data: bytes) -> int:
 
 def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarray, last: bool) -> pd.DataFrame:
     """Settles one block: of equal (key, content) all but the first are repeats; where a key is left with several
-    contents, its entries are opened and dealt by their place, and one sign stays with the key. last: single strings,
-    of which different contents say nothing about each other."""
+    contents, its entries are opened and dealt by their place (content then holds their key), and one sign stays with
+    the key. last: single strings, of which different contents say nothing about each other."""
     order = np.lexsort((at, doc, content, key))
     key, content, doc, at = key[order], content[order], doc[order], at[order]
     first = np.ones(len(key), bool)
@@ -140,6 +139,7 @@ def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarra
         kind[np.flatnonzero(first)[several]] = OPEN
         marks = np.unique(k[several])
     spread = _mix(doc.view(_U) ^ _mix(at.view(_U)))
+    content = np.where(kind == OPEN, key, content)
     key = np.where(kind == ZONE, key, spread)
     return pd.DataFrame(
         {
@@ -151,20 +151,20 @@ def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarra
     )
 
 
-def _blocks(batches: Iterator[pd.DataFrame], entries, last: bool) -> Iterator[pd.DataFrame]:
-    """entries(row) gives (start, strings, key, content) of a document; they are settled by blocks."""
+def _packed(variant: int, start: np.ndarray | int, strings: np.ndarray | int):
+    return variant << 52 | start << 12 | strings << 4
+
+
+def _blocks(parts: Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]], last: bool) -> Iterator[pd.DataFrame]:
+    """Settles (key, content, doc, at) of documents or zones by blocks."""
     held, n = [], 0
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            data = (row.text or "").encode("utf-8", "surrogatepass")
-            variant = variant_of(data)
-            start, strings, key, content = entries(row, data, variant)
-            if len(start):
-                held.append((key, content, np.full(len(start), row.doc, np.int64), np.int64(variant << 52) | start.astype(np.int64) << 12 | np.asarray(strings, np.int64) << 4))
-                n += len(start)
-            if n >= BLOCK:
-                yield settled(*map(np.concatenate, zip(*held, strict=True)), last)
-                held, n = [], 0
+    for key, content, doc, at in parts:
+        if len(key):
+            held.append((key, content, np.full(len(key), doc, np.int64), at))
+            n += len(key)
+        if n >= BLOCK:
+            yield settled(*map(np.concatenate, zip(*held, strict=True)), last)
+            held, n = [], 0
     if held:
         yield settled(*map(np.concatenate, zip(*held, strict=True)), last)
 
@@ -172,10 +172,14 @@ def _blocks(batches: Iterator[pd.DataFrame], entries, last: bool) -> Iterator[pd
 def suffix_array(docs: DataFrame) -> DataFrame:
     """The entries of a batch (columns doc, text)."""
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _blocks(batches, lambda row, data, variant: zones(data), last=False)
+    def parts(batches: Iterator[pd.DataFrame]):
+        for batch in batches:
+            for doc, text in zip(batch["doc"], batch["text"], strict=True):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                start, strings, key, content = zones(data)
+                yield key, content, doc, _packed(variant_of(data), start.astype(np.int64), strings.astype(np.int64))
 
-    return docs.select("doc", "text").mapInPandas(entries, ROWS)
+    return docs.select("doc", "text").mapInPandas(lambda batches: _blocks(parts(batches), last=False), ROWS)
 
 
 def _kind(at: str = "at") -> Column:
@@ -236,24 +240,70 @@ class SuffixLevels:
             self.levels[-2:] = [(m + n, both)]
 
 
-def _single_strings(docs: DataFrame, opened: DataFrame) -> DataFrame:
-    """The strings of the opened zones, as rows to scan."""
-    by_doc = opened.groupBy("doc").agg(F.collect_set("at").alias("zones"))
+def zone_bytes(docs: DataFrame, opened: DataFrame) -> DataFrame:
+    """(key, doc, at, zone): the bytes of the opened zones (columns key, doc, at)."""
+    by_doc = opened.groupBy("doc").agg(F.collect_set(F.struct("at", "key")).alias("zones"))
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def strings(row, data: bytes, variant: int):
-            packed = np.asarray(row.zones, dtype=np.int64)
-            packed = packed[packed >> 52 == variant]
-            start, n = packed >> 12 & ((1 << 40) - 1), packed >> 4 & 255
-            good = start + n - 1 + WIDTH <= len(data)
-            if not good.any():
-                return (np.zeros(0, np.int64),) * 4
-            at, key, content = strings_of(data, start[good], n[good])
-            return at, np.ones(len(at), np.int64), key, content
-
-        yield from _blocks(batches, strings, last=True)
-
-    return docs.join(by_doc, "doc").select("doc", "text", "zones").mapInPandas(entries, ROWS)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, text, found in zip(batch["doc"], batch["text"], batch["zones"], strict=True):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                variant = variant_of(data)
+                for zone in found:
+                    at = zone["at"]
+                    start, n = at >> 12 & ((1 << 40) - 1), at >> 4 & 255
+                    if at >> 52 == variant and start + n + WIDTH - 1 <= len(data):
+                        out.append((zone["key"], doc, at, data[start : start + n + WIDTH - 1]))
+            yield pd.DataFrame(out, columns=["key", "doc", "at", "zone"])
+
+    return docs.join(by_doc, "doc").select("doc", "text", "zones").mapInPandas(cut, "key long, doc long, at long, zone binary")
+
+
+def _group_repeats(members: list) -> list[tuple[int, int]]:
+    """The runs (doc, at) of strings of these zones that an earlier zone of the group, or string of the zone, has."""
+    seen: set[bytes] = set()
+    runs = []
+    for doc, at, zone in sorted((m["doc"], m["at"], m["zone"]) for m in members):
+        start, base = None, at >> 12 & ((1 << 40) - 1)
+        count = len(zone) - WIDTH + 1
+        for i in range(count + 1):
+            known = i < count and (string := bytes(zone[i : i + WIDTH])) in seen
+            if known and start is None:
+                start = i
+            elif not known and start is not None:
+                runs.append((doc, _packed(at >> 52, base + start, i - start) | REPEAT))
+                start = None
+            if i < count and not known:
+                seen.add(string)
+    return runs
+
+
+def string_repeats(zones_: DataFrame) -> DataFrame:
+    """(doc, at): repeated strings within opened zones, from zone_bytes().
+
+    Equal strings lie in zones of equal key. Keys of up to GROUP zones are settled key by key; the strings of larger
+    ones are rows of their own, settled by block and then by minimum.
+    """
+    sizes = zones_.groupBy("key").agg(F.count("*").alias("n"))
+    sized = zones_.join(sizes, "key")
+    groups = sized.where(F.col("n") <= GROUP).groupBy("key").agg(F.collect_list(F.struct("doc", "at", "zone")).alias("members"))
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([run for members in batch["members"] for run in _group_repeats(members)], columns=["doc", "at"], dtype="int64")
+
+    def parts(batches: Iterator[pd.DataFrame]):
+        for batch in batches:
+            for doc, at, zone in zip(batch["doc"], batch["at"], batch["zone"], strict=True):
+                key, content = strings_of(zone)
+                start = (at >> 12 & ((1 << 40) - 1)) + np.arange(len(key), dtype=np.int64)
+                yield key, content, doc, _packed(at >> 52, start, 1)
+
+    small = groups.select("members").mapInPandas(settle, "doc long, at long")
+    large = sized.where(F.col("n") > GROUP).select("doc", "at", "zone").mapInPandas(lambda batches: _blocks(parts(batches), last=True), ROWS)
+    late = (_kind() == REPEAT) | ((_kind() == ZONE) & ~F.col("first"))
+    return small.unionByName(merge_scan(large, []).where(late).select("doc", "at"))
 
 
 def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -267,9 +317,10 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         found = scan if found is None else found.unionByName(scan)
     zone = _kind() == ZONE
     opened = (_kind() == OPEN) | (zone & F.col("several") & F.col("first"))
-    strings = merge_scan(_single_strings(docs, found.where(opened).select("doc", "at")), [])
-    late = (_kind() == REPEAT) | ((_kind() == ZONE) & ~F.col("first"))
-    return found.where(late).select("doc", "at").unionByName(strings.where(late).select("doc", "at"))
+    key = F.when(_kind() == OPEN, F.col("content")).otherwise(F.col("key")).alias("key")
+    texts = materialise(zone_bytes(docs, found.where(opened).select(key, "doc", "at")), "zones")
+    late = (_kind() == REPEAT) | (zone & ~F.col("first"))
+    return found.where(late).select("doc", "at").unionByName(string_repeats(texts))
 
 
 def covered(data: bytes, packed: np.ndarray) -> np.ndarray:
