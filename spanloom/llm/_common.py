@@ -43,17 +43,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
 
 
-def discard(df: DataFrame) -> None:
-    """Removes a table that materialise() wrote and nothing reads any more."""
-    sc = df.sparkSession.sparkContext
-    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for path in paths:
-        if path.startswith(shared_dir(df.sparkSession)) or shared_dir(df.sparkSession).endswith(path.split(":")[-1].rsplit("/", 1)[0]):
-            p = sc._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+def discard(table: DataFrame) -> None:
+    """Removes a table of materialise() that nothing reads any more."""
+    sc = table.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def running_totals(df: DataFrame, group: list[str], order: list[str | Column], value: str, out: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, documents, materialise
+from spanloom.llm._common import bounded_batches, discard, documents, materialise
 
 #: Bytes of a repeated string, and of the gram that it is filed under.
 WIDTH, GRAM = 100, 24
@@ -194,7 +194,7 @@ def merge_scan(array: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """
     rows = array.withColumn("fresh", F.lit(True))
     for level in levels:
-        rows = rows.unionByName(level.select("key", "content", "doc", "at").withColumn("fresh", F.lit(False)))
+        rows = rows.unionByName(level.withColumn("fresh", F.lit(False)))
     equal, key = Window.partitionBy("key", "content"), Window.partitionBy("key")
     place = F.struct("doc", "at")
     return rows.withColumns(
@@ -227,17 +227,24 @@ class SuffixLevels:
         scanned = merge_scan(suffix_array(docs), [x for _, x in self.levels])
         if not keep:
             return materialise(scanned.where(_found()), "scan")
-        scanned = materialise(scanned.where(_new_in_level() | _found()), "scan")
-        level = scanned.where(_new_in_level())
+        both = materialise(scanned.where(_new_in_level() | _found()), "scan")
+        found, level = materialise(both.where(_found()), "scan"), materialise(both.where(_new_in_level()).select("key", "content", "doc", "at"), "level")
+        discard(both)
         self.levels.append((level.count(), level))
-        return scanned.where(_found())
+        return found
+
+    def drop(self) -> None:
+        """Removes the levels' tables."""
+        while self.levels:
+            discard(self.levels.pop()[1])
 
     def _merge(self) -> None:
         """Merges the newest two levels while the older is less than twice the newer."""
         while len(self.levels) > 1 and self.levels[-2][0] < 2 * self.levels[-1][0]:
             (m, a), (n, b) = self.levels[-2:]
-            both = materialise(a.select("key", "content", "doc", "at").unionByName(b.select("key", "content", "doc", "at")), "level")
-            self.levels[-2:] = [(m + n, both)]
+            self.levels[-2:] = [(m + n, materialise(a.unionByName(b), "level"))]
+            discard(a)
+            discard(b)
 
 
 def zone_bytes(docs: DataFrame, opened: DataFrame) -> DataFrame:
@@ -315,6 +322,7 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         batch = docs.where((F.lit(True) if low is None else F.col("doc") > low) & (F.lit(True) if high is None else F.col("doc") <= high))
         scan = family.add(batch, keep=i < len(edges) - 2)
         found = scan if found is None else found.unionByName(scan)
+    family.drop()
     zone = _kind() == ZONE
     opened = (_kind() == OPEN) | (zone & F.col("several") & F.col("first"))
     key = F.when(_kind() == OPEN, F.col("content")).otherwise(F.col("key")).alias("key")
