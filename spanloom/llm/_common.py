@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Columns of the documents table, in order.
@@ -55,20 +56,24 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def running_totals(df: DataFrame, group: list[str], order: list[str | Column], value: str, out: str) -> DataFrame:
-    """Adds `out`: the exclusive running total of `value` (long) in each group, along `order`.
+def running(df: DataFrame, group: list[str], order: list[str], value: str, out: str, how: Callable = F.sum) -> DataFrame:
+    """Adds `out`: `how` (sum or max) of `value` over the rows before each one in its group, along `order`; null for
+    the first.
 
-    No task ever holds a group: rows are dealt by range of (group, order), each range is summed, the sums of the
-    ranges before are added. The ranges are fixed by writing them out once. Group columns must not be null.
+    No task ever holds a group: rows are dealt by range of (group, order), each range is combined, and so are the
+    ranges before. The ranges are fixed by writing them out once. Group columns must not be null.
     """
     ranged = df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id())
     ranged = materialise(ranged, "ranges")
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        ranged.groupBy(*group, "_part")
-        .agg(F.sum(value).alias("_in_range"))
-        .select(*group, "_part", F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_in_ranges_before"))
-    )
+    ranges = ranged.groupBy(*group, "_part").agg(how(value).alias("_in_range"))
+    ranges = ranges.select(*group, "_part", how("_in_range").over(before).alias("_in_ranges_before"))
     inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("_in_ranges_before") + F.coalesce(F.sum(value).over(inside), F.lit(0))
-    return ranged.join(ranges, [*group, "_part"]).withColumn(out, total).drop("_part", "_in_ranges_before")
+    here, ahead = how(value).over(inside), F.col("_in_ranges_before")
+    both = F.when(here.isNull(), ahead).when(ahead.isNull(), here).otherwise(here + ahead if how is F.sum else F.greatest(here, ahead))
+    return ranged.join(ranges, [*group, "_part"]).withColumn(out, both).drop("_part", "_in_ranges_before")
+
+
+def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """running() sums, 0 for the first row of a group."""
+    return running(df, group, order, value, out).withColumn(out, F.coalesce(out, F.lit(0)))
