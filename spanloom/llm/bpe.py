@@ -129,8 +129,9 @@ class PieceEncoder:
                     n += m
                     ids.append(i)
                     decoded.append(d)
-        for p in [p for p in self.new if len(p) > self.leaf]:  # long pieces aren't kept
-            del self.new[p]
+            for p in part:
+                if len(p) > self.leaf:  # long pieces aren't kept
+                    self.new.pop(p, None)
         return n, " ".join(ids), " ".join(decoded)
 
 
