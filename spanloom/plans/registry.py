@@ -503,3 +503,6 @@ def _(spark, sf):
   SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, s""")
 def _(spark, sf):
     return W.sessions(S.table(spark, sf, "events"))
+
+
+from spanloom.plans import alignment  # noqa: E402, F401 (adds its queries)
