@@ -3,11 +3,13 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
 from spanloom.functions.signal import active_rms, si_sdr_db, snr_db
 from spanloom.functions.text import _forms, _salvage
+from spanloom.operators import alignment as L
 from spanloom.operators import folds
 from spanloom.operators import intervals as I
 from spanloom.plans.registry import ORACLES, QUERIES
@@ -17,11 +19,11 @@ SF = "/root/testdata/sf0.001"
 
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    cell = lambda x: None if x is None or x != x else round(float(x), 5) if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)
+    cell = lambda x: None if x is None or x is pd.NA or x != x else round(float(x), 5) if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)
     return sorted((tuple(map(cell, r)) for r in frame.itertuples(index=False)), key=repr)
 
 
-@pytest.mark.parametrize("name", ["f01_normalize_turns", "j01_overlaps", "j04_other_speaker_overlap", "w01_merge_turns", "w04_cleanup", "w07_erode_boundaries", "a04_duration_loss", "a09_confusion", "a25_auroc", "a29_matched_point", "k07_disjoint_split", "x02_sessions"])
+@pytest.mark.parametrize("name", ["f01_normalize_turns", "j01_overlaps", "j04_other_speaker_overlap", "w01_merge_turns", "w04_cleanup", "w07_erode_boundaries", "a04_duration_loss", "a09_confusion", "a25_auroc", "a29_matched_point", "k07_disjoint_split", "x02_sessions", "j09_straddling_words", "j10_word_owners", "j13_safe_walls", "w06_consensus", "w10_word_lock", "w22_dice", "a08_error_rates_given_names", "a30_cluster_bootstrap", "k14_drop_share"])
 def test_query_gives_what_sql_gives(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
@@ -72,3 +74,43 @@ def test_signal_features():
     tone = np.sin(2 * np.pi * 200 * t)
     assert abs(active_rms(tone) - 2**-0.5) < 0.01 and active_rms(np.zeros(5)) == 0
     assert si_sdr_db(2 * tone, tone) > 60 and snr_db(np.concatenate([tone, tone * 0.01])) > 30
+
+
+def test_two_labellings_against_every_instant(spark):
+    rng = random.Random(5)
+
+    def label(names):
+        return [("r", rng.choice(names), a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(14))]
+
+    ref, hyp, names = label("abc"), label("xyz"), {"a": "x", "b": "y"}
+    frame = lambda rows: spark.createDataFrame(rows, "recording_id string, speaker_id string, start_us long, end_us long")
+    mapping = spark.createDataFrame([("r", k, v) for k, v in names.items()], "recording_id string, speaker_id string, mapped_from string")
+    want, agreed = dict.fromkeys(("speech_us", "missed_us", "false_us", "confusion_us"), 0), set()
+    for t in range(80):
+        a, b = ({s for _, s, u, v in rows if u <= t < v} for rows in (ref, hyp))
+        right = sum(names.get(s) in b for s in a)
+        want["speech_us"] += len(a)
+        want["missed_us"] += max(0, len(a) - len(b))
+        want["false_us"] += max(0, len(b) - len(a))
+        want["confusion_us"] += min(len(a), len(b)) - right
+        if len(a) == len(b) == right == 1:
+            agreed.add((t, *a))
+    got = L.error_rates(frame(ref), frame(hyp), mapping).collect()[0]
+    assert {k: got[k] for k in want} == want
+    found = L.consensus(frame(ref), frame(hyp), mapping).collect()
+    assert {(t, r.speaker_id) for r in found for t in range(r.start_us, r.end_us)} == agreed
+    assert L.error_rates(frame([]), frame(hyp), mapping).count() == 0
+
+
+def test_share_is_taken_exactly_and_by_lowest_hash(spark):
+    rows = [(i, f"{i * 7919 % 4096:03x}{i:04x}") for i in range(101)]
+    kept = {r.i for r in L.drop_share(spark.createDataFrame(rows, "i long, h string"), "h", 0.25).collect()}
+    assert kept == {i for i, _ in sorted(rows, key=lambda r: r[1])[25:]}
+    assert L.drop_share(spark.createDataFrame([], "i long, h string"), "h", 0.25).count() == 0
+
+
+def test_walls_touch_and_are_missing_at_the_ends(spark):
+    data = [("r", 0, "a", 0, 5), ("r", 1, "b", 5, 8), ("r", 2, "b", 9, 12), ("r", 3, "a", 12, 20)]
+    turns = spark.createDataFrame(data, "recording_id string, turn_index int, speaker_id string, start_us long, end_us long")
+    got = {r.turn_index: (r.wall_before_us, r.wall_after_us) for r in L.safe_walls(turns).collect()}
+    assert got == {0: (None, 5), 1: (5, 12), 2: (5, 12), 3: (12, None)}
