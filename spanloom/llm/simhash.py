@@ -125,12 +125,13 @@ def near_links(fps: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def near_components(rows: DataFrame, fp: str = "fp", doc_id: str = "doc_id") -> DataFrame:
-    """(fp, component_id): the smallest doc_id that is reachable over links from each distinct fingerprint."""
+    """(fp, root, component_id): the smallest fingerprint and the smallest doc_id that are reachable over links from each
+    distinct fingerprint. component_id is null where no document of the component has a doc_id; root never is."""
     least = materialise(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("least")), "fingerprints")
     roots = connected_components(near_links(least.select("fp")), "a", "b")
     rooted = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(component, "root").select("fp", "component_id")
+    return rooted.join(component, "root").select("fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
@@ -146,13 +147,14 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """Keeps one document of each component: that of the smallest doc_id (of the smallest text hash, where rows share
-    one), with its columns as they are. Rows that are alike in doc_id and text count as one."""
+    one), with its columns as they are; a null doc_id stands behind all others. Rows that are alike in doc_id and text count as one."""
     bounded_batches(docs.sparkSession)
     given = docs.columns
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_key"), fingerprint(F.col("text")).alias("fp"))
     rows = materialise(rows, "simhash")
     rows = rows.join(near_components(rows), "fp")
-    first = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("_first")).select(F.col("_first._key").alias("_key"))
+    place = F.struct(F.col("doc_id").isNull().alias("_last"), "doc_id", "_key")
+    first = rows.groupBy("root").agg(F.min(place).alias("_first")).select(F.col("_first._key").alias("_key"))
     kept = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(first, "_key")
     others = [F.col(c) for c in given if c not in ("doc_id", "text")] or [F.lit(0)]
     copy = F.row_number().over(Window.partitionBy("_key").orderBy(*others))

@@ -114,6 +114,13 @@ def test_covering_masks_miss_no_pair_and_groups_split_exactly(spark, monkeypatch
     assert got == {f: find(i) for i, f in enumerate(fps)}
 
 
+def test_near_copies_without_an_id_are_kept_apart(spark):
+    texts = ["one text of a house by the sea", "quite another one about trains and snow", "the third speaks of bread"]
+    rows = [(None, x) for x in texts[:2]] + [(None, texts[2]), (7, texts[2]), (4, texts[2])]
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text, r.doc_id) for r in got) == sorted([(texts[0], None), (texts[1], None), (texts[2], 4)])
+
+
 def cut_by_force(texts):
     seen, out = set(), {}
     for d, t in texts:
