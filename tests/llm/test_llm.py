@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 bpe = pytest.importorskip("spanloom.llm.bpe")
-from spanloom.llm import language, mixing, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts  # noqa: E402
+from spanloom.llm import language, mixing, nearcopies, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double"
 LONG = "the long text of a house and of many words. " * 400
@@ -121,6 +121,29 @@ def test_near_copies_without_an_id_are_kept_apart(spark):
     assert sorted((r.text, r.doc_id) for r in got) == sorted([(texts[0], None), (texts[1], None), (texts[2], 4)])
 
 
+def edited(rng, words, share):
+    return [rng.choice("abcdefgh") * 3 if rng.random() < share else w for w in words]
+
+
+@pytest.mark.parametrize("group", [1024, 8])
+def test_near_copies_of_five_words_and_four_fifths_are_those_of_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(nearcopies, "GROUP", group)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    bases = [[rng.choice(vocabulary) for _ in range(150)] for _ in range(6)]
+    texts = [" ".join(edited(rng, rng.choice(bases), rng.choice([0, 0.01, 0.02, 0.03, 0.06]))) for _ in range(160)]
+    texts += ["", None, " ", "a b", "A  b", "a b c"]
+    sets = [nearcopies.shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])):
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in nearcopies.drop_near_copies(docs).collect()} == set(root)
+
+
 def cut_by_force(texts):
     seen, out = set(), {}
     for d, t in texts:
