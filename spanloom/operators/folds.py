@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -65,34 +63,30 @@ def plan_segments(turns: DataFrame, frames: DataFrame, frame_us: int, most_frame
 
 
 def best_assignment(weights: np.ndarray) -> list[tuple[int, int]]:
-    """Rows to columns, one to one, of the largest total weight; only pairs of positive weight. Dynamic programming over
-    sets of the smaller side while that has up to 12 members, greedy by weight with pairwise exchange beyond."""
-    w = weights if weights.shape[0] <= weights.shape[1] else weights.T
+    """Rows to columns, one to one, of the largest total weight; only pairs of positive weight. Hungarian method: each
+    row in turn takes its column along a shortest path of reduced costs."""
+    w = np.maximum(weights if weights.shape[0] <= weights.shape[1] else weights.T, 0)
     m, n = w.shape
-    if m <= 12:
-        best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-        for j in range(n):
-            for mask, (value, pairs) in list(best.items()):
-                for i in range(m):
-                    if not mask >> i & 1 and w[i, j] > 0:
-                        now = (value + w[i, j], (*pairs, (i, j)))
-                        if now[0] > best.get(mask | 1 << i, (-1.0,))[0]:
-                            best[mask | 1 << i] = now
-        pairs = list(max(best.values())[1])
-    else:
-        pairs, rows, cols = [], set(), set()
-        for i, j in sorted(itertools.product(range(m), range(n)), key=lambda x: -w[x]):
-            if w[i, j] > 0 and i not in rows and j not in cols:
-                pairs.append((i, j))
-                rows.add(i)
-                cols.add(j)
-        better = True
-        while better:
-            better = False
-            for x, y in itertools.combinations(range(len(pairs)), 2):
-                (i, j), (k, o) = pairs[x], pairs[y]
-                if w[i, o] + w[k, j] > w[i, j] + w[k, o] + 1e-12:
-                    pairs[x], pairs[y], better = (i, o), (k, j), True
+    of_row, of_col = np.zeros(m + 1), np.zeros(n + 1)
+    owner = np.zeros(n + 1, dtype=int)  # 1-based; column 0 holds the row that looks for a place
+    for row in range(1, m + 1):
+        owner[0], at = row, 0
+        least, back, done = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int), np.zeros(n + 1, dtype=bool)
+        while owner[at]:
+            done[at] = True
+            cost = np.append(np.inf, -w[owner[at] - 1] - of_row[owner[at]] - of_col[1:])
+            nearer = ~done & (cost < least)
+            least[nearer], back[nearer] = cost[nearer], at
+            following = int(np.argmin(np.where(done, np.inf, least)))
+            step = least[following]
+            of_row[owner[done]] += step
+            of_col[done] -= step
+            least[~done] -= step
+            at = following
+        while at:
+            owner[at] = owner[back[at]]
+            at = back[at]
+    pairs = [(int(owner[j]) - 1, j - 1) for j in range(1, n + 1) if owner[j] and w[owner[j] - 1, j - 1] > 0]
     return sorted(pairs if weights.shape[0] <= weights.shape[1] else [(j, i) for i, j in pairs])
 
 

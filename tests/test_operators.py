@@ -58,6 +58,22 @@ def test_assignment_is_the_best_of_all():
         assert sum(w[i, j] for i, j in folds.best_assignment(w)) == best
 
 
+def test_assignment_of_many_speakers_is_the_best_of_all():
+    three_cycles = np.kron(np.eye(5), np.array([[5, 6, 0], [0, 5, 6], [6, 0, 5]])) + 0.0
+    rng = np.random.default_rng(2)
+    for w in [three_cycles, *(rng.integers(0, 9, (13, n)).astype(float) for n in (13, 15, 15)), np.array([[9.0] * 14] * 13)]:
+        best = {0: 0.0}
+        for row in w.T if w.shape[1] > w.shape[0] else w:
+            for mask, value in list(best.items()):
+                for j in range(len(row)):
+                    if not mask >> j & 1:
+                        best[mask | 1 << j] = max(best.get(mask | 1 << j, 0.0), value + row[j])
+        for x in (w, w.T):
+            found = folds.best_assignment(x)
+            assert sum(x[i, j] for i, j in found) == max(best.values())
+            assert len({i for i, _ in found}) == len({j for _, j in found}) == len(found)
+
+
 def test_split_takes_the_least_frame_nearest_the_middle():
     assert folds.split_at_minimum(0, np.full(6, 0.9), 3, 0.5) == [(0, 6, False)]
 
