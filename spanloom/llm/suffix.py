@@ -18,7 +18,6 @@ one row from each block, however many documents share a passage.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, discard, documents, materialise
+from spanloom.llm._common import bounded_batches, discard, documents, materialise, running_totals
 
 #: Bytes of a repeated string, and of the gram that it is filed under.
 WIDTH, GRAM = 100, 24
@@ -49,8 +48,10 @@ ZONE, MARK, OPEN, REPEAT = 0, 1, 2, 3
 
 ROWS = "key long, content long, doc long, at long"
 
-#: `at` holds variant (11 bits, tells apart rows of one doc_id), start (40), strings (8) and kind (4).
+#: `at` holds variant (20 bits, counts the different texts of one doc_id), start (31, a text's bytes), strings (8) and
+#: kind (4).
 NO_DOC = -(1 << 63)
+VARIANTS = 1 << 20
 
 _U = np.uint64
 
@@ -116,10 +117,6 @@ def strings_of(zone: bytes) -> tuple[np.ndarray, np.ndarray]:
     return key, content | _U(1)
 
 
-def variant_of(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=2).digest(), "big") & 0x7FF
-
-
 def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarray, last: bool) -> pd.DataFrame:
     """Settles one block: of equal (key, content) all but the first are repeats; where a key is left with several
     contents, its entries are opened and dealt by their place (content then holds their key), and one sign stays with
@@ -152,7 +149,11 @@ def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarra
 
 
 def _packed(variant: int, start: np.ndarray | int, strings: np.ndarray | int):
-    return variant << 52 | start << 12 | strings << 4
+    return variant << 43 | start << 12 | strings << 4
+
+
+def _start(at):
+    return at >> 12 & ((1 << 31) - 1)
 
 
 def _blocks(parts: Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]], last: bool) -> Iterator[pd.DataFrame]:
@@ -170,22 +171,25 @@ def _blocks(parts: Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]], las
 
 
 def suffix_array(docs: DataFrame) -> DataFrame:
-    """The entries of a batch (columns doc, text)."""
+    """The entries of a batch (columns doc, variant, text)."""
 
     def parts(batches: Iterator[pd.DataFrame]):
         for batch in batches:
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                start, strings, key, content = zones(data)
-                yield key, content, doc, _packed(variant_of(data), start.astype(np.int64), strings.astype(np.int64))
+            for doc, variant, text in zip(batch["doc"], batch["variant"], batch["text"], strict=True):
+                start, strings, key, content = zones((text or "").encode("utf-8", "surrogatepass"))
+                yield key, content, doc, _packed(variant, start.astype(np.int64), strings.astype(np.int64))
 
-    return docs.select("doc", "text").mapInPandas(lambda batches: _blocks(parts(batches), last=False), ROWS)
+    return docs.select("doc", "variant", "text").mapInPandas(lambda batches: _blocks(parts(batches), last=False), ROWS)
 
 
 def _kind(at: str = "at") -> Column:
     return F.col(at).bitwiseAND(F.lit(15))
 
 
+def _variant() -> Column:
+    return F.shiftright("at", 43).alias("variant")
+
+
 def merge_scan(array: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """Brings a new array and the standing levels into one order and looks at neighbours of equal key.
 
@@ -249,22 +253,20 @@ class SuffixLevels:
 
 def zone_bytes(docs: DataFrame, opened: DataFrame) -> DataFrame:
     """(key, doc, at, zone): the bytes of the opened zones (columns key, doc, at)."""
-    by_doc = opened.groupBy("doc").agg(F.collect_set(F.struct("at", "key")).alias("zones"))
+    by_doc = opened.groupBy("doc", _variant()).agg(F.collect_set(F.struct("at", "key")).alias("zones"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc, text, found in zip(batch["doc"], batch["text"], batch["zones"], strict=True):
                 data = (text or "").encode("utf-8", "surrogatepass")
-                variant = variant_of(data)
                 for zone in found:
                     at = zone["at"]
-                    start, n = at >> 12 & ((1 << 40) - 1), at >> 4 & 255
-                    if at >> 52 == variant and start + n + WIDTH - 1 <= len(data):
-                        out.append((zone["key"], doc, at, data[start : start + n + WIDTH - 1]))
+                    start, n = _start(at), at >> 4 & 255
+                    out.append((zone["key"], doc, at, data[start : start + n + WIDTH - 1]))
             yield pd.DataFrame(out, columns=["key", "doc", "at", "zone"])
 
-    return docs.join(by_doc, "doc").select("doc", "text", "zones").mapInPandas(cut, "key long, doc long, at long, zone binary")
+    return docs.join(by_doc, ["doc", "variant"]).select("doc", "text", "zones").mapInPandas(cut, "key long, doc long, at long, zone binary")
 
 
 def _group_repeats(members: list) -> list[tuple[int, int]]:
@@ -272,14 +274,14 @@ def _group_repeats(members: list) -> list[tuple[int, int]]:
     seen: set[bytes] = set()
     runs = []
     for doc, at, zone in sorted((m["doc"], m["at"], m["zone"]) for m in members):
-        start, base = None, at >> 12 & ((1 << 40) - 1)
+        start, base = None, _start(at)
         count = len(zone) - WIDTH + 1
         for i in range(count + 1):
             known = i < count and (string := bytes(zone[i : i + WIDTH])) in seen
             if known and start is None:
                 start = i
             elif not known and start is not None:
-                runs.append((doc, _packed(at >> 52, base + start, i - start) | REPEAT))
+                runs.append((doc, _packed(at >> 43, base + start, i - start) | REPEAT))
                 start = None
             if i < count and not known:
                 seen.add(string)
@@ -304,8 +306,8 @@ def string_repeats(zones_: DataFrame) -> DataFrame:
         for batch in batches:
             for doc, at, zone in zip(batch["doc"], batch["at"], batch["zone"], strict=True):
                 key, content = strings_of(zone)
-                start = (at >> 12 & ((1 << 40) - 1)) + np.arange(len(key), dtype=np.int64)
-                yield key, content, doc, _packed(at >> 52, start, 1)
+                start = _start(at) + np.arange(len(key), dtype=np.int64)
+                yield key, content, doc, _packed(at >> 43, start, 1)
 
     small = groups.select("members").mapInPandas(settle, "doc long, at long")
     large = sized.where(F.col("n") > GROUP).select("doc", "at", "zone").mapInPandas(lambda batches: _blocks(parts(batches), last=True), ROWS)
@@ -314,7 +316,8 @@ def string_repeats(zones_: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(doc, at) rows, each a run of repeated strings; docs has doc (not null) and text."""
+    """(doc, at) rows, each a run of repeated strings; docs has doc (not null), variant and text.
+    Each (doc, variant) is one row."""
     bounds = docs.select("doc").dropDuplicates().approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted({int(x) for x in bounds}), None]
     family, found = SuffixLevels(), None
@@ -333,15 +336,30 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 def covered(data: bytes, packed: np.ndarray) -> np.ndarray:
     """For each byte whether one of these runs covers it."""
-    packed = packed[packed >> 52 == variant_of(data)]
-    start, n = packed >> 12 & ((1 << 40) - 1), packed >> 4 & 255
+    start, n = _start(packed), packed >> 4 & 255
     edge = np.zeros(len(data) + 1, np.int64)
-    good = start + n - 1 + WIDTH <= len(data)
-    np.add.at(edge, start[good], 1)
-    np.add.at(edge, (start + n - 1 + WIDTH)[good], -1)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + n - 1 + WIDTH, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Adds doc and variant, one pair for each (doc_id, text), in the order of doc_id and of a text hash.
+
+    Only rows that share a doc_id or have none need a number; the written table holds those alone, and is empty where
+    doc_id is a key. Null ids begin at NO_DOC, VARIANTS of them to a number.
+    """
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_DOC)).alias("_id"), F.xxhash64("text").alias("_text"))
+    shared = materialise(rows.groupBy("_id").agg(F.count("*").alias("n"), F.count("doc_id").alias("given")).where("n > 1 OR given < n").select("_id"), "shared")
+    several = rows.join(shared, "_id").groupBy("_id", "_text").agg((F.count("doc_id") == 0).alias("_none")).withColumn("_one", F.lit(1))
+    ranked = running_totals(several, ["_id"], ["_text"], "_one", "_rank")
+    wide = F.col("_rank") >= VARIANTS
+    doc = F.when(F.col("_none"), F.col("_id") + F.floor(F.col("_rank") / VARIANTS)).when(wide, F.raise_error(F.lit("too many texts of one doc_id"))).otherwise(F.col("_id"))
+    ranked = materialise(ranked.select("_id", "_text", doc.cast("long").alias("_doc"), (F.col("_rank") % VARIANTS).alias("_variant")), "variants")
+    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_DOC)), "_text": F.xxhash64("text")}).join(ranked, ["_id", "_text"], "left")
+    return keyed.withColumns({"doc": F.coalesce("_doc", "_id"), "variant": F.coalesce("_variant", F.lit(0)).cast("long"), "_several": F.col("_doc").isNotNull()}).drop("_id", "_text", "_doc", "_variant")
+
+
 def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The documents with columns n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary: what stays).
 
@@ -351,8 +369,10 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     given = [c for c in docs.columns if c != "text"]
-    keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_DOC)))
-    runs = repeats(keyed.select("doc", "text"), batches).groupBy("doc").agg(F.collect_set("at").alias("runs"))
+    keyed = numbered(docs)
+    rows = keyed.select("doc", "variant", "text", "_several")
+    once = rows.where("NOT _several").unionByName(rows.where("_several").dropDuplicates(["doc", "variant"])).drop("_several")
+    runs = repeats(once, batches).groupBy("doc", _variant()).agg(F.collect_set("at").alias("runs"))
 
     def cut(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, found in series:
@@ -368,7 +388,7 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
             yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
     cut_udf = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept binary")
-    return keyed.join(runs, "doc", "left").select(*given, cut_udf("text", "runs").alias("_cut")).select(*given, "_cut.*")
+    return keyed.join(runs, ["doc", "variant"], "left").select(*given, cut_udf("text", "runs").alias("_cut")).select(*given, "_cut.*")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:

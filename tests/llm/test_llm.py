@@ -7,6 +7,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 bpe = pytest.importorskip("spanloom.llm.bpe")
 from spanloom.llm import language, mixing, nearcopies, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts  # noqa: E402
 
@@ -175,6 +177,23 @@ def test_repeats_are_those_of_brute_force(spark, monkeypatch, group):
         assert got == want
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_and_unnumbered_rows_lose_what_brute_force_says(spark, parts):
+    rng = random.Random(6)
+    words = ["alpha", "beta", "gamma", "délta", "of", "the"]
+    own = lambda n: " ".join(rng.choices(words, k=n))
+    shared = own(40)
+    rows = [(1, own(50)), (2, shared + own(20)), (None, own(60)), (None, shared), (5, own(30) + shared), (6, "short")]
+    rows += [(None, own(30)) for _ in range(90)] + [(3, own(30)) for _ in range(5)] + [(3, shared), (None, None), (6, None)]
+    docs = spark.createDataFrame(rows + rows[:12] + rows[-4:], "doc_id long, text string").repartition(parts)
+    place = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(place, key=lambda x: (x[0] is not None, x[0] or 0, place[x]))
+    want = cut_by_force([((d, t), t) for d, t in order])
+    got = suffix.without_repeats(docs.withColumn("copy_of", F.col("text"))).collect()
+    assert len(got) == len(rows) + 16
+    assert all((r.n_removed, bytes(r.kept)) == want[r.doc_id, r.copy_of] for r in got)
+
+
 def test_tree_concatenation_is_exact():
     e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"), leaf=32)
     rng = random.Random(5)
