@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Columns of the documents table, in order.
@@ -21,7 +21,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches of whole texts small, so that a worker's memory doesn't follow their length."""
+    """Bounds Arrow batches of whole texts in rows; Spark bounds them in bytes as well (maxBytesPerBatch, 64 MB unless
+    set), so that a worker's memory doesn't follow the length of texts. The setting is the session's and stays, since
+    plans are run after the operators return."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -49,11 +51,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(sc._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def discard(table: DataFrame) -> None:
     """Removes a table of materialise() that nothing reads any more."""
-    sc = table.sparkSession.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(table.written_to)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    remove(table.sparkSession, table.written_to)
+
+
+def column(name: str) -> Column:
+    """A column by its plain name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def running(df: DataFrame, group: list[str], order: list[str], value: str, out: str, how: Callable = F.sum) -> DataFrame:

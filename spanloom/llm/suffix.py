@@ -1,23 +1,28 @@
 """Removal of repeated passages by a logarithmic family of sparse suffix arrays.
 
 A byte goes if a string of WIDTH bytes that covers it also starts earlier in the corpus. Indexing every suffix would
-take tens of bytes for each byte of text, so the arrays are sparse. Every string of WIDTH bytes belongs to the one of
-its grams (GRAM bytes) that hashes lowest; equal strings choose the same gram at the same place, so it is enough to
-keep, for each chosen gram, one suffix entry that stands for the run of strings that chose it (a zone, about every
-39th byte). An entry holds the gram's hash as sort key, a hash of the zone's whole content, and where it starts. In
-the order of (key, content) equal zones stand side by side, which is what a suffix array is used for here.
-
-Documents come in batches. A batch's array is sorted and merge-scanned against the levels that stand; zones whose key
-holds one content only are settled at once: all but the first are repeats. Keys that hold several contents (a passage
-in different surroundings) go on to a comparison of their single strings. Levels of about equal size merge, so that there
-are never more than a logarithmic number of them.
+take tens of bytes for each byte of text, so the arrays are sparse: of each string of WIDTH bytes one core of CORE bytes
+is sampled by the mod-minimizer scheme (Groot Koerkamp and Pibiri, 2024): its gram of GRAM bytes that hashes lowest fixes
+the place of the core. Equal strings sample the same core at the same place. So it is enough to keep, for each sampled
+core, one suffix entry that stands for the run of neighbouring strings that sampled it (a zone, about every 26th byte).
+An entry holds the core's hash as sort key, a hash of the zone's whole content, and where it starts. In the order of
+(key, content) equal zones stand side by side, which is what a suffix array is used for here. Two zones are taken for
+equal if both 64-bit hashes, which are of different bytes and bases, agree.
+
+Documents come in batches of ascending doc_id. A batch's array is sorted and merge-scanned against the levels that stand;
+zones whose key holds one content only are settled at once: all but the first are repeats. Keys that hold several contents
+(a passage of CORE bytes or more in different surroundings) go on to a comparison of their single strings. Levels of about
+equal size merge, so that there are never more than a logarithmic number of them. A level is a table that is bucketed and
+sorted by key: a batch is shuffled into the levels' buckets once, and levels are neither shuffled again by a scan nor by a
+merge.
 
 No key gathers its rows in one task: what repeats within a block of a task is settled there, so that a key has at most
-one row from each block, however many documents share a passage.
+one row of each content from each block, however many documents share a passage.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, discard, documents, materialise, running_totals
+from spanloom.llm._common import bounded_batches, column, discard, documents, materialise, remove, running_totals, shared_dir
 
-#: Bytes of a repeated string, and of the gram that it is filed under.
-WIDTH, GRAM = 100, 24
+#: Bytes of a repeated string, of the core that it is filed under, and of the gram that fixes the core's place. A core
+#: begins at its gram or HALF bytes before it, so that the string holds the whole core in either case.
+WIDTH, CORE = 100, 62
+HALF = WIDTH - CORE + 1
+GRAM = CORE % HALF
 
-#: Batches that a corpus comes in.
-BATCHES = 2
+#: Batches that a corpus comes in: the first two levels merge before the third is scanned.
+BATCHES = 4
 
 #: Window starts that are hashed at a time; positions within fit in 16 bits.
 CHUNK = 60_000
@@ -93,16 +101,19 @@ def zones(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     text = np.frombuffer(data, dtype=np.uint8)
     for base in range(0, max(0, len(text) - WIDTH + 1), CHUNK):
         part = text[base : base + CHUNK + WIDTH - 1]
-        sums = _sums(part, 0)
+        sums, other = _sums(part, 0), _sums(part, 2)
         grams = len(part) - GRAM + 1
         hashes = _mix((sums[GRAM:] - sums[:-GRAM]) * _POWERS[1][:grams])
         low = _lowest((hashes & ~_U(0xFFFF)) | np.arange(grams, dtype=_U), WIDTH - GRAM + 1)
-        start = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        gram = (low & _U(0xFFFF)).astype(np.int64)
+        core = np.where(gram - np.arange(len(low)) >= HALF, gram - HALF, gram)
+        start = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
         strings = np.diff(np.append(start, len(low)))
-        gram = (low[start] & _U(0xFFFF)).astype(np.int64)
-        whole = (sums[start + strings - 1 + WIDTH] - sums[start]) * _POWERS[1][start]
-        content = _mix(whole ^ _mix(strings.astype(_U) << _U(16) | (gram - start).astype(_U))) | _U(1)
-        found.append((start + base, strings, hashes[gram], content))
+        at = core[start]
+        key = _mix((sums[at + CORE] - sums[at]) * _POWERS[1][at])
+        whole = (other[start + strings - 1 + WIDTH] - other[start]) * _POWERS[3][start]
+        content = _mix(whole ^ _mix(strings.astype(_U) << _U(16) | (at - start).astype(_U))) | _U(1)
+        found.append((start + base, strings, key, content))
     if not found:
         return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, _U))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -210,6 +221,7 @@ def merge_scan(array: DataFrame, levels: list[DataFrame]) -> DataFrame:
 
 
 def _new_in_level() -> Column:
+    """Entries that a level keeps: the first of each content, and signs."""
     return F.col("fresh") & ((_kind() == MARK) | ((_kind() == ZONE) & F.col("first")))
 
 
@@ -218,37 +230,64 @@ def _found() -> Column:
     return _kind().isin(OPEN, REPEAT) | (zone & F.col("several")) | (zone & ~F.col("first"))
 
 
+class Level:
+    """A table in the shared folder that is bucketed and sorted by key."""
+
+    def __init__(self, rows: DataFrame, buckets: int) -> None:
+        spark = rows.sparkSession
+        self.name = f"level_{uuid.uuid4().hex}"
+        self.path = f"{shared_dir(spark)}/{self.name}"
+        write = rows.write.option("path", self.path).option("compression", "zstd").bucketBy(buckets, "key").sortBy("key", "content")
+        write.saveAsTable(self.name)
+        self.table = spark.table(self.name)
+
+    def entries(self) -> DataFrame:
+        """What later batches are scanned against."""
+        return self.table.where(_new_in_level()).select("key", "content", "doc", "at")
+
+    def drop(self) -> None:
+        self.table.sparkSession.sql(f"DROP TABLE {self.name}")
+        remove(self.table.sparkSession, self.path)
+
+
 class SuffixLevels:
     """The family of arrays: add() scans a batch against the levels and takes it in."""
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int) -> None:
+        self.buckets = min(buckets, 100_000)
         self.levels: list[tuple[int, DataFrame]] = []
+        self.tables: list[Level | DataFrame] = []
 
     def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
         """What the batch's scan found: repeats, and zones whose strings must be looked at one by one. keep=False
-        where no batch follows: the batch isn't taken in."""
+        where no batch follows: the batch isn't taken in. Documents of later batches must stand behind those of
+        earlier ones."""
         self._merge()
-        scanned = merge_scan(suffix_array(docs), [x for _, x in self.levels])
+        array = suffix_array(docs).repartition(self.buckets, "key")
+        scanned = merge_scan(array, [x for _, x in self.levels])
         if not keep:
-            return materialise(scanned.where(_found()), "scan")
-        both = materialise(scanned.where(_new_in_level() | _found()), "scan")
-        found, level = materialise(both.where(_found()), "scan"), materialise(both.where(_new_in_level()).select("key", "content", "doc", "at"), "level")
-        discard(both)
-        self.levels.append((level.count(), level))
-        return found
+            self.tables.append(materialise(scanned.where(_found()), "scan"))
+            return self.tables[-1]
+        level = Level(scanned.where(_new_in_level() | _found()), self.buckets)
+        self.tables.append(level)
+        self.levels.append((level.entries().count(), level.entries()))
+        return level.table.where(_found())
 
     def drop(self) -> None:
-        """Removes the levels' tables."""
-        while self.levels:
-            discard(self.levels.pop()[1])
+        """Removes all tables, and with them what the scans found."""
+        self.levels = []
+        while self.tables:
+            table = self.tables.pop()
+            table.drop() if isinstance(table, Level) else discard(table)
 
     def _merge(self) -> None:
         """Merges the newest two levels while the older is less than twice the newer."""
         while len(self.levels) > 1 and self.levels[-2][0] < 2 * self.levels[-1][0]:
             (m, a), (n, b) = self.levels[-2:]
-            self.levels[-2:] = [(m + n, materialise(a.unionByName(b), "level"))]
-            discard(a)
-            discard(b)
+            marked = {"fresh": F.lit(True), "first": F.lit(True), "several": F.lit(False)}
+            level = Level(a.unionByName(b).withColumns(marked), self.buckets)
+            self.tables.append(level)
+            self.levels[-2:] = [(m + n, level.entries())]
 
 
 def zone_bytes(docs: DataFrame, opened: DataFrame) -> DataFrame:
@@ -318,20 +357,24 @@ def string_repeats(zones_: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc, at) rows, each a run of repeated strings; docs has doc (not null), variant and text.
     Each (doc, variant) is one row."""
-    bounds = docs.select("doc").dropDuplicates().approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+    spark = docs.sparkSession
+    bounds = docs.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted({int(x) for x in bounds}), None]
-    family, found = SuffixLevels(), None
+    family, found = SuffixLevels(int(spark.conf.get("spark.sql.shuffle.partitions"))), None
     for i, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
         batch = docs.where((F.lit(True) if low is None else F.col("doc") > low) & (F.lit(True) if high is None else F.col("doc") <= high))
-        scan = family.add(batch, keep=i < len(edges) - 2)
+        scan = family.add(batch, keep=i < len(edges) - 2).select("key", "content", "doc", "at", "first", "several")
         found = scan if found is None else found.unionByName(scan)
-    family.drop()
     zone = _kind() == ZONE
     opened = (_kind() == OPEN) | (zone & F.col("several") & F.col("first"))
     key = F.when(_kind() == OPEN, F.col("content")).otherwise(F.col("key")).alias("key")
     texts = materialise(zone_bytes(docs, found.where(opened).select(key, "doc", "at")), "zones")
     late = (_kind() == REPEAT) | (zone & ~F.col("first"))
-    return found.where(late).select("doc", "at").unionByName(string_repeats(texts))
+    runs = found.where(late).select("doc", "at").unionByName(string_repeats(texts))
+    runs = materialise(runs.groupBy("doc", _variant()).agg(F.collect_set("at").alias("runs")), "runs")
+    family.drop()
+    discard(texts)
+    return runs
 
 
 def covered(data: bytes, packed: np.ndarray) -> np.ndarray:
@@ -360,19 +403,14 @@ def numbered(docs: DataFrame) -> DataFrame:
     return keyed.withColumns({"doc": F.coalesce("_doc", "_id"), "variant": F.coalesce("_variant", F.lit(0)).cast("long"), "_several": F.col("_doc").isNotNull()}).drop("_id", "_text", "_doc", "_variant")
 
 
-def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """The documents with columns n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary: what stays).
-
-    Null texts count as empty and lose nothing, like all texts under 100 bytes. A null doc_id stands before all
-    others. Rows that share a doc_id are one document if their texts are equal (neither is then a repeat of the
-    other); if not, they count as different ones in a fixed order. Other columns pass through.
-    """
+def _cut_all(docs: DataFrame, batches: int) -> DataFrame:
+    """doc_id, row (a struct of the other columns but text), had_text, n_bytes, n_removed, n_spans and kept."""
     bounded_batches(docs.sparkSession)
-    given = [c for c in docs.columns if c != "text"]
-    keyed = numbered(docs)
+    others = [column(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = numbered(docs.select("doc_id", "text", F.struct(*others or [F.lit(0)]).alias("row")))
     rows = keyed.select("doc", "variant", "text", "_several")
     once = rows.where("NOT _several").unionByName(rows.where("_several").dropDuplicates(["doc", "variant"])).drop("_several")
-    runs = repeats(once, batches).groupBy("doc", _variant()).agg(F.collect_set("at").alias("runs"))
+    runs = repeats(once, batches)
 
     def cut(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, found in series:
@@ -388,19 +426,38 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
             yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
     cut_udf = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept binary")
-    return keyed.join(runs, ["doc", "variant"], "left").select(*given, cut_udf("text", "runs").alias("_cut")).select(*given, "_cut.*")
+    joined = keyed.join(runs, ["doc", "variant"], "left")
+    return joined.select("doc_id", "row", F.col("text").isNotNull().alias("had_text"), cut_udf("text", "runs").alias("_cut")).select("doc_id", "row", "had_text", "_cut.*")
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """The documents with columns n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary: what stays).
+
+    Null texts count as empty and lose nothing, like all texts under 100 bytes. A null doc_id stands before all
+    others. Rows that share a doc_id are one document if their texts are equal (neither is then a repeat of the
+    other); if not, they count as different ones in a fixed order. Other columns pass through, but for those with the
+    name of a result, which the result replaces.
+    """
+    results = ["n_bytes", "n_removed", "n_spans", "kept"]
+    given = [c for c in docs.columns if c not in ("text", *results)]
+    value = lambda c: F.col("doc_id") if c == "doc_id" else F.col("row").getField(c).alias(c)
+    return _cut_all(docs, batches).select(*map(value, given), *results)
+
+
+def drop_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The documents with repeated passages cut out of their texts; what a cut leaves of a character goes too.
-    Documents keep their row even if no text is left; a null text stays null."""
-    text_type = docs.withColumn("_null", F.col("text").isNull())
-    rest = without_repeats(text_type)
+    Documents keep their row even if no text is left; a null text stays null. n_chars follows the text; all other
+    columns stay as they are, whatever their names."""
     text = F.pandas_udf(lambda s: s.map(lambda x: x.decode("utf-8", "ignore")), "string")
-    new = rest.withColumn("text", F.when(~F.col("_null"), text("kept")))
-    if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return new.select(*docs.columns)
+    new = _cut_all(docs, batches).withColumn("text", F.when(F.col("had_text"), text("kept")))
+
+    def value(c: str) -> Column:
+        if c in ("doc_id", "text"):
+            return F.col(c)
+        old = F.col("row").getField(c)
+        return (F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(old) if c == "n_chars" else old).alias(c)
+
+    return new.select(*map(value, docs.columns))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
