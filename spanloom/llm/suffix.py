@@ -47,8 +47,8 @@ CHUNK = 60_000
 #: Entries that a task settles at a time.
 BLOCK = 1_500_000
 
-#: Most zones of a key that are compared in one group.
-GROUP = 256
+#: Most zones of a key that are compared in one group; strings in a part of a zone where a key has more.
+GROUP, STEP = 256, 10
 
 #: Kinds of rows: an entry of an array; sign that a key holds several contents; a zone whose strings must be looked at
 #: one by one; a repeat.
@@ -95,6 +95,15 @@ def _lowest(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
+def _cores(part: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Where the core of each string begins; sums are the part's _sums() of base 0."""
+    grams = len(part) - GRAM + 1
+    hashes = _mix((sums[GRAM:] - sums[:-GRAM]) * _POWERS[1][:grams])
+    low = _lowest((hashes & ~_U(0xFFFF)) | np.arange(grams, dtype=_U), WIDTH - GRAM + 1)
+    gram = (low & _U(0xFFFF)).astype(np.int64)
+    return np.where(gram - np.arange(len(low)) >= HALF, gram - HALF, gram)
+
+
 def zones(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, strings, key, content) of the zones of one text: each string of WIDTH bytes is in exactly one."""
     found = []
@@ -102,30 +111,38 @@ def zones(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     for base in range(0, max(0, len(text) - WIDTH + 1), CHUNK):
         part = text[base : base + CHUNK + WIDTH - 1]
         sums, other = _sums(part, 0), _sums(part, 2)
-        grams = len(part) - GRAM + 1
-        hashes = _mix((sums[GRAM:] - sums[:-GRAM]) * _POWERS[1][:grams])
-        low = _lowest((hashes & ~_U(0xFFFF)) | np.arange(grams, dtype=_U), WIDTH - GRAM + 1)
-        gram = (low & _U(0xFFFF)).astype(np.int64)
-        core = np.where(gram - np.arange(len(low)) >= HALF, gram - HALF, gram)
+        core = _cores(part, sums)
         start = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
-        strings = np.diff(np.append(start, len(low)))
+        strings = np.diff(np.append(start, len(core)))
         at = core[start]
         key = _mix((sums[at + CORE] - sums[at]) * _POWERS[1][at])
-        whole = (other[start + strings - 1 + WIDTH] - other[start]) * _POWERS[3][start]
-        content = _mix(whole ^ _mix(strings.astype(_U) << _U(16) | (at - start).astype(_U))) | _U(1)
-        found.append((start + base, strings, key, content))
+        found.append((start + base, strings, key, _content(other, start, strings, at - start)))
     if not found:
         return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, _U))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def strings_of(zone: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(key, content) of the single strings of a zone's bytes; they are independent hashes."""
+def _content(sums: np.ndarray, start: np.ndarray, strings: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """Hash of runs of strings, of their number and of the bytes before their core; sums are of base 2."""
+    whole = (sums[start + strings - 1 + WIDTH] - sums[start]) * _POWERS[3][start]
+    return _mix(whole ^ _mix(strings.astype(_U) << _U(16) | ahead.astype(_U))) | _U(1)
+
+
+def parts_of(zone: bytes, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, strings, key, content) of the parts of a zone's bytes. Strings of one zone differ in how many bytes they
+    have before the core; a part holds those with as many, to the next multiple of step, and its key is the hash of all
+    bytes that such strings share."""
     part = np.frombuffer(zone, dtype=np.uint8)
-    at = np.arange(len(part) - WIDTH + 1)
-    sums = [_sums(part, 0), _sums(part, 2)]
-    key, content = (_mix((x[at + WIDTH] - x[at]) * _POWERS[i][at]) for i, x in zip((1, 3), sums, strict=True))
-    return key, content | _U(1)
+    sums, other = _sums(part, 0), _sums(part, 2)
+    core = int(_cores(part[:WIDTH], sums[: WIDTH + 1])[0])
+    ahead = core - np.arange(len(part) - WIDTH + 1)
+    kind = ahead // step
+    start = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
+    strings = np.diff(np.append(start, len(ahead)))
+    low = kind[start] * step
+    begin, end = core - low, core - np.minimum(low + step, HALF) + 1 + WIDTH
+    key = _mix((sums[end] - sums[begin]) * _POWERS[1][begin] ^ _mix(low.astype(_U) + _U(step << 8)))
+    return start, strings, key, _content(other, start, strings, ahead[start])
 
 
 def settled(key: np.ndarray, content: np.ndarray, doc: np.ndarray, at: np.ndarray, last: bool) -> pd.DataFrame:
@@ -327,11 +344,24 @@ def _group_repeats(members: list) -> list[tuple[int, int]]:
     return runs
 
 
-def string_repeats(zones_: DataFrame) -> DataFrame:
-    """(doc, at): repeated strings within opened zones, from zone_bytes().
+def _opened(found: DataFrame) -> DataFrame:
+    """(key, doc, at) of the zones or parts that a scan leaves open; at without a kind."""
+    opened = (_kind() == OPEN) | ((_kind() == ZONE) & F.col("several") & F.col("first"))
+    key = F.when(_kind() == OPEN, F.col("content")).otherwise(F.col("key")).alias("key")
+    return found.where(opened).select(key, "doc", (F.col("at") - _kind()).alias("at"))
+
+
+def _late(found: DataFrame) -> DataFrame:
+    """(doc, at) of what a scan found to be repeats."""
+    return found.where((_kind() == REPEAT) | ((_kind() == ZONE) & ~F.col("first"))).select("doc", "at")
+
+
+def string_repeats(zones_: DataFrame, step: int = STEP) -> DataFrame:
+    """(doc, at): repeated strings within opened zones (key, doc, at, zone).
 
-    Equal strings lie in zones of equal key. Keys of up to GROUP zones are settled key by key; the strings of larger
-    ones are rows of their own, settled by block and then by minimum.
+    Equal strings lie in zones of equal key. Keys of up to GROUP zones are settled key by key. The zones of larger ones
+    are cut into parts of up to `step` strings, which share more bytes and so have finer keys: they are settled by block
+    and by scan as zones are, and only those that stay open are looked at further, at last string by string.
     """
     sizes = zones_.groupBy("key").agg(F.count("*").alias("n"))
     sized = zones_.join(sizes, "key")
@@ -341,17 +371,35 @@ def string_repeats(zones_: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([run for members in batch["members"] for run in _group_repeats(members)], columns=["doc", "at"], dtype="int64")
 
+    def cut(zone: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(key, content, at, start within the zone) of its parts."""
+        start, strings, key, content = parts_of(zone, step)
+        return key, content, _packed(at >> 43, _start(at) + start.astype(np.int64), strings.astype(np.int64)), start
+
     def parts(batches: Iterator[pd.DataFrame]):
         for batch in batches:
             for doc, at, zone in zip(batch["doc"], batch["at"], batch["zone"], strict=True):
-                key, content = strings_of(zone)
-                start = _start(at) + np.arange(len(key), dtype=np.int64)
-                yield key, content, doc, _packed(at >> 43, start, 1)
+                key, content, places, _ = cut(zone, at)
+                yield key, content, doc, places
+
+    def part_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, at, zone in zip(batch["doc"], batch["at"], batch["zone"], strict=True):
+                key, _, places, start = cut(zone, at)
+                for k, place, i in zip(key.view(np.int64), places, start, strict=True):
+                    out.append((int(k), doc, int(place), zone[i : i + (place >> 4 & 255) + WIDTH - 1]))
+            yield pd.DataFrame(out, columns=["key", "doc", "at", "zone"])
 
     small = groups.select("members").mapInPandas(settle, "doc long, at long")
-    large = sized.where(F.col("n") > GROUP).select("doc", "at", "zone").mapInPandas(lambda batches: _blocks(parts(batches), last=True), ROWS)
-    late = (_kind() == REPEAT) | ((_kind() == ZONE) & ~F.col("first"))
-    return small.unionByName(merge_scan(large, []).where(late).select("doc", "at"))
+    large = sized.where(F.col("n") > GROUP).select("doc", "at", "zone")
+    if step == 1:
+        return small.unionByName(_late(merge_scan(large.mapInPandas(lambda batches: _blocks(parts(batches), last=True), ROWS), [])))
+    if large.isEmpty():
+        return small
+    found = materialise(merge_scan(large.mapInPandas(lambda batches: _blocks(parts(batches), last=False), ROWS), []), "parts")
+    finer = large.mapInPandas(part_bytes, "key long, doc long, at long, zone binary").join(_opened(found).distinct(), ["key", "doc", "at"])
+    return small.unionByName(_late(found)).unionByName(string_repeats(materialise(finer, "zones"), 1))
 
 
 def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -365,12 +413,8 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         batch = docs.where((F.lit(True) if low is None else F.col("doc") > low) & (F.lit(True) if high is None else F.col("doc") <= high))
         scan = family.add(batch, keep=i < len(edges) - 2).select("key", "content", "doc", "at", "first", "several")
         found = scan if found is None else found.unionByName(scan)
-    zone = _kind() == ZONE
-    opened = (_kind() == OPEN) | (zone & F.col("several") & F.col("first"))
-    key = F.when(_kind() == OPEN, F.col("content")).otherwise(F.col("key")).alias("key")
-    texts = materialise(zone_bytes(docs, found.where(opened).select(key, "doc", "at")), "zones")
-    late = (_kind() == REPEAT) | (zone & ~F.col("first"))
-    runs = found.where(late).select("doc", "at").unionByName(string_repeats(texts))
+    texts = materialise(zone_bytes(docs, _opened(found)), "zones")
+    runs = _late(found).unionByName(string_repeats(texts))
     runs = materialise(runs.groupBy("doc", _variant()).agg(F.collect_set("at").alias("runs")), "runs")
     family.drop()
     discard(texts)
