@@ -1,19 +1,28 @@
-"""BPE encoding and decoding of whole texts; long unsplit text is encoded by tree concatenation.
+"""BPE encoding and decoding of whole texts by tree concatenation.
 
-A space or line end separates pieces that the tokenizer encodes independently of each other, so a text is encoded piece
-by piece, with what was encoded lately kept at hand. A piece of more than LEAF characters (a long text without space)
-is halved until its parts are short; the parts are encoded on their own and joined pairwise up the tree: a window around
-each join is encoded again and grows until it agrees, in ids and places, with the left part on some tokens in a row and
-with the right part on others. Between agreeing tokens the window's encoding stands; beyond them each part's own does.
+A text of more than PART characters is halved, wherever the middle falls, until its parts are short; the parts are encoded
+on their own and joined pairwise up the tree. Around each join a window is encoded again and grows until it agrees exactly
+with the left part at its begin and with the right part at its end.
 
-A text of more than SPREAD characters is dealt out: its stretches are encoded by different tasks and joined in a
-second step, so that one very long document doesn't hold up one task for its whole encoding.
+A space or line end separates pieces that the tokenizer encodes independently of each other, so a part is a list of pieces,
+and the window of a join holds the cut piece with whole pieces on both sides, which must come out as the parts have them.
+What was encoded lately is kept at hand.
+
+A piece of more than LEAF characters (text without any space) is a tree of its own, whose windows must agree in ids and
+places on AGREE tokens in a row with either part; between agreeing tokens the window's encoding stands, beyond them each
+part's own does. That is exact: a sequence of tokens is the encoding of its text if each two neighbours are that of theirs
+(the merges of a pair never depend on what stands further off), and every pair of neighbours of the joined sequence is one
+of a part's or of the window's encoding, since at a seam at least two tokens in a row are common to both.
+
+A text of more than SPREAD characters is dealt out: its stretches are encoded in parallel by different tasks and joined in
+a second step, so that one very long document doesn't hold up one task for its whole encoding.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,11 +31,12 @@ from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents
 
-#: Characters of a part that is encoded at once, and tokens in a row that must agree on each side of a join.
-LEAF, AGREE = 1024, 4
+#: Characters of a part of a text, and of a part without a space, that is encoded at once; tokens in a row that must agree
+#: on each side of a join in the latter.
+PART, LEAF, AGREE = 4096, 1024, 4
 
 #: Characters of a stretch of a long document.
-SPREAD = 1 << 18
+SPREAD = 1 << 16
 
 #: Pieces that a worker keeps at hand (in two generations).
 KEPT = 150_000
@@ -42,14 +52,14 @@ def public_path(name: str) -> str:
 class PieceEncoder:
     """Encodes texts with one tokenizer file as its library does, without special tokens added."""
 
-    def __init__(self, path: str, leaf: int = LEAF) -> None:
+    def __init__(self, path: str, leaf: int = LEAF, part: int = PART) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.leaf = leaf
+        self.leaf, self.part = leaf, part
         self.token = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         self.new: dict[str, tuple[int, str, str]] = {}
         self.old: dict[str, tuple[int, str, str]] = {}
@@ -74,10 +84,11 @@ class PieceEncoder:
             i = next((k for k in range(len(left) - 1, -1, -1) if left[k][1] <= low), -1) if low > start else -1
             low = left[i][1] if i >= 0 else start
             window = self._placed(text[low:high], low)
-            head = self._meet(window, left, 0) if low > start else (0, 0)
-            tail = self._meet(window, right, head[0] if head else 0, backward=True) if high < end else (len(window), len(right))
+            i, j = max(i, 0), bisect_right(right, high, key=lambda x: x[1])
+            head = self._meet(window, left[i:], 0) if low > start else (0, -i)
+            tail = self._meet(window, right[:j], head[0] if head else 0, backward=True) if high < end else (len(window), len(right))
             if head is not None and tail is not None and head[0] <= tail[0]:
-                return left[: head[1]] + window[head[0] : tail[0]] + right[tail[1] :]
+                return left[: i + head[1]] + window[head[0] : tail[0]] + right[tail[1] :]
             if low == start and high == end:
                 return window
             reach *= 2
@@ -116,9 +127,35 @@ class PieceEncoder:
             if len(p) > self.leaf:
                 self.new[p] = self._entry([i for i, _, _ in self.tree(p)])
 
+    def _pieces(self, text: str) -> list[str]:
+        """The pieces of a text by tree concatenation; those that a join has put together are at hand."""
+        if len(text) <= self.part:
+            return text.split(" ")
+        middle = len(text) // 2
+        return self._joined(self._pieces(text[:middle]), self._pieces(text[middle:]))
+
+    def _joined(self, left: list[str], right: list[str]) -> list[str]:
+        cut, reach = left[-1] + right[0], 1
+        while len(cut) <= self.leaf:
+            head, tail = left[-1 - reach : -1], right[1 : 1 + reach]
+            if any(len(p) > self.leaf for p in (*head, *tail)):
+                break  # a space stands between; the long piece is a tree of its own
+            self._lookup({*head, *tail})
+            window = self.tokenizer.encode(" ".join([*head, cut, *tail]), add_special_tokens=False).ids
+            before, after = (" ".join(self.new[p][1] for p in ps if self.new[p][0]) for ps in (head, tail))
+            m, n = (sum(self.new[p][0] for p in ps) for ps in (head, tail))
+            n = len(window) - n
+            if " ".join(map(str, window[:m])) == before and " ".join(map(str, window[n:])) == after:
+                self.new[cut] = self._entry(window[m:n])
+                break
+            if reach >= max(len(left), len(right)):
+                raise ValueError("a space doesn't separate what this tokenizer encodes")
+            reach *= 2
+        return [*left[:-1], cut, *right[1:]]
+
     def encode(self, text: str) -> tuple[int, str, str]:
         """(tokens, ids joined by a space, the library's decoding of the ids)."""
-        pieces = text.replace("\n", " ").split(" ")
+        pieces = self._pieces(text.replace("\n", " "))
         n, ids, decoded = 0, [], []
         for at in range(0, len(pieces), KEPT):
             part = pieces[at : at + KEPT]
@@ -154,6 +191,8 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
     A null text counts as empty: no tokens, hashes of the empty string. Repeated rows each get a row; other columns
     are ignored. path: the tokenizer's file, at the same place on every machine.
     """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round long ids beside nulls
     bounded_batches(docs.sparkSession)
     more = ", ids string, decoded string" if texts else ""
 
@@ -186,10 +225,10 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
                     to = min(len(text), at + SPREAD)
                     space = text.rfind(" ", at + 1, to) if to < len(text) else -1
                     to = space + 1 if space > 0 else to
-                    yield pd.DataFrame({"doc_id": pd.array([doc], "Int64"), "key": [key], "k": [k], "text": [text[at:to]], "free": [space > 0 or to == len(text)]})
+                    yield pd.DataFrame({"doc_id": [doc], "key": [key], "k": [k], "text": [text[at:to]], "free": [space > 0 or to == len(text)]})
                     at, k = to, k + 1
 
-    long_docs = docs.where(long).select("doc_id", "text").mapInPandas(cut, "doc_id long, key string, k long, text string, free boolean")
+    long_docs = docs.where(long).select("doc_id", "text").mapInPandas(cut, "doc_id string, key string, k long, text string, free boolean")
     # stretches up to a space stand alone; those that aren't cut at a space are joined with what follows
     run = F.coalesce(F.sum(F.col("free").cast("long")).over(Window.partitionBy("doc_id", "key", "copy").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     long_docs = long_docs.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "key", "k").orderBy("free")))
@@ -204,7 +243,7 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
     placed = (
         runs.withColumn("joined", F.count("*").over(in_run) > 1)
         .repartition(F.xxhash64("doc_id", "key", "copy", "k"))
-        .mapInPandas(parts, "doc_id long, key string, k long, text string, free boolean, copy int, run long, joined boolean, tokens array<array<long>>")
+        .mapInPandas(parts, "doc_id string, key string, k long, text string, free boolean, copy int, run long, joined boolean, tokens array<array<long>>")
     )
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -222,11 +261,10 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
                 m, i, d = e._entry([x[0] for x in tokens])
             if m:
                 n, ids, decoded = n + m, [*ids, i], [*decoded, d]
-        doc = pdf.doc_id.iloc[0]
-        return pd.DataFrame([row((doc if pd.notna(doc) else None,), n, " ".join(ids), " ".join(decoded))], columns=["doc_id", *names]).astype({"doc_id": "Int64"})
+        return pd.DataFrame([row((pdf.doc_id.iloc[0],), n, " ".join(ids), " ".join(decoded))], columns=["doc_id", *names])
 
-    long_rows = placed.groupBy("doc_id", "key", "copy").applyInPandas(joined, f"doc_id long, {result}")
-    return short_rows.unionByName(long_rows)
+    long_rows = placed.groupBy("doc_id", "key", "copy").applyInPandas(joined, f"doc_id string, {result}")
+    return short_rows.unionByName(long_rows).withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
