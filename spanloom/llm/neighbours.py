@@ -1,9 +1,10 @@
 """Approximate nearest neighbours: NN-descent builds a neighbour graph, queries search it greedily.
 
-Nodes are the distinct vectors. The graph starts from random groups. Each round joins every node's neighbours and a
+Nodes are the distinct vectors; vectors of one length are compared with each other only. The graph starts from random
+groups, in which every node takes the others as neighbours, up to DEGREE. Each round joins every node's neighbours and a
 sample of the nodes that have it as neighbour with their vectors, compares them with each other (neighbours of
 neighbours), and keeps each node's DEGREE best. A round never lists a node's pairs: of one comparison a node gets the
-PROPOSALS best that beat its worst neighbour.
+PROPOSALS best that beat its worst neighbour. Rounds end when less than SETTLED of all neighbours are new, or after ROUNDS.
 
 A query starts at its own node. Each round looks at the STEP best nodes of its beam that it hasn't looked at, by a join
 of (query, node) with the graph, where a node carries its neighbours' vectors in eight bits a component, and keeps the
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 from spanloom.llm._common import discard, materialise
 
 #: Neighbours of a node and sample of the nodes that have it; proposals of one comparison; rounds of descent.
-DEGREE, REVERSE, PROPOSALS, ROUNDS = 36, 36, 4, 5
+DEGREE, REVERSE, PROPOSALS, ROUNDS = 36, 36, 4, 12
+
+#: Share of new neighbours in the graph under which a round is the last.
+SETTLED = 0.01
 
 #: Nodes that a query keeps and looks at in a round; rounds of search.
 BEAM, STEP, SEARCH_ROUNDS = 112, 48, 5
@@ -53,18 +57,18 @@ def _decode(codes: list[bytes]) -> np.ndarray:
 
 
 def nodes_of(vectors: DataFrame) -> DataFrame:
-    """(node, vector, code, members): distinct vectors, with the RESULTS + 1 smallest vec_id of each."""
+    """(node, vector, code, dim, members): distinct vectors, with their length and the RESULTS + 1 smallest vec_id of each."""
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).where(takes_part("vector") & F.col("vec_id").isNotNull()).distinct()
-    sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.where(F.size("vector") == (sizes.n if sizes else 0)).withColumn("node", F.xxhash64("vector"))
+    rows = rows.withColumn("node", F.xxhash64("vector"))
     order = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
     few = rows.withColumn("_n", order).where(F.col("_n") <= RESULTS + 1)
     grouped = few.groupBy("node").agg(F.array_sort(F.collect_list("vec_id")).alias("members"), F.first("vector").alias("vector"))
-    return grouped.withColumn("code", F.pandas_udf(_code, "binary")("vector"))
+    return grouped.withColumn("dim", F.size("vector")).withColumn("code", F.pandas_udf(_code, "binary")("vector"))
 
 
-def _compare(groups: DataFrame) -> DataFrame:
-    """(a, b, near) from groups (array members of node, code, worst): each member's best others that beat its worst."""
+def _compare(groups: DataFrame, most: int = PROPOSALS) -> DataFrame:
+    """(a, b, near) from groups (array members of node, code, worst): of each member the `most` best others that beat its
+    worst."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -78,7 +82,7 @@ def _compare(groups: DataFrame) -> DataFrame:
                 worst = np.fromiter((m["worst"] for m in members), np.float32, len(members))
                 near[near <= worst[:, None]] = -np.inf
                 np.fill_diagonal(near, -np.inf)
-                k = min(PROPOSALS, len(ids) - 1)
+                k = min(most, len(ids) - 1)
                 best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                 value = np.take_along_axis(near, best, 1)
                 good = value > -np.inf
@@ -106,13 +110,12 @@ def _around(graph: DataFrame) -> DataFrame:
 
 
 def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near) by NN-descent over nodes (node, code)."""
-    groups = max(1, nodes.count() // DEGREE)
-    parts = []
-    for seed in (1, 2):
-        group = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(groups))
-        parts.append(nodes.groupBy(group.alias("g")).agg(F.collect_list(F.struct("node", "code", F.lit(float("-inf")).cast("float").alias("worst"))).alias("members")))
-    graph = materialise(_best(_compare(parts[0].union(parts[1]))), "graph")
+    """(node, near) by NN-descent over nodes (node, code, dim)."""
+    groups = nodes.groupBy("dim").agg(F.greatest(F.lit(1), F.floor(F.count("*") / DEGREE)).alias("_groups"))
+    dealt = nodes.join(groups, "dim").withColumn("g", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_groups")))
+    members = dealt.groupBy("dim", "g").agg(F.collect_list(F.struct("node", "code", F.lit(float("-inf")).cast("float").alias("worst"))).alias("members"))
+    graph = materialise(_best(_compare(members, DEGREE)), "graph")
+    size = nodes.count()
     for _ in range(rounds):
         worst = F.when(F.size("near") >= DEGREE, F.col("near")[DEGREE - 1]["near"]).otherwise(F.lit(float("-inf"))).cast("float")
         known = nodes.select("node", "code").join(graph.select("node", worst.alias("worst")), "node")
@@ -120,8 +123,12 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         members = around.groupBy("c").agg(F.collect_list(F.struct("node", "code", "worst")).alias("members"))
         now = graph.select(F.col("node").alias("a"), F.explode("near").alias("_x")).select("a", F.col("_x.b").alias("b"), F.col("_x.near").alias("near"))
         after = materialise(_best(_compare(members).union(now)), "graph")
+        kept = after.select("node", F.col("near.b").alias("now")).join(graph.select("node", F.col("near.b").alias("was")), "node", "left")
+        new = kept.agg(F.sum(F.size(F.array_except("now", F.coalesce("was", F.array().cast("array<long>"))))).alias("n")).first().n
         discard(graph)
         graph = after
+        if not new or new < SETTLED * DEGREE * size:
+            break
     return graph
 
 
@@ -181,17 +188,15 @@ def nearest(vectors: DataFrame, results: int = RESULTS, every: int = EVERY) -> D
     """query_id, rank, vec_id, score: the `results` nearest rows found of each row whose vec_id `every` divides, by
     inner product in double precision, ties to the smaller vec_id.
 
-    Vectors that are null, zero, of another length than most, or that hold a null or non-finite component take no part,
-    nor do rows without vec_id. Repeated rows count once. Equal vectors share a node: all of them, as far as they can be
-    among a query's results, are found with it. Where there are no more vectors than a beam holds, all are found.
+    Vectors that are null, zero, or that hold a null or non-finite component take no part, nor do rows without vec_id. A
+    query's candidates are the vectors of its length. Repeated rows count once; other columns are ignored. Equal vectors
+    share a node: all of them, as far as they can be among a query's results, are found with it. Up to DEGREE + 1 distinct
+    vectors are all each other's neighbours, so that all are found.
     """
     nodes = materialise(nodes_of(vectors), "nodes")
     queries = vectors.where((F.col("vec_id") % every == 0) & takes_part()).select("vec_id", F.xxhash64(F.col("embedding").cast("array<double>")).alias("node")).distinct()
     queries = queries.join(nodes.select("node"), "node", "left_semi")
-    if nodes.count() <= BEAM:
-        beams = queries.select(F.col("node").alias("q")).distinct().join(F.broadcast(nodes.select(F.col("node").alias("id"))), F.lit(True))
-    else:
-        beams = search(queries, nodes, neighbour_graph(nodes.select("node", "code")))
+    beams = search(queries, nodes, neighbour_graph(nodes.select("node", "code", "dim")))
     pairs = beams.join(nodes.select(F.col("node").alias("q"), F.col("vector").alias("own")), "q").join(nodes.select(F.col("node").alias("id"), "vector", "members"), "id")
     score = F.aggregate(F.zip_with("own", "vector", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = pairs.select("q", "members", score.alias("score"))
