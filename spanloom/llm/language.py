@@ -23,6 +23,9 @@ from spanloom.llm._common import bounded_batches, documents
 #: n-grams of a profile; documents of each language that it is counted on; letters that are counted at a time.
 PROFILE, SAMPLE, CHUNK = 300, 2000, 1 << 20
 
+#: Code of a word edge; no letter has it.
+EDGE = 1
+
 UNKNOWN = "und"
 
 
@@ -33,18 +36,22 @@ def _letters() -> np.ndarray:
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams as packed code points, their counts) of one text, in order of n-gram; a run of other characters than
-    letters is one word edge."""
+    letters is one word edge, and so are both ends of the text. A long text is counted by chunks, each with the two codes
+    before it, so that the counts are those of the whole."""
     grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     lower = (text or "").lower()
+    before = np.array([EDGE], dtype=np.int64)
     for at in range(0, len(lower), CHUNK):
         codes = np.frombuffer(lower[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-        codes = np.where(_letters()[codes], codes, 0)
-        codes = np.concatenate([[0], codes, [0]])
-        codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-        pairs = codes[:-1] << 21 | codes[1:]
-        triples = pairs[:-1] << 21 | codes[2:]
-        triples = triples[codes[1:-1] != 0]  # none across an edge
-        found, n = np.unique(np.concatenate([codes[codes != 0], pairs, triples]), return_counts=True)
+        codes = np.where(_letters()[codes], codes, EDGE)
+        codes = np.concatenate([before, codes, [EDGE] if at + CHUNK >= len(lower) else []]).astype(np.int64)
+        codes = codes[np.concatenate([[True], (codes[1:] != EDGE) | (codes[:-1] != EDGE)])]
+        k = len(before)
+        singles = codes[k:][codes[k:] != EDGE]
+        pairs = (codes[:-1] << 21 | codes[1:])[k - 1 :]
+        triples = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[codes[1:-1] != EDGE] if k == 1 else (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[k - 2 :][codes[k - 1 : -1] != EDGE]
+        before = codes[-2:]
+        found, n = np.unique(np.concatenate([singles, pairs, triples]), return_counts=True)
         if len(grams):
             both, back = np.unique(np.concatenate([grams, found]), return_inverse=True)
             found, n = both, np.bincount(back, np.concatenate([counts, n])).astype(np.int64)
@@ -73,7 +80,7 @@ class Profiles:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): score is 1 less the distance in parts of the largest possible one."""
         own = profile(*gram_counts(text), self.size)
-        if not len(own) or not (own >> 21 == 0).any() or not self.names:
+        if not len(own) or not self.names:
             return UNKNOWN, 0.0
         place = np.arange(len(own))
         distances = []
@@ -116,7 +123,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Profiles:
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of docs; `und` with score 0 where a text is null or has no
-    letter, or where no language could be learned. Equal distances go to the first language by name."""
+    letter, or where no language could be learned. Equal distances go to the first language by name.
+
+    Repeated rows each get a row and count each time; a text of any length is counted whole; other columns than doc_id,
+    lang and text are ignored. The profiles, PROFILE n-grams a language, are held by the driver and every task."""
     bounded_batches(docs.sparkSession)
     profiles = learn(docs)
 
