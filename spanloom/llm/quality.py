@@ -5,7 +5,8 @@ Every line is good or bad. Its features, and those of the lines before and after
 line length, average to a raw score, which a logistic curve turns into the probability of label 1.
 
 The model is fitted on the driver on a bounded sample of labelled documents (SAMPLE of them, the lowest by hash, texts
-up to SAMPLE_BYTES each); a document's label stands for all its lines. Scoring reads every whole text.
+up to TEXT_BYTES each, as many as SAMPLE_BYTES hold together); a document's label stands for all its lines. Scoring reads
+every whole text.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents
 
-#: Most labelled documents, and most bytes of each, that the model is fitted on.
-SAMPLE, SAMPLE_BYTES = 4000, 200_000
+#: Most labelled documents, most bytes of each, and most bytes of all, that the model is fitted on.
+SAMPLE, TEXT_BYTES, SAMPLE_BYTES = 4000, 200_000, 24_000_000
 
 #: Score from which a document is accepted.
 ACCEPT = 0.3
@@ -190,11 +191,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
     """Fits the field on at most `sample` labelled documents that aren't held out. Of labels for one document that
-    contradict each other the lower counts; labels other than 0 and 1 are ignored."""
+    contradict each other the lower counts; labels other than 0 and 1 are ignored. Of different texts of one doc_id that
+    of the lowest hash counts."""
     known = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES)
-    rows = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "quality").collect()
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    texts = docs.select("doc_id", "text").where(size <= TEXT_BYTES).join(F.broadcast(known), "doc_id")
+    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text")).getField("text").alias("text"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # `sample` rows
+    rows = one.withColumn("_upto", F.sum(size.cast("long")).over(order)).where(F.col("_upto") <= SAMPLE_BYTES).collect()
     rows.sort(key=lambda r: r.doc_id)
     return fit_field([r.text for r in rows], [r.quality for r in rows])
 
@@ -210,7 +215,10 @@ def score(text: Column, field: LineField) -> Column:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs; a null text scores like an empty one."""
+    """doc_id, held_out, score, predicted for every row of docs; a null text scores like an empty one.
+
+    Equal texts have equal scores, whatever their other columns; repeated rows each get a row. A text of any length is
+    scored whole. Other columns are ignored."""
     bounded_batches(docs.sparkSession)
     field = train(docs, labels)
     rows = docs.select("doc_id", held_out().alias("held_out"), score(F.col("text"), field).alias("score"))
@@ -218,7 +226,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, as they are."""
+    """The documents that the classifier accepts, as they are, with all their columns; repeated rows stay."""
     bounded_batches(docs.sparkSession)
     return docs.where(score(F.col("text"), train(docs, labels)) >= ACCEPT)
 
