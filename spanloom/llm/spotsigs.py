@@ -14,10 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, documents
+from spanloom.llm._common import bounded_batches, documents, materialise
 
 #: Content words of a chain.
 CHAIN = 2
@@ -70,15 +70,27 @@ def _length_partition(n, least: float):
 
 def near_pairs(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(a, b, likeness): pairs of fingerprints (digests) of likeness `least` or more, between different sets; docs with
-    equal sets share their fingerprint (see fingerprints())."""
+    equal sets share their fingerprint (see fingerprints()).
+
+    A set's prefix are its rarest signatures, so many that two sets of enough likeness share one: common signatures bring
+    no candidates together. Sets meet by (signature, length partition) as ids and sizes; only candidates whose sizes
+    allow the likeness meet their signatures.
+    """
     sets = fingerprints(docs).where("n_signatures > 0").groupBy("fingerprint").agg(F.first("signatures").alias("s"), F.first("n_signatures").alias("n"))
-    prefix = (F.col("n") - F.ceil(F.col("n") * F.lit(least)) + 1).cast("int")
-    keyed = sets.select("fingerprint", "s", "n", _length_partition(F.col("n"), least).alias("part"), F.explode(F.slice("s", F.lit(1), prefix)).alias("sig"))
-    other = keyed.select(F.col("fingerprint").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb"), F.col("sig"), F.explode(F.array("part", F.col("part") + 1)).alias("part"))
-    pairs = keyed.join(other, ["sig", "part"]).where((F.col("nb") < F.col("n")) | ((F.col("nb") == F.col("n")) & (F.col("b") < F.col("fingerprint"))))
-    pairs = pairs.where(F.col("nb") >= F.col("n") * least).select(F.col("fingerprint").alias("a"), "b", "s", "sb").dropDuplicates(["a", "b"])
+    sets = materialise(sets, "sets")
+    each = sets.select("fingerprint", "n", F.explode("s").alias("sig"))
+    rare = each.join(each.groupBy("sig").agg(F.count("*").alias("_times")), "sig")
+    rank = F.row_number().over(Window.partitionBy("fingerprint").orderBy("_times", "sig"))
+    prefix = F.col("n") - F.ceil(F.round(F.col("n") * F.lit(least), 9)) + 1
+    keyed = rare.withColumn("_rank", rank).where(F.col("_rank") <= prefix).select("fingerprint", "n", "sig", _length_partition(F.col("n"), least).alias("part"))
+    keyed = materialise(keyed, "prefixes")
+    other = keyed.select(F.col("fingerprint").alias("b"), F.col("n").alias("nb"), "sig", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    smaller = (F.col("nb") < F.col("n")) | ((F.col("nb") == F.col("n")) & (F.col("b") < F.col("fingerprint")))
+    pairs = keyed.join(other, ["sig", "part"]).where(smaller & (F.col("nb") >= F.round(F.col("n") * F.lit(least), 9)))
+    pairs = pairs.select(F.col("fingerprint").alias("a"), "b").distinct()
+    texts = pairs.join(sets.select(F.col("fingerprint").alias("a"), "s"), "a").join(sets.select(F.col("fingerprint").alias("b"), F.col("s").alias("sb")), "b")
     both = F.size(F.array_intersect("s", "sb"))
-    return pairs.withColumn("likeness", both / (F.size("s") + F.size("sb") - both)).where(F.col("likeness") >= least).select("a", "b", "likeness")
+    return texts.withColumn("likeness", both / (F.size("s") + F.size("sb") - both)).where(F.col("likeness") >= least).select("a", "b", "likeness")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -117,20 +129,22 @@ def with_next(docs: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     dealt = keyed.withColumn("_at", F.explode(places("doc"))).select("_at.*", "doc", "doc_id", "text")
-    return dealt.repartition(ranges, "part").sortWithinPartitions("part", "look", "doc", "text")
+    return dealt.repartitionById(ranges, "part").sortWithinPartitions("part", "look", "doc", "text")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row, and the sets
+    that the fingerprints stand for, signatures and edited_signatures (sorted hashes): near_edited is their Jaccard
+    likeness.
 
     The edited text is the document with the last quarter of its characters replaced by as many first ones of the next
     document by doc_id. A null text counts as empty. A null doc_id comes first; rows of one doc_id follow each other by
-    text. A single document is its own next.
+    text. A single document is its own next. A text of any length counts whole; other columns are ignored.
     """
     import hashlib
 
     bounded_batches(docs.sparkSession)
-    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "signatures", "edited_signatures"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -144,11 +158,11 @@ def compare_edited(docs: DataFrame) -> DataFrame:
                     edited = own[: n - n // 4] + text[: n // 4]
                     edited_sigs = spots(edited) if edited != own else own_sigs
                     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                    out.append((of, n, sha, digest(own_sigs), digest(edited_sigs), likeness(own_sigs, edited_sigs), likeness(own_sigs, sigs)))
+                    out.append((of, n, sha, digest(own_sigs), digest(edited_sigs), likeness(own_sigs, edited_sigs), likeness(own_sigs, sigs), own_sigs.view(np.int64), edited_sigs.view(np.int64)))
                 held = (None if doc == -(1 << 63) else doc, text, sigs) if look == 0 else None
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, signatures array<long>, edited_signatures array<long>"
     return with_next(docs).mapInPandas(compare, schema)
 
 
