@@ -3,6 +3,9 @@
 A flat file is documents' token ids one after another, each document followed by an end-of-document id. It is read in
 blocks. Each block is searched for the id with one vector comparison; what a document has in several blocks is put
 together with prefix scans over the blocks: tokens before a block, and place of the last separator before it.
+
+read_flat() reads such files. flatten() makes the blocks of one file for each task straight from documents, and logs which
+documents end in a block, so that op10 can name the documents; no scan looks at that log.
 """
 
 from __future__ import annotations
@@ -37,8 +40,10 @@ def _tiktoken(path: str):
 def flatten(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
     """(file, block, tokens binary, ended array): the documents as flat files, one for each task, in blocks. `ended`
     is the writer's log of the documents whose separator a block has; scans don't need it. A null text is an empty
-    document."""
+    document; repeated rows are documents of their own; a text of any length is encoded whole; other columns are
+    ignored."""
     bounded_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round long ids beside nulls
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, file, number = _tiktoken(path).encode_ordinary, TaskContext.get().partitionId(), 0
@@ -56,11 +61,11 @@ def flatten(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
             return pd.DataFrame({"file": [file], "block": [number - 1], "tokens": [tokens[:size].astype(DTYPE).tobytes()], "ended": [done]})
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 tokens = np.array([*encode(text or ""), SEPARATOR], dtype=np.int64)
                 held.append(tokens)
                 n += len(tokens)
-                ids.append((n - 1, None if pd.isna(doc) else int(doc)))
+                ids.append((n - 1, None if doc is None else int(doc)))
                 while n >= block:
                     yield cut(block)
         if n:
@@ -69,6 +74,15 @@ def flatten(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(write, "file long, block long, tokens binary, ended array<long>")
 
 
+def read_flat(spark: SparkSession, path: str, block: int = BLOCK, dtype: str = DTYPE) -> DataFrame:
+    """(file, block, tokens binary): flat files of ids of `dtype` below path, in blocks. A file comes as one row before it
+    is cut, so a corpus has to be spread over files that fit in a task."""
+    size = block * np.dtype(dtype).itemsize
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
+    cut = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size))))
+    return cut.select(F.col("path").alias("file"), "block", F.substring("content", (F.col("block") * size + 1).cast("int"), F.lit(size)).alias("tokens"))
+
+
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTYPE) -> DataFrame:
     """(file, block, k, n_tokens): the tokens of each document, without its separator, by the block that has the
     separator and the separator's number in it; blocks has file, block and tokens (binary). What stands after the last
@@ -79,7 +93,8 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTY
             found = [np.frombuffer(t, dtype) for t in batch["tokens"]]
             yield pd.DataFrame({"file": batch["file"], "block": batch["block"], "n": [len(x) for x in found], "at": [np.flatnonzero(x == separator) for x in found]})
 
-    seps = materialise(blocks.select("file", "block", "tokens").mapInPandas(search, "file long, block long, n long, at array<long>"), "separators")
+    kind = blocks.schema["file"].dataType.simpleString()
+    seps = materialise(blocks.select("file", "block", "tokens").mapInPandas(search, f"file {kind}, block long, n long, at array<long>"), "separators")
     placed = running(seps, ["file"], ["block"], "n", "start").withColumn("start", F.coalesce("start", F.lit(0)))
     placed = placed.withColumn("last", F.col("start") + F.try_element_at("at", F.lit(-1)))
     stitched = materialise(running(placed, ["file"], ["block"], "last", "before", F.max).withColumn("before", F.coalesce("before", F.lit(-1))), "stitched")
@@ -92,7 +107,8 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTY
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and n_tokens of every document, found in the flat files that the documents are first written to."""
+    """doc_id and n_tokens of every row of documents (null and empty texts: 0; a null doc_id stays null), found in the
+    flat files that the documents are first written to."""
     blocks = materialise(flatten(documents(spark, sf_dir), public_path("byte_bpe_50k.tiktoken")), "flat")
     log = blocks.select("file", "block", F.posexplode("ended").alias("k", "doc_id"))
     return count_tokens(blocks).join(log, ["file", "block", "k"]).select("doc_id", "n_tokens")
