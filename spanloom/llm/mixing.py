@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import documents, materialise, running_totals
+from spanloom.llm._common import column, documents, materialise, running_totals
 
 #: Weights of the sources by rank, repeating; share of all words that the mix has; most passes over a source.
 WEIGHTS, SHARE, PASSES = (3, 1, 2), 1.5, 2
@@ -47,12 +47,13 @@ def mix(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     that the mix takes of the row, 0, 1 or 2 times its size.
 
     A null source is a source, after all others; a null text has size 0 and is never taken. Repeated rows are
-    separate documents. The shuffle is the order of md5(doc_id), so reruns agree.
+    separate documents. The shuffle is the order of md5(doc_id), so reruns agree. A column of docs with the name of a
+    result is replaced by it.
     """
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")] if carry is None else carry
     order = ["_shuffle", "_id", "_size"]
     sized = docs.select(
-        F.struct(*[F.col(c) for c in carry]).alias("_row"),
+        F.struct(*[column(c).alias(c) for c in carry]).alias("_row"),
         F.col("source").alias("_source"),
         words().alias("_size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("_shuffle"),
@@ -90,7 +91,7 @@ def mix(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
 def take_mix(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows that it takes, those of two passes twice, with the columns of docs."""
-    given = docs.columns
+    given = [column(c).alias(c) for c in docs.columns]
     mixed = mix(docs.select(F.struct(*given).alias("_doc"), "doc_id", "text", "source"), ["_doc"])
     return mixed.where("taken > 0").select("_doc", F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))).select("_doc.*")
 
