@@ -12,9 +12,10 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) of every node that an edge touches; root is the smallest node of its component.
 
     Large-star and small-star steps alternate until nothing changes: the first links the larger neighbours of a node
-    to its smallest neighbour, the second the smaller ones. Each step is a minimum by key, combined before the
-    shuffle, and a join with it, so a node of very many links is never gathered in one place. Every round is written
-    to the shared folder. Edges with a null end and loops carry no link.
+    to its smallest neighbour, the second the smaller ones. Each step is a minimum by key, combined before the shuffle,
+    and a join with it. In that join a node has one row on the side of the minima, so where a node has very many links,
+    Spark can split its rows of the other side over tasks (adaptive skew join). Every round is written to the shared
+    folder. Edges with a null end and loops carry no link.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     links, seen = materialise(links, "links"), None

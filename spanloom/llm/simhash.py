@@ -16,7 +16,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents, materialise
@@ -138,28 +138,13 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     Null and blank texts have fingerprint zero, which links like any other. Repeated rows each get their row. A null
-    doc_id is never a component's id unless the component has no other. Other columns of docs are ignored.
+    doc_id is never a component's id unless the component has no other. A text of any length counts whole. Other columns
+    of docs are ignored.
     """
     bounded_batches(docs.sparkSession)
     rows = materialise(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "simhash")
     return rows.join(near_components(rows), "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Keeps one document of each component: that of the smallest doc_id (of the smallest text hash, where rows share
-    one), with its columns as they are; a null doc_id stands behind all others. Rows that are alike in doc_id and text count as one."""
-    bounded_batches(docs.sparkSession)
-    given = docs.columns
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_key"), fingerprint(F.col("text")).alias("fp"))
-    rows = materialise(rows, "simhash")
-    rows = rows.join(near_components(rows), "fp")
-    place = F.struct(F.col("doc_id").isNull().alias("_last"), "doc_id", "_key")
-    first = rows.groupBy("root").agg(F.min(place).alias("_first")).select(F.col("_first._key").alias("_key"))
-    kept = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(first, "_key")
-    others = [F.col(c) for c in given if c not in ("doc_id", "text")] or [F.lit(0)]
-    copy = F.row_number().over(Window.partitionBy("_key").orderBy(*others))
-    return kept.withColumn("_copy", copy).where("_copy = 1").select(*given)
-
-
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))

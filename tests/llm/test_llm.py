@@ -64,7 +64,7 @@ def test_pipeline_stages_keep_columns(spark, odd, empty):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], LABELS)
     for docs in (odd, empty):
         kept = quality.keep_good(docs, labels)
-        once = simhash.drop_near_copies(kept)
+        once = nearcopies.drop_near_copies(kept)
         cut = suffix.drop_repeats(once)
         mixed = mixing.take_mix(cut)
         assert kept.columns == once.columns == cut.columns == mixed.columns == docs.columns
@@ -119,7 +119,7 @@ def test_covering_masks_miss_no_pair_and_groups_split_exactly(spark, monkeypatch
 def test_near_copies_without_an_id_are_kept_apart(spark):
     texts = ["one text of a house by the sea", "quite another one about trains and snow", "the third speaks of bread"]
     rows = [(None, x) for x in texts[:2]] + [(None, texts[2]), (7, texts[2]), (4, texts[2])]
-    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = nearcopies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.text, r.doc_id) for r in got) == sorted([(texts[0], None), (texts[1], None), (texts[2], 4)])
 
 
