@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators import intervals as I
+from spanloom.operators.timeline import along, following, place, previous, upto_sum
 from spanloom.sources.tables import DAY_US
 
 _TURN = ["recording_id", "turn_index"]
@@ -58,10 +59,10 @@ def lock_words(turns: DataFrame, words: DataFrame, length_us: int = DAY_US) -> D
     """Shrinks turns to their safe bounds (neighbouring turns, walls, the recording) and says what becomes of them:
     `conflict` where a word across a bound would have to pass a safe bound, `no_words` without a word left, or `keep`.
     Bounds never grow."""
-    by = Window.partitionBy("recording_id").orderBy("turn_index")
-    low = F.greatest(F.coalesce(F.lag("end_us").over(by), F.lit(0)), F.coalesce("wall_before_us", F.lit(0)))
-    high = F.least(F.coalesce(F.lead("start_us").over(by), F.lit(length_us)), F.coalesce("wall_after_us", F.lit(length_us)))
-    bound = safe_walls(turns).withColumn("_low", low).withColumn("_high", high).join(straddles(turns, words), _TURN, "left")
+    walls = along(safe_walls(turns), ["recording_id"], ["start_us", "turn_index"], _before=previous("end_us"), _after=following("start_us"))
+    low = F.greatest(F.coalesce("_before", F.lit(0)), F.coalesce("wall_before_us", F.lit(0)))
+    high = F.least(F.coalesce("_after", F.lit(length_us)), F.coalesce("wall_after_us", F.lit(length_us)))
+    bound = walls.withColumn("_low", low).withColumn("_high", high).join(straddles(turns, words), _TURN, "left")
     blocked = F.coalesce(F.col("_low") > F.col("first_word_us"), F.lit(False)) | F.coalesce(F.col("_high") < F.col("last_word_us"), F.lit(False))
     cut = bound.select(*_TURN, blocked.alias("_blocked"), F.greatest("start_us", "_low").alias("start_us"), F.least("end_us", "_high").alias("end_us"), ((F.col("start_us") < F.col("_low")) | (F.col("end_us") > F.col("_high"))).alias("_shrunk"))
     real = cut.where("start_us < end_us")
@@ -82,9 +83,8 @@ def sole(turns: DataFrame) -> DataFrame:
     numbered = speech.join(numbers, ["recording_id", "speaker_id"])
     events = numbered.select("recording_id", F.col("start_us").alias("at"), F.lit(1).alias("n"), F.col("_k").alias("k")).unionAll(numbered.select("recording_id", "end_us", F.lit(-1), -F.col("_k")))
     steps = events.groupBy("recording_id", "at").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    by = Window.partitionBy("recording_id").orderBy("at")
-    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
-    slices = steps.select("recording_id", F.col("at").alias("start_us"), F.lead("at").over(by).alias("end_us"), F.sum("n").over(so_far).alias("n"), F.sum("k").over(so_far).alias("_k"))
+    steps = steps.withColumnRenamed("at", "start_us")
+    slices = along(steps, ["recording_id"], ["start_us"], end_us=following("start_us"), n=upto_sum("n"), _k=upto_sum("k"))
     return slices.where("n = 1").join(numbers, ["recording_id", "_k"]).select("recording_id", "speaker_id", "start_us", "end_us")
 
 
@@ -103,10 +103,9 @@ def error_rates(reference: DataFrame, hypothesis: DataFrame, mapping: DataFrame)
     ref, hyp = (I.islands(t, ["recording_id", "speaker_id"]) for t in (reference, hypothesis))
     edge = lambda t, c, r, h: t.select("recording_id", F.col(c).alias("at"), F.lit(r).alias("r"), F.lit(h).alias("h"))
     edges = edge(ref, "start_us", 1, 0).unionAll(edge(ref, "end_us", -1, 0)).unionAll(edge(hyp, "start_us", 0, 1)).unionAll(edge(hyp, "end_us", 0, -1))
-    by = Window.partitionBy("recording_id").orderBy("at")
-    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
     steps = edges.groupBy("recording_id", "at").agg(F.sum("r").alias("r"), F.sum("h").alias("h"))
-    slices = steps.select("recording_id", (F.lead("at").over(by) - F.col("at")).alias("us"), F.sum("r").over(so_far).alias("r"), F.sum("h").over(so_far).alias("h")).where("us IS NOT NULL")
+    swept = along(steps, ["recording_id"], ["at"], at="at", _next=following("at"), r=upto_sum("r"), h=upto_sum("h"))
+    slices = swept.withColumn("us", F.col("_next") - F.col("at")).where("us IS NOT NULL")
     over = lambda c: F.sum(F.greatest(c, F.lit(0)) * F.col("us"))
     sums = slices.groupBy("recording_id").agg(
         over(F.col("r")).alias("speech_us"), over(F.col("r") - F.col("h")).alias("missed_us"), over(F.col("h") - F.col("r")).alias("false_us"), over(F.least("r", "h")).alias("_both")
@@ -118,6 +117,43 @@ def error_rates(reference: DataFrame, hypothesis: DataFrame, mapping: DataFrame)
     return out.select("recording_id", "speech_us", "missed_us", "false_us", "confusion_us", F.round(rate, 6).alias("der"))
 
 
+def jaccard_errors(reference: DataFrame, hypothesis: DataFrame, mapping: DataFrame) -> DataFrame:
+    """By speaker of the reference: own length, shared and united length with the speaker mapped to them, and the share of
+    the united length that isn't shared (1 without a mapped speaker)."""
+    ref, hyp = (I.islands(t, ["recording_id", "speaker_id"]) for t in (reference, hypothesis))
+    length = lambda t, n: t.groupBy("recording_id", "speaker_id").agg(F.sum(F.col("end_us") - F.col("start_us")).alias(n))
+    met = I.range_join(ref, I.other(hyp, "speaker_id"), ["recording_id"]).join(mapping.select("recording_id", "speaker_id", F.col("mapped_from").alias("b_speaker_id")), ["recording_id", "speaker_id", "b_speaker_id"])
+    shared = met.groupBy("recording_id", "speaker_id").agg(F.sum(F.least("end_us", "b_end_us") - F.greatest("start_us", "b_start_us")).alias("shared_us"))
+    theirs = length(hyp, "_theirs").withColumnRenamed("speaker_id", "mapped_from").join(mapping.select("recording_id", "speaker_id", "mapped_from"), ["recording_id", "mapped_from"]).select("recording_id", "speaker_id", "_theirs")
+    key = ["recording_id", "speaker_id"]
+    both = length(ref, "speech_us").join(shared, key, "left").join(theirs, key, "left").na.fill(0, ["shared_us", "_theirs"])
+    united = F.col("speech_us") + F.col("_theirs") - F.col("shared_us")
+    return both.select(*key, "speech_us", "shared_us", united.alias("united_us"), F.round(1 - F.col("shared_us") / united, 6).alias("jaccard_error"))
+
+
+def speaker_count_error(reference: DataFrame, hypothesis: DataFrame) -> DataFrame:
+    """By recording how many speakers either side has, and how far they are apart."""
+    count = lambda t, n: t.groupBy("recording_id").agg(F.count_distinct("speaker_id").alias(n))
+    both = count(reference, "expected").join(count(hypothesis, "found"), "recording_id", "full").na.fill(0)
+    return both.withColumn("error", F.abs(F.col("expected") - F.col("found")))
+
+
+def paired_bootstrap(rows: DataFrame, cluster: str, first: str, second: str, replicates: int, seed: int, least: int = 50) -> DataFrame:
+    """Interval of the difference of two rates (0/1 columns, nulls left out) on the same clusters, drawn with replacement;
+    null with fewer than `least` replicates that have both rates."""
+    sums = rows.groupBy(cluster).agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate((first, second)) for f, n in ((F.sum, "h"), (F.count, "n"))])
+    numbered = sums.withColumn("_k", F.row_number().over(Window.orderBy(cluster)).cast("long") - 1)
+    total = numbered.agg(F.count("*").alias("_c"))
+    places = rows.sparkSession.range(replicates).withColumnRenamed("id", "replicate").join(F.broadcast(total), F.lit(True)).where("_c > 0")
+    places = places.withColumn("_d", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1)))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), "replicate", "_d").cast("binary"))
+    drawn = places.withColumn("_k", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.col("_c")).groupBy("replicate", "_k").agg(F.count("*").alias("t"))
+    rate = lambda i: F.try_divide(F.sum(F.col(f"h{i}") * F.col("t")).cast("double"), F.sum(F.col(f"n{i}") * F.col("t")).cast("double"))
+    gains = drawn.join(numbered, "_k").groupBy("replicate").agg((rate(0) - rate(1)).alias("gain")).where("gain IS NOT NULL")
+    out = gains.agg(F.count("*").alias("replicates"), F.percentile("gain", [0.025, 0.5, 0.975]).alias("q"))
+    return out.select("replicates", *[F.when(F.col("replicates") >= least, F.round(F.col("q")[i], 6)).alias(c) for i, c in enumerate(("low", "middle", "high"))])
+
+
 def activity(turns: DataFrame, frame_us: int) -> DataFrame:
     """Frames in which each speaker is active, with the number of turns: starts go down, ends go up to whole frames."""
     return turns.select("recording_id", "speaker_id", I.frames_of(turns, frame_us).alias("frame")).groupBy("recording_id", "speaker_id", "frame").agg(F.count("*").alias("turns"))
@@ -135,8 +171,8 @@ def dice(active: DataFrame, least: int = 4) -> DataFrame:
 
 def frame_runs(frames: DataFrame, least: int) -> DataFrame:
     """Maximal runs of the given frames (recording_id, frame) of at least `least` frames."""
-    place = F.row_number().over(Window.partitionBy("recording_id").orderBy("frame"))
-    runs = frames.withColumn("_run", F.col("frame") - place).groupBy("recording_id", "_run").agg(F.min("frame").alias("first_frame"), (F.max("frame") + 1).alias("end_frame"))
+    placed = along(frames, ["recording_id"], ["frame"], at="frame", width=1 << 14, _n=place())
+    runs = placed.withColumn("_run", F.col("frame") - F.col("_n")).groupBy("recording_id", "_run").agg(F.min("frame").alias("first_frame"), (F.max("frame") + 1).alias("end_frame"))
     return runs.where(F.col("end_frame") - F.col("first_frame") >= least).drop("_run")
 
 

@@ -7,27 +7,32 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.operators import intervals as I
+from spanloom.operators.timeline import along, upto_sum
+
 
 def merge_capped(turns: DataFrame, gap_us: int, most_us: int) -> DataFrame:
-    """Same-speaker merging as merge_turns(), and no merged turn longer than most_us. The cap looks at where a chain
-    began, so each recording is folded in order."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("turn_index", ignore_index=True)
-        start, end, who = pdf.start_us.to_numpy(), pdf.end_us.to_numpy(), pdf.speaker_id.to_numpy()
-        out: list[list] = []
-        for i in range(len(pdf)):
-            if out:
-                s, e, k, n, last = out[-1]
-                rival = (who != who[i]) & (start < end[i]) & (end > start[last])
-                if who[i] == k and 0 <= start[i] - e <= gap_us and end[i] - s <= most_us and not rival.any():
-                    out[-1] = [s, end[i], k, n + 1, i]
-                    continue
-            out.append([start[i], end[i], who[i], 1, i])
-        merged = pd.DataFrame(out, columns=["start_us", "end_us", "speaker_id", "sources", "last"]).drop(columns="last")
-        return merged.assign(recording_id=pdf.recording_id.iloc[0])[["recording_id", "speaker_id", "start_us", "end_us", "sources"]]
-
-    return turns.select("recording_id", "turn_index", "speaker_id", "start_us", "end_us").groupBy("recording_id").applyInPandas(fold, "recording_id string, speaker_id string, start_us long, end_us long, sources long")
+    """Same-speaker merging as merge_turns(), and no merged turn longer than most_us. Which neighbours may join is found
+    by windows and a range join; only the cap looks at where a merged turn began, so each chain of joins is folded."""
+    decided = I.merge_decisions(turns, gap_us)
+    chained = along(decided, ["recording_id"], ["start_us", "turn_index"], chain=upto_sum(F.when(F.col("decision") == "merged", 0).otherwise(1)))
+
+    @F.pandas_udf("array<struct<start_us:long,end_us:long,sources:long>>")
+    def fold(chains: pd.Series) -> pd.Series:
+        out = []
+        for chain in chains:
+            merged: list[list[int]] = []
+            for t in chain:
+                a, b = int(t["start_us"]), int(t["end_us"])
+                if merged and b - merged[-1][0] <= most_us:
+                    merged[-1] = [merged[-1][0], b, merged[-1][2] + 1]
+                else:
+                    merged.append([a, b, 1])
+            out.append([{"start_us": a, "end_us": b, "sources": n} for a, b, n in merged])
+        return pd.Series(out)
+
+    chains = chained.groupBy("recording_id", "speaker_id", "chain").agg(F.array_sort(F.collect_list(F.struct("turn_index", "start_us", "end_us"))).alias("_t"))
+    return chains.select("recording_id", "speaker_id", F.explode(fold("_t")).alias("_m")).select("recording_id", "speaker_id", "_m.*")
 
 
 def split_at_minimum(start: int, p: np.ndarray, most: int, threshold: float) -> list[tuple[int, int, bool]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upto_sum
 from spanloom.sources.tables import DAY_US
 
 #: Width of the time buckets that range joins meet in, in microseconds.
@@ -14,8 +15,8 @@ BUCKET_US = 120_000_000
 def normalize(turns: DataFrame, length_us: int = DAY_US) -> DataFrame:
     """Clamps turns to the recording, drops what is empty then, and numbers them by (start, end, speaker)."""
     clamped = turns.withColumn("start_us", F.greatest("start_us", F.lit(0))).withColumn("end_us", F.least("end_us", F.lit(length_us)))
-    order = Window.partitionBy("recording_id").orderBy("start_us", "end_us", "speaker_id", "event_id")
-    return clamped.where("end_us > start_us").withColumn("turn_index", F.row_number().over(order) - 1)
+    placed = along(clamped.where("end_us > start_us"), ["recording_id"], ["start_us", "end_us", "speaker_id", "event_id"], turn_index=place())
+    return placed.withColumn("turn_index", F.col("turn_index").cast("int"))
 
 
 def duration_filter(turns: DataFrame, least_s: float, most_s: float) -> DataFrame:
@@ -52,10 +53,10 @@ def overlaps(turns: DataFrame) -> DataFrame:
 
 def islands(intervals: DataFrame, keys: list[str], gap_us: int = 0) -> DataFrame:
     """Unions of intervals that touch or lie within gap_us of each other: keys, start_us, end_us, n."""
-    by = Window.partitionBy(*keys).orderBy("start_us", "end_us")
-    reach = F.max("end_us").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    starts = intervals.withColumn("_new", F.coalesce((F.col("start_us") > reach + gap_us).cast("int"), F.lit(1)))
-    numbered = starts.withColumn("_island", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    reached = along(intervals, keys, ["start_us", "end_us"], _reach=before_max("end_us"))
+    starts = reached.withColumn("_old", F.coalesce((F.col("start_us") <= F.col("_reach") + gap_us).cast("int"), F.lit(0)))
+    # of equal intervals only the first can begin an island, and has to come first again
+    numbered = along(starts, keys, ["start_us", "end_us", "_old"], _island=upto_sum(1 - F.col("_old")))
     return numbered.groupBy(*keys, "_island").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("n")).drop("_island")
 
 
@@ -74,9 +75,8 @@ def sweep(turns: DataFrame) -> DataFrame:
     """Elementary intervals between neighbouring bounds of a recording, with the number of turns active."""
     events = turns.select("recording_id", F.col("start_us").alias("at"), F.lit(1).alias("step")).unionAll(turns.select("recording_id", "end_us", F.lit(-1)))
     steps = events.groupBy("recording_id", "at").agg(F.sum("step").alias("step"))
-    by = Window.partitionBy("recording_id").orderBy("at")
-    active = F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, 0))
-    return steps.select("recording_id", F.col("at").alias("start_us"), F.lead("at").over(by).alias("end_us"), active.alias("active")).where("end_us IS NOT NULL")
+    swept = along(steps.withColumnRenamed("at", "start_us"), ["recording_id"], ["start_us"], end_us=following("start_us"), active=upto_sum("step"))
+    return swept.where("end_us IS NOT NULL").select("recording_id", "start_us", "end_us", "active")
 
 
 def neighbour_gaps(turns: DataFrame) -> DataFrame:
@@ -93,40 +93,104 @@ def neighbour_gaps(turns: DataFrame) -> DataFrame:
     return near.withColumn("gap_before_us", zero(F.col("start_us") - F.col("_b"))).withColumn("gap_after_us", zero(F.col("_a") - F.col("end_us"))).drop("of", "_a", "_b")
 
 
-def merge_turns(turns: DataFrame, gap_us: int) -> DataFrame:
-    """Same-speaker merging without a duration cap: a turn joins the one before it (in order of start) if they have one
-    speaker, don't overlap, lie within gap_us, and no competitor touches their hull."""
-    by = Window.partitionBy("recording_id").orderBy("turn_index")
-    prev = turns.withColumn("_s", F.lag("speaker_id").over(by)).withColumn("_from", F.lag("start_us").over(by)).withColumn("_to", F.lag("end_us").over(by))
-    rough = (F.col("_s") == F.col("speaker_id")) & (F.col("start_us") >= F.col("_to")) & (F.col("start_us") - F.col("_to") <= gap_us)
-    hulls = prev.where(rough).select("recording_id", "turn_index", F.col("_from").alias("start_us"), "end_us", "speaker_id")
-    rivals = range_join(hulls, other(turns, "speaker_id"), ["recording_id"]).where("speaker_id <> b_speaker_id").select("recording_id", "turn_index").distinct()
-    joined = prev.where(rough).select("recording_id", "turn_index").join(rivals, ["recording_id", "turn_index"], "left_anti").withColumn("_joins", F.lit(1))
-    marked = turns.join(joined, ["recording_id", "turn_index"], "left")
-    chain = F.sum(F.when(F.col("_joins").isNull(), 1).otherwise(0)).over(by)
-    grouped = marked.withColumn("_chain", chain).groupBy("recording_id", "_chain")
+_ORDER = ["start_us", "turn_index"]
+
+
+def merge_decisions(turns: DataFrame, gap_us: int, loud: DataFrame | None = None, frame_us: int = 1_000_000) -> DataFrame:
+    """Adds decision to every turn, on joining it to the one before (in order of start): first_turn, other_speaker,
+    overlapping_turns, gap_too_long, competing_speaker (another speaker touches their hull), gap_not_silent (a frame of
+    `loud`, recording_id and frame, lies in the gap) or merged; the first that holds."""
+    near = along(turns, ["recording_id"], _ORDER, _p=previous(F.struct("speaker_id", "start_us", "end_us")))
+    p, key = F.col("_p"), ["recording_id", "turn_index"]
+    same = p["speaker_id"] == F.col("speaker_id")
+    gap = F.col("start_us") - p["end_us"]
+    rough = near.where(same & gap.between(0, gap_us))
+    hulls = rough.select(*key, p["start_us"].alias("start_us"), "end_us", "speaker_id")
+    rivals = range_join(hulls, other(turns, "speaker_id"), ["recording_id"]).where("speaker_id <> b_speaker_id").select(*key).distinct()
+    marked = near.join(rivals.withColumn("_rival", F.lit(True)), key, "left")
+    noisy = F.lit(False)
+    if loud is not None:
+        gaps = rough.where(gap > 0).select(*key, p["end_us"].alias("start_us"), F.col("start_us").alias("end_us"))
+        sounds = loud.select("recording_id", (F.col("frame") * frame_us).alias("b_start_us"), ((F.col("frame") + 1) * frame_us).alias("b_end_us"))
+        heard = range_join(gaps, sounds, ["recording_id"]).select(*key).distinct()
+        marked, noisy = marked.join(heard.withColumn("_loud", F.lit(True)), key, "left"), F.col("_loud").isNotNull()
+    decision = (
+        F.when(p.isNull(), "first_turn").when(~same, "other_speaker").when(gap < 0, "overlapping_turns").when(gap > gap_us, "gap_too_long")
+        .when(F.col("_rival").isNotNull(), "competing_speaker").when(noisy, "gap_not_silent").otherwise("merged")
+    )
+    return marked.withColumn("decision", decision).select(*turns.columns, "decision")
+
+
+def merge_turns(turns: DataFrame, gap_us: int, loud: DataFrame | None = None) -> DataFrame:
+    """Same-speaker merging without a duration cap, by merge_decisions(): recording_id, speaker_id, start_us, end_us,
+    sources (turns) and confidence (the least; null if one has none)."""
+    decided = merge_decisions(turns, gap_us, loud)
+    chained = along(decided, ["recording_id"], _ORDER, _chain=upto_sum(F.when(F.col("decision") == "merged", 0).otherwise(1)))
     least = F.when(F.count("confidence") == F.count("*"), F.min("confidence"))
+    grouped = chained.groupBy("recording_id", "_chain")
     return grouped.agg(F.first("speaker_id").alias("speaker_id"), F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("sources"), least.alias("confidence")).drop("_chain")
 
 
-def cleanup(turns: DataFrame, jitter_us: int, merge_gap_us: int, least_us: int) -> DataFrame:
-    """Relabels short A-B-A jitters, merges same-speaker neighbours, drops what stays short.
-
-    Jitters are found on the labels as given; as relabelling one settles its neighbour, those at odd places of a run of
-    candidates change.
+def speaker_runs(turns: DataFrame, gap_us: int, rejected: DataFrame | None = None) -> DataFrame:
+    """Runs of one speaker's turns: a new one begins with another speaker, an overlap, a gap over gap_us, or a gap that
+    another speaker's turn or a rejected span (recording_id, start_us, end_us) touches."""
+    near = along(turns, ["recording_id"], _ORDER, _p=previous(F.struct("speaker_id", "end_us")))
+    gap = F.col("start_us") - F.col("_p.end_us")
+    rough = (F.col("_p.speaker_id") == F.col("speaker_id")) & gap.between(0, gap_us)
+    gaps = near.where(rough & (gap > 0)).select("recording_id", "turn_index", F.col("_p.end_us").alias("start_us"), F.col("start_us").alias("end_us"), "speaker_id")
+    key = ["recording_id", "turn_index"]
+    broken = range_join(gaps, other(turns, "speaker_id"), ["recording_id"]).where("speaker_id <> b_speaker_id").select(*key)
+    if rejected is not None:
+        broken = broken.union(range_join(gaps, other(rejected), ["recording_id"]).select(*key))
+    marked = near.join(broken.distinct().withColumn("_broken", F.lit(True)), key, "left")
+    fresh = F.when(rough & F.col("_broken").isNull(), 0).otherwise(1)
+    runs = along(marked.withColumn("_new", fresh).drop("_p"), ["recording_id"], _ORDER, _run=upto_sum("_new")).groupBy("recording_id", "speaker_id", "_run")
+    return runs.agg(F.min("turn_index").alias("run"), F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("turns")).drop("_run")
+
+
+def cleanup(turns: DataFrame, jitter_us: int, collar_us: int, merge_gap_us: int, least_us: int) -> DataFrame:
+    """Relabels short A-B-A jitters, trims close bounds between different speakers, merges same-speaker neighbours, drops
+    what stays short: recording_id, speaker_id, start_us, end_us, n.
+
+    A jitter is a turn of up to jitter_us that overlaps with no other and lies between two turns of one other speaker, in
+    order and each within merge_gap_us. As relabelling one settles its neighbour, those at odd places of a run of
+    candidates change. Where the next turn is another speaker's and overlaps, both are cut at the middle less a collar;
+    where it is closer than two collars, each loses a collar. Turns that this leaves empty go.
     """
-    by = Window.partitionBy("recording_id").orderBy("turn_index")
-    around = F.lag("speaker_id").over(by)
-    candidate = (around == F.lead("speaker_id").over(by)) & (around != F.col("speaker_id")) & (F.col("end_us") - F.col("start_us") < jitter_us)
-    marked = turns.withColumn("_c", F.coalesce(candidate.cast("int"), F.lit(0))).withColumn("_around", around)
-    run = F.col("turn_index") - F.sum("_c").over(by)
-    marked = marked.withColumn("_run", F.when(F.col("_c") == 1, run))
-    place = F.row_number().over(Window.partitionBy("recording_id", "_c", "_run").orderBy("turn_index"))
-    fixed = marked.withColumn("_place", place).withColumn("speaker_id", F.when((F.col("_c") == 1) & (F.col("_place") % 2 == 1), F.col("_around")).otherwise(F.col("speaker_id")))
-    change = F.coalesce((F.col("speaker_id") != F.lag("speaker_id").over(by)).cast("int"), F.lit(1))
-    runs = fixed.withColumn("_change", change).withColumn("_speech", F.sum("_change").over(by))
-    merged = islands(runs, ["recording_id", "speaker_id", "_speech"], merge_gap_us)
-    return merged.where(F.col("end_us") - F.col("start_us") >= least_us).drop("_speech")
+    order = ["start_us", "turn_index"]
+    near = F.struct("speaker_id", "start_us", "end_us")
+    met = along(overlaps(turns).drop("overlap_with"), ["recording_id"], order, _p=previous(near), _f=following(near))
+    p, f = F.col("_p"), F.col("_f")
+    candidate = (
+        (p["speaker_id"] == f["speaker_id"]) & (p["speaker_id"] != F.col("speaker_id")) & (F.col("end_us") - F.col("start_us") <= jitter_us) & ~F.col("overlap")
+        & (F.col("start_us") - p["end_us"]).between(0, merge_gap_us) & (f["start_us"] - F.col("end_us")).between(0, merge_gap_us)
+    )
+    marked = met.withColumn("_c", F.coalesce(candidate.cast("int"), F.lit(0))).withColumn("_around", p["speaker_id"])
+    placed = along(marked, ["recording_id"], order, _last=latest(F.when(F.col("_c") == 0, F.col("turn_index"))))
+    odd = (F.col("turn_index") - F.coalesce("_last", F.lit(-1))) % 2 == 1
+    fixed = placed.withColumn("speaker_id", F.when((F.col("_c") == 1) & odd, F.col("_around")).otherwise(F.col("speaker_id")))
+    fixed = along(fixed.drop("_p", "_f"), ["recording_id"], order, _p=previous(near), _f=following(near))
+
+    def cut(of: Column, end: Column, start: Column, middle: Column, sign: int) -> Column:
+        """What a bound moves to, given the end of the earlier and the start of the later turn."""
+        other = of.isNotNull() & (of != F.col("speaker_id"))
+        own = end if sign < 0 else start
+        return F.when(other & (end > start), middle + sign * collar_us).when(other & (start - end < 2 * collar_us), own + sign * collar_us).otherwise(own)
+
+    # a turn's end is cut after its start was, and an overlap is judged on the ends that stand then; starts don't move ends
+    middle = lambda end, start: F.floor((end + start) / 2)
+    start = cut(p["speaker_id"], p["end_us"], F.col("start_us"), middle(p["end_us"], F.col("start_us")), 1)
+    end = cut(f["speaker_id"], F.col("end_us"), f["start_us"], middle(F.col("end_us"), f["start_us"]), -1)
+    trimmed = fixed.withColumns({"_from": F.greatest(F.coalesce(start, F.col("start_us")), F.lit(0)), "_to": F.coalesce(end, F.col("end_us"))}).where("_to > _from")
+    trimmed = trimmed.select("recording_id", "turn_index", "speaker_id", F.col("_from").alias("start_us"), F.col("_to").alias("end_us"))
+    by_turn = along(trimmed, ["recording_id"], ["turn_index"], at="turn_index", width=1 << 14, _s=previous("speaker_id"))
+    runs = along(by_turn.withColumn("_change", (~F.col("_s").eqNullSafe(F.col("speaker_id"))).cast("int")), ["recording_id"], ["turn_index"], at="turn_index", width=1 << 14, _speech=upto_sum("_change"))
+    keys = ["recording_id", "speaker_id", "_speech"]
+    reached = along(runs, keys, ["turn_index"], at="turn_index", width=1 << 14, _reach=before_max("end_us"))
+    fresh = F.when(F.col("start_us") <= F.col("_reach") + merge_gap_us, 0).otherwise(1)
+    grouped = along(reached.withColumn("_new", fresh), keys, ["turn_index"], at="turn_index", width=1 << 14, _island=upto_sum("_new")).groupBy(*keys, "_island")
+    merged = grouped.agg(F.min_by("start_us", "turn_index").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("n"))
+    return merged.where(F.col("end_us") - F.col("start_us") >= least_us).drop("_speech", "_island")
 
 
 def erode(turns: DataFrame, collar_us: int, near_us: int, least_us: int) -> DataFrame:
@@ -154,14 +218,15 @@ def first_appearance_labels(turns: DataFrame) -> DataFrame:
     return turns.join(names, ["recording_id", "speaker_id"])
 
 
-def hysteresis(frames: DataFrame, onset: float, offset: float, fill: int) -> DataFrame:
-    """Active runs of a probability track (recording_id, frame, p): on above onset, off below offset, in between as
-    before; gaps of up to `fill` frames close."""
-    by = Window.partitionBy("recording_id").orderBy("frame")
+def hysteresis(frames: DataFrame, onset: float, offset: float, fill: int, pad: tuple[int, int] = (0, 0), least: int = 1) -> DataFrame:
+    """Active runs of a probability track (recording_id, frame, p): on above onset, off below offset, in between as before.
+    Runs get `pad` frames before and after, those shorter than `least` go, and gaps of up to `fill` frames close."""
     signal = F.when(F.col("p") > onset, 1).when(F.col("p") < offset, 0)
-    state = F.coalesce(F.last(signal, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    on = frames.withColumn("_on", state).where("_on = 1").select("recording_id", F.col("frame").alias("start_us"), (F.col("frame") + 1).alias("end_us"))
-    return islands(on, ["recording_id"], fill).select("recording_id", F.col("start_us").alias("first_frame"), F.col("end_us").alias("end_frame"), F.col("n").alias("active_frames"))
+    states = along(frames, ["recording_id"], ["frame"], at="frame", width=1 << 14, _on=latest(signal))
+    on = states.where("_on = 1").select("recording_id", F.col("frame").alias("start_us"), (F.col("frame") + 1).alias("end_us"))
+    padded = islands(on, ["recording_id"]).select("recording_id", F.greatest(F.col("start_us") - pad[0], F.lit(0)).alias("start_us"), (F.col("end_us") + pad[1]).alias("end_us"))
+    kept = padded.where(F.col("end_us") - F.col("start_us") >= least)
+    return islands(kept, ["recording_id"], fill).select("recording_id", F.col("start_us").alias("first_frame"), F.col("end_us").alias("end_frame"), F.col("n").alias("runs"))
 
 
 def duration_loss(raw: DataFrame, merged: DataFrame, final: DataFrame) -> DataFrame:
@@ -177,6 +242,13 @@ def duration_loss(raw: DataFrame, merged: DataFrame, final: DataFrame) -> DataFr
     return both.withColumn("final_yield", ratio("final_us", "raw_us")).withColumn("union_yield", ratio("final_union_us", "raw_union_us")).withColumn("net_loss_us", F.col("raw_us") - F.col("final_us"))
 
 
+def silent_gaps(frames: DataFrame, key: str, energy: str, most: float) -> DataFrame:
+    """By key whether no frame is louder than `most`; a missing or non-finite value isn't silent."""
+    value = F.col(energy).cast("double")
+    sound = F.max(F.when(value.isNull() | F.isnan(value), F.lit(float("inf"))).otherwise(value))
+    return frames.groupBy(key).agg(F.max(energy).alias("_loudest"), (sound <= most).alias("silent"))
+
+
 def cutoff_curve(turns: DataFrame, step_us: int, steps: int) -> DataFrame:
     """For each threshold how many turns are at least that long, and their total length."""
     bins = turns.select(F.least(F.floor((F.col("end_us") - F.col("start_us")) / step_us), F.lit(steps)).alias("bin"), (F.col("end_us") - F.col("start_us")).alias("length"))
