@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
+from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,10 +18,8 @@ def written_form(text: Column) -> Column:
 
 
 def spoken_form(text: Column) -> Column:
-    """Replaces word[pronunciation] by the pronunciation, with _ as space."""
-    marked = F.regexp_replace(text, r"[\p{L}\p{N}:'-]*[\p{L}\p{N}]\[([^\[\]\n]*)\]", "\u0001$1\u0002")
-    parts = F.transform(F.split(marked, "\u0002"), lambda p: F.concat(F.substring_index(p, "\u0001", 1), F.when(p.contains("\u0001"), F.translate(F.substring_index(p, "\u0001", -1), "_", " ")).otherwise(F.lit(""))))
-    return F.array_join(parts, "")
+    """Replaces word[pronunciation] by the pronunciation, as it is written."""
+    return F.regexp_replace(text, r"[\p{L}\p{N}:'-]*[\p{L}\p{N}]\[([^\[\]\n]*[^\[\]\n\s][^\[\]\n]*)\]", "$1")
 
 
 def final_word(text: Column) -> Column:
@@ -35,13 +35,56 @@ def ends_sentence(text: Column) -> Column:
 
 
 def slug(text: Column, limit: int = 60) -> Column:
-    """ASCII letters and digits in lower case with single _ between, cut at a separator within the limit."""
-    plain = F.translate(F.lower(text), "đáàâäãåéèêëíìîïóòôöõúùûüýÿñç", "daaaaaaeeeeiiiiooooouuuuyync")
-    joined = F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    """ASCII letters and digits in lower case with single _ between, cut at a separator within the limit; letters lose
+    their marks (compatibility decomposition)."""
+
+    @F.pandas_udf("string")
+    def bare(texts: pd.Series) -> pd.Series:
+        return texts.str.lower().str.replace("đ", "d").str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+
+    joined = F.regexp_replace(F.regexp_replace(bare(text), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     cut = F.regexp_replace(F.substring(joined, 1, limit), "_[^_]*$", "")
     return F.when(F.length(joined) <= limit, joined).otherwise(cut)
 
 
+def family_name(collection: Column, title: Column) -> Column:
+    return F.concat_ws("__", slug(collection), slug(title))
+
+
+def audio_family(given: Column, path: Column) -> Column:
+    """The family that is given; else the folder above a speaker's folder; else the file name without its times and
+    number."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    folder = F.regexp_extract(path, r"([^/]+)/spk_\d+/[^/]+$", 1)
+    name = F.regexp_extract(path, r"([^/]+?)(?:_\d{8,10}-\d{8,10})?(?:_\d{4})?\.\w+$", 1)
+    return F.coalesce(blank(given), blank(folder), blank(name))
+
+
+_CONSONANT = "[bcdfghjklmnpqrstvwxz]{1,2}>"
+
+
+def square_fillers(text: Column) -> Column:
+    """<uh> as [uh]; a consonant that a hyphen joins to a syllable, as in <s>-trét, stays."""
+    joined = rf"<(?!{_CONSONANT}-[\p{{L}}<])(?:(?<![\p{{L}}>]-<)|(?!{_CONSONANT}))([a-z]+(?:[_-][a-z]+)*)>"
+    return F.regexp_replace(text, joined, "[$1]")
+
+
+def unwrap_brackets(text: Column, preserved: Sequence[str] = ()) -> Column:
+    """Pronunciations in brackets without them: /phonemes/ between slashes, or letters and marks joined by _ or -. Names in
+    `preserved` and all else keep their brackets."""
+    keep = r"(?!\s*(?i:" + "|".join(map(re.escape, preserved)) + r")\s*\])" if preserved else ""
+    phonemes, letters = r"/(?=[^/]*\S)[^/\[\]<>_\r\n\t-]+/", rf"(?=[^\]]*\p{{L}})(?:<{_CONSONANT}|[\p{{IsLatin}}\p{{M}}_-])+"
+    return F.regexp_replace(text, rf"\[{keep}({phonemes}|{letters})\]", "$1")
+
+
+def transcript(answer: Column) -> Column:
+    """The transcript of a model's answer: of its JSON, else of a line `transcript: ...`; null if it says there is none."""
+    json_ = F.get_json_object(answer, "$.transcript")
+    line = F.regexp_extract(answer, r"(?im)^\s*transcript\s*:[ \t]*(.+?)\s*$", 1)
+    found = F.trim(F.coalesce(json_, F.nullif(line, F.lit(""))))
+    return F.when(~F.lower(found).isin("", "null", "none", "n/a"), found)
+
+
 def clip_name(stem: Column, speaker: Column, start_ms: Column, end_ms: Column, index: Column) -> Column:
     return F.format_string("%s_%s_%09d-%09d_%04d.wav", stem, speaker, start_ms, end_ms, index)
 
@@ -61,6 +104,36 @@ def timestamp_label(seconds: Column) -> Column:
     return F.format_string("%d:%02d:%02d.%03d", F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60, F.floor(ms / 1000) % 60, ms % 1000)
 
 
+def percent_label(share: Column) -> Column:
+    """Share as percent with two decimals, n/a if there is none."""
+    return F.when(share.isNotNull(), F.format_string("%.2f%%", share * 100)).otherwise("n/a")
+
+
+def markdown_cell(text: Column) -> Column:
+    return F.regexp_replace(F.replace(text, F.lit("|"), F.lit("\\|")), r"[\r\n]+", " ")
+
+
+def redacted(line: Column) -> Column:
+    """A line of a log without the credentials of its addresses and keys."""
+    return F.regexp_replace(F.regexp_replace(line, r"(\w+://)[^/@\s]+@", "$1***@"), r"(?i)((?:api_?key|token|password|secret)=)[^&\s]+", "$1***")
+
+
+def listing_kind(url: Column) -> Column:
+    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
+    return F.when(F.try_parse_url(url, F.lit("QUERY"), F.lit("list")).isNotNull(), "playlist").when(path.rlike("^/(@|channel/|c/|user/)"), "channel").otherwise("video")
+
+
+def listing_url(url: Column) -> Column:
+    """The address of the list that a video's address names, else the address itself."""
+    named = F.try_parse_url(url, F.lit("QUERY"), F.lit("list"))
+    return F.when(named.isNotNull(), F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("HOST")), F.lit("/playlist?list="), named)).otherwise(url)
+
+
+def safe_endpoint(url: Column) -> Column:
+    """An address without credentials, query and fragment."""
+    return F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"^(\w+://)[^/@]*@", "$1")
+
+
 def rate_limit(text: Column) -> Column:
     """Bytes of 500K, 2M, 1.5G or a plain number; null if it isn't one."""
     number = F.nullif(F.regexp_extract(F.trim(text), r"^(\d+(?:\.\d+)?)([KMG]?)$", 1), F.lit("")).cast("double")
@@ -105,40 +178,136 @@ def json_payload(text: Column) -> Column:
     return F.pandas_udf(lambda s: pd.Series([_salvage(x) for x in s]), "string")(text)
 
 
+FIELDS = "decision string, speaker_purity string, word_completeness string, audio_quality string, failure_codes array<string>, transcript string, emotion string, boundary_start string, boundary_end string"
+
+#: Fixed values of a verdict's fields; the first of each says that nothing is wrong.
+SPEAKERS = ("pure", "secondary_speaker", "overlapping_speech")
+BOUNDARIES = ("complete", "clipped_word_start", "clipped_word_end")
+QUALITIES = ("studio_clean", "music_bleed", "noisy_reverberant", "distorted")
+#: Fixed codes that no field gives.
+INELIGIBLE = ("unsupported_language", "singing")
+
+
+def _parsed(answer: Column) -> Column:
+    return F.from_json(json_payload(answer), FIELDS)
+
+
+def answer_error(answer: Column) -> Column:
+    """invalid_json, json_not_object, or null for an answer that holds an object."""
+    body = json_payload(answer)
+    return F.when(body.isNull(), "invalid_json").when(~body.startswith("{"), "json_not_object")
+
+
+def verdict_error(answer: Column) -> Column:
+    """The first thing that is wrong with a verdict: its form, a field's value, codes that don't follow from the fields, a
+    decision that doesn't follow from the codes, or the transcript that a pass must have and a reject must not."""
+    v = _parsed(answer)
+    fields = (("speaker_purity", SPEAKERS), ("word_completeness", BOUNDARIES), ("audio_quality", QUALITIES))
+    known = [*INELIGIBLE, *(x for _, values in fields for x in values[1:])]
+    ok = F.coalesce(v["decision"].isin("pass", "reject"), F.lit(False))
+    error = F.when(answer_error(answer).isNotNull(), answer_error(answer)).when(~ok, "invalid_decision")
+    for name, values in fields:
+        error = error.when(~F.coalesce(v[name].isin(*values), F.lit(False)), f"invalid_{name}")
+    codes = v["failure_codes"]
+    error = error.when(codes.isNull() | F.exists(codes, lambda x: ~F.coalesce(x.isin(*known), F.lit(False))), "invalid_failure_codes")
+    due = F.array_sort(F.filter(F.array(*[v[n] for n, _ in fields]), lambda x: ~x.isin(SPEAKERS[0], BOUNDARIES[0], QUALITIES[0])))
+    due = F.array_sort(F.concat(due, F.array_intersect(F.array(*map(F.lit, INELIGIBLE)), codes)))
+    error = error.when(F.array_sort(codes) != due, "inconsistent_failure_codes").when((v["decision"] == "reject") != (F.size(due) > 0), "inconsistent_decision")
+    said = F.coalesce(F.trim(v["transcript"]), F.lit(""))
+    return error.when((v["decision"] == "pass") & (said == ""), "missing_transcript").when((v["decision"] == "reject") & v["transcript"].isNotNull(), "unexpected_transcript")
+
+
+def verdict_codes(answer: Column) -> Column:
+    """Sorted codes of a verdict: of its list, its fields and its clipped bounds, as far as they are known."""
+    v = _parsed(answer)
+    known = F.array(*map(F.lit, (*SPEAKERS[1:], *BOUNDARIES[1:], *QUALITIES[1:], *INELIGIBLE)))
+    clipped = lambda c, code: F.when(v[c] == "clipped", code)
+    own = F.array(v["speaker_purity"], v["word_completeness"], v["audio_quality"], clipped("boundary_start", "clipped_word_start"), clipped("boundary_end", "clipped_word_end"))
+    return F.array_sort(F.array_intersect(known, F.array_compact(F.concat(F.coalesce(v["failure_codes"], F.array().cast("array<string>")), own))))
+
+
+def flatten_answers(rows: DataFrame, answer: str) -> DataFrame:
+    """rows with a verdict's fields as columns, its codes joined, and the number of words of its transcript."""
+    flat = rows.withColumn("_v", _parsed(F.col(answer))).select(*rows.columns, "_v.*")
+    words = F.when(F.col("transcript").isNotNull(), F.regexp_count("transcript", F.lit(r"\S+")))
+    return flat.withColumn("words", words).withColumn("failure_codes", F.array_join("failure_codes", ";"))
+
+
+def fingerprint(entries: Column) -> Column:
+    """Digest of a map's JSON with sorted keys."""
+    return F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(entries)))), 256)
+
+
+#: Fixed names of the emotions that annotated texts may have; neutral leaves no tag.
+EMOTIONS = frozenset(
+    "neutral calm excited happy amused playful proud warm tender grateful relieved hopeful angry frustrated annoyed impatient anxious fearful panicked disgusted sad "
+    "disappointed hurt worried apologetic embarrassed tired bored nostalgic surprised shocked amazed curious confused hesitant skeptical confident determined serious "
+    "pleading sarcastic contemptuous".split()
+)
+_LETTER = r"[^\W\d_]"
+#: A word goes on over . , : / between digits and over an apostrophe between letters.
+_WORD = rf"""(?:[^\s\[\]<>!?~*;"“”‘’'(){{}}«».,:/]|(?<=\d)[.,:/](?=\d)|(?<={_LETTER})['’](?={_LETTER}))+"""
+_TOKEN = re.compile(rf"(?P<word>{_WORD})(?P<said>\[[^\]]*\])?|(?P<tag>\[[^\]]*\])|(?P<sound><[a-z]+(?:[_-][a-z]+)*>)|(?P<stray>[\[\]<>])|(?P<other>.)", re.S)
+_CLOSING = tuple(".,!?~*;:")
+
+
+def _pronunciation_error(said: str) -> str | None:
+    if not said.strip() or any(c in "[]<>" for c in said):
+        return "empty or nested annotation"
+    if "/" in said:
+        inner = said[1:-1]
+        fine = len(said) > 2 and said[0] == said[-1] == "/" and inner.strip() and not any(c in "/_-\r\n\t" for c in inner)
+    else:
+        fine = all(c in "_-" or (c.isalpha() and "LATIN" in unicodedata.name(c, "")) or unicodedata.category(c)[0] == "M" for c in said)
+    if not fine:
+        return "unsupported pronunciation"
+    return None if any(map(str.isalpha, said)) else "pronunciation without letters"
+
+
 def _forms(text: str | None) -> tuple[str | None, str | None, str | None]:
-    spoken, written, at = [], [], 0
+    """(spoken, written, error) of one annotated text."""
     text = text or ""
+    spoken, written, at = "", "", 0
+    fail = lambda place, what: (None, None, f"character {place + 1}: {what}")
     while at < len(text):
-        c = text[at]
-        if c == "]":
-            return None, None, f"unmatched ] at {at}"
-        if c == "[":
-            end = text.find("]", at)
-            inner = text[at + 1 : end] if end >= 0 else ""
-            if end < 0:
-                return None, None, f"unclosed [ at {at}"
-            if "[" in inner:
-                return None, None, f"nested [ at {at}"
-            if at and (text[at - 1].isalnum()):
-                k = len(spoken)
-                while k and not spoken[k - 1].isspace():
-                    k -= 1
-                spoken[k:] = list(inner.replace("_", " "))
-            at = end + 1
-            continue
-        if c == "<":
-            end = text.find(">", at)
-            if end < 0:
-                return None, None, f"unclosed < at {at}"
-            at = end + 1
-            continue
-        spoken.append(c)
-        written.append(c)
-        at += 1
-    tidy = lambda x: re.sub(r"\s+", " ", "".join(x)).strip()
-    return tidy(spoken), tidy(written), None
+        m = _TOKEN.match(text, at)
+        start, at, kind = m.start(), m.end(), m.lastgroup
+        if m["stray"]:
+            return fail(start, "invalid sound tag" if m["stray"] == "<" else "unclosed bracket" if m["stray"] == "[" else "unmatched closing bracket")
+        if m["word"]:
+            written += m["word"]
+            said = m["said"]
+            if said is None and text[at : at + 1] == "[":
+                return fail(at, "unclosed bracket")
+            if said and start >= 2 and text[start - 1] in ".:/" and text[start - 2].isalnum():
+                return fail(start, "ambiguous compound word")
+            if said and (error := _pronunciation_error(said[1:-1])):
+                return fail(m.start("said"), error)
+            spoken += said[1:-1] if said else m["word"]
+        elif m["tag"]:
+            label, after = m["tag"][1:-1], text[at:]
+            if not label.strip() or any(c in "[<>" for c in label):
+                return fail(start, "empty or nested annotation")
+            if label not in EMOTIONS or (start and not text[start - 1].isspace()):
+                return fail(start, "unsupported standalone bracket")
+            if after and not after[0].isspace() and not after.startswith(_CLOSING):
+                return fail(at, "emotion isn't separated from speech")
+            if label != "neutral":
+                spoken, written = spoken + m["tag"], written + m["tag"]
+                continue
+            rest = after.lstrip()
+            closing = not rest or rest.startswith(_CLOSING)
+            if closing:
+                spoken, written = spoken.rstrip(), written.rstrip()
+            if closing or not spoken or spoken[-1].isspace():
+                at = len(text) - len(rest)
+        else:
+            spoken, written = spoken + m[kind], written + m[kind]
+    spoken, written = spoken.strip(), written.strip()
+    return (spoken, written, None) if spoken and written else (None, None, "empty transcript")
 
 
 def transcript_forms(text: Column) -> Column:
-    """struct(spoken, written, error) of annotated text: word[pronunciation], [emotion], <sound>."""
+    """struct(spoken, written, error) of annotated text: word[pronunciation], [emotion], <sound>. The spoken form has the
+    pronunciations, the written one the words; sounds and emotions but neutral stay in both."""
     return F.pandas_udf(lambda s: pd.DataFrame([_forms(x) for x in s], columns=["spoken", "written", "error"]), "spoken string, written string, error string")(text)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,13 +102,55 @@ def cosine(a: str, b: str) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot / (norm(a) * norm(b))))
 
 
+#: Most vectors and references that meet in one task.
+CHUNK_ROWS, BLOCK_ROWS = 4096, 1024
+
+
+def best_reference(vectors: DataFrame, references: DataFrame) -> DataFrame:
+    """vec_id and best: the largest inner product of each vector (vec_id, embedding) with any reference (ref, ref_vector)
+    of another `owner`, if both sides have that column.
+
+    References come in blocks; a vector goes to every block once, in chunks, and meets a whole block in one product. Rows
+    grow by the number of blocks, not by pairs.
+    """
+    owned = "owner" in vectors.columns and "owner" in references.columns
+    refs, n = references.count(), vectors.count()
+    blocks, chunks = max(1, -(-refs // BLOCK_ROWS)), max(1, -(-n // CHUNK_ROWS))
+    owner = F.col("owner").cast("string") if owned else F.lit(None).cast("string")
+    left = vectors.select("vec_id", "embedding", owner.alias("owner"), F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = references.select("ref", "ref_vector", owner.alias("owner"), F.pmod(F.xxhash64("ref"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+
+    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"vec_id": [], "best": []}).astype({"vec_id": "int64", "best": "float64"})
+        near = np.stack(a["embedding"].to_numpy()).astype(float) @ np.stack(b["ref_vector"].to_numpy()).astype(float).T
+        if owned:
+            near[a["owner"].to_numpy()[:, None] == b["owner"].to_numpy()[None, :]] = -np.inf
+        best = near.max(axis=1)
+        return pd.DataFrame({"vec_id": a["vec_id"], "best": best})[best > -np.inf]
+
+    met = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(product, "vec_id long, best double")
+    return met.groupBy("vec_id").agg(F.max("best").alias("best"))
+
+
 def centroid_scores(vectors: DataFrame, key: str) -> DataFrame:
-    """Each vector's cosine to its own key's centroid and to the best other one. Centroids are a row a key."""
-    c = centroids(vectors, key).select(F.col(key).alias("of"), "centroid")
-    scored = vectors.join(c, F.lit(True)).withColumn("s", cosine("embedding", "centroid"))
-    own = F.max(F.when(F.col(key) == F.col("of"), F.col("s")))
-    best = F.max(F.when(F.col(key) != F.col("of"), F.col("s")))
-    return scored.groupBy("vec_id", key).agg(F.round(own, 6).alias("own"), F.round(best, 6).alias("best_other"))
+    """Each vector's cosine to its own key's centroid without the vector itself (null where there is no other vector of
+    the key), and to the best centroid of another key."""
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    unit = lambda v: F.transform(v, lambda x: F.try_divide(x, norm(v)))
+    rows = vectors.select("vec_id", key, F.col("embedding").cast("array<double>").alias("e"))
+    dims = rows.select(key, F.posexplode("e").alias("i", "x")).groupBy(key, "i").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
+    sums = dims.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "x"))).getField("x").alias("sums"), F.max("n").alias("n"))
+    rest = F.zip_with("sums", "e", lambda s, x: s - x)
+    dot = F.aggregate(F.zip_with("e", rest, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    own = F.when(F.col("n") > 1, F.try_divide(dot, norm(F.col("e")) * norm(rest)))
+    clip = lambda c: F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)), 6)
+    mine = rows.join(sums, key).select("vec_id", key, own.alias("own"))
+    others = best_reference(
+        rows.select("vec_id", F.col(key).alias("owner"), unit(F.col("e")).alias("embedding")), sums.select(F.col(key).alias("ref"), F.col(key).alias("owner"), unit(F.col("sums")).alias("ref_vector"))
+    )
+    clipped = lambda c: F.when(F.col(c).isNotNull(), clip(F.col(c)))
+    return mine.join(others, "vec_id", "left").select("vec_id", key, clipped("own").alias("own"), clipped("best").alias("best_other"))
 
 
 def first_per_group(rows: DataFrame, keys: list[str], order: list[Column | str], n: int) -> DataFrame:
