@@ -58,6 +58,17 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of a model with their tokens, from lineitem."""
+    key, part, supplier, line = (F.col(f"l_{c}") for c in ("orderkey", "partkey", "suppkey", "linenumber"))
+    quantity = F.col("l_quantity").cast("long")
+    return table(spark, sf_dir, "lineitem").select(
+        (key * 8 + line).alias("call_id"), F.concat(F.lit("m"), (part % 5).cast("string")).alias("model"), F.when(supplier % 3 == 0, "standard").when(supplier % 3 == 1, "batch").otherwise("flex").alias("tier"),
+        (quantity * 9000).alias("prompt_tokens"), (supplier % 4 * 3200).alias("audio_tokens"), (part % 7 * 1000).alias("text_tokens"), (key % 6 * 2500).alias("cached_tokens"), (key % 3 * 800).alias("cached_audio_tokens"),
+        (supplier % 50 * 10).alias("output_tokens"), (line * 20).cast("long").alias("thinking_tokens"), quantity.alias("minutes"),
+    )
+
+
 # --- the same views in DuckDB ---
 
 RAW_TURNS = """raw AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS recording_id, event_type AS speaker_id, user_id,
