@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import alignment as L
 from spanloom.operators import folds, intervals as I
+from spanloom.operators.timeline import along, upto_sum
 from spanloom.plans.registry import _weights, query, turned, turns, union_cte
 from spanloom.sources import tables as S
 
@@ -130,6 +131,27 @@ def _(spark, sf):
     return rates.agg(F.count("*").alias("recordings"), F.round(F.avg("der"), 6).alias("mean"), F.round(F.median("der"), 6).alias("median"), F.round(weighted, 6).alias("weighted"))
 
 
+@query("a08_jaccard_errors", turned("""SELECT a.recording_id, a.speaker_id, a.us::BIGINT AS speech_us, coalesce(x.us, 0)::BIGINT AS shared_us, (a.us + coalesce(b.us, 0) - coalesce(x.us, 0))::BIGINT AS united_us, round(1 - coalesce(x.us, 0) / (a.us + coalesce(b.us, 0) - coalesce(x.us, 0))::DOUBLE, 6) AS jaccard_error
+  FROM (SELECT recording_id, speaker_id, sum(end_us - start_us) AS us FROM ua GROUP BY ALL) a JOIN m USING (speaker_id) LEFT JOIN (SELECT recording_id, speaker_id, sum(end_us - start_us) AS us FROM ub GROUP BY ALL) b ON b.recording_id = a.recording_id AND b.speaker_id = mapped_from
+  LEFT JOIN (SELECT ua.recording_id, ua.speaker_id, sum(least(ua.end_us, ub.end_us) - greatest(ua.start_us, ub.start_us)) AS us FROM ua JOIN m USING (speaker_id) JOIN ub ON ub.recording_id = ua.recording_id AND ub.speaker_id = mapped_from AND ua.start_us < ub.end_us AND ub.start_us < ua.end_us GROUP BY ALL) x
+  ON x.recording_id = a.recording_id AND x.speaker_id = a.speaker_id""", HYP, NAMES, union_cte("ua", "turns", "recording_id, speaker_id"), union_cte("ub", "h", "recording_id, speaker_id")))
+def _(spark, sf):
+    return L.jaccard_errors(turns(spark, sf), hypothesis(spark, sf), given_names(spark, sf))
+
+
+@query("a07_speaker_count_error", turned("SELECT recording_id, coalesce(a.n, 0) AS expected, coalesce(b.n, 0) AS found, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS error FROM (SELECT recording_id, count(DISTINCT speaker_id) AS n FROM turns GROUP BY ALL) a FULL JOIN (SELECT recording_id, count(DISTINCT speaker_id) AS n FROM h GROUP BY ALL) b USING (recording_id)", HYP))
+def _(spark, sf):
+    return L.speaker_count_error(turns(spark, sf), hypothesis(spark, sf))
+
+
+@query("a30_paired_bootstrap", f"""WITH {S.VERDICTS}, c AS (SELECT *, row_number() OVER (ORDER BY recording_id) - 1 AS k, count(*) OVER () AS c FROM (SELECT recording_id, sum((candidate = reference)::INT) AS h0, count(candidate = reference) AS n0, sum((n_chars % 3 > 0)::INT) AS h1, count(*) AS n1 FROM v GROUP BY ALL)),
+  d AS (SELECT r, ('0x' || substr(md5('123:' || r || ':' || i), 1, 8))::BIGINT % c AS k FROM range(200) x(r), (SELECT k AS i, c FROM c)), s AS (SELECT r, sum(h0) / sum(n0)::DOUBLE - sum(h1) / sum(n1)::DOUBLE AS g FROM d JOIN c USING (k) GROUP BY r)
+  SELECT count(*) AS replicates, round(quantile_cont(g, 0.025), 6) AS low, round(quantile_cont(g, 0.5), 6) AS middle, round(quantile_cont(g, 0.975), 6) AS high FROM s WHERE g IS NOT NULL""")
+def _(spark, sf):
+    judged = S.verdicts(spark, sf).withColumn("a", (F.col("candidate") == F.col("reference")).cast("int")).withColumn("b", (F.col("n_chars") % 3 > 0).cast("int"))
+    return L.paired_bootstrap(judged, "recording_id", "a", "b", 200, 123)
+
+
 @query("g12_activity_frames", turned("SELECT * FROM act", ACTIVE))
 def _(spark, sf):
     return L.activity(turns(spark, sf), 10_000_000)
@@ -151,22 +173,22 @@ def _(spark, sf):
     return L.frame_runs(frames(spark, sf).where("p >= 0.4"), 3)
 
 
-@query("w23_running_mean", turned("SELECT recording_id, turn_index, round(avg(confidence) OVER (PARTITION BY recording_id, speaker_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING), 6) AS mean FROM turns"))
+@query("w23_running_mean", turned("SELECT recording_id, turn_index, (sum(k) OVER w * 10000 // count(k) OVER w)::BIGINT AS mean_micro FROM (SELECT *, round(confidence * 100)::BIGINT AS k FROM turns) WINDOW w AS (PARTITION BY recording_id, speaker_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING)"))
 def _(spark, sf):
-    w = Window.partitionBy("recording_id", "speaker_id").orderBy("turn_index").rowsBetween(Window.unboundedPreceding, 0)
-    return turns(spark, sf).select("recording_id", "turn_index", F.round(F.avg("confidence").over(w), 6).alias("mean"))
+    """In millionths, from sums of whole hundredths."""
+    whole = turns(spark, sf).withColumn("k", F.round(F.col("confidence") * 100).cast("long"))
+    sums = along(whole, ["recording_id", "speaker_id"], ["start_us", "turn_index"], s=upto_sum("k"), n=upto_sum(F.col("k").isNotNull().cast("long")))
+    return sums.select("recording_id", "turn_index", F.floor(F.try_divide(F.col("s") * 10000, F.col("n"))).alias("mean_micro"))
 
 
-# --- keys, picks, resampling ---
+@query("w23_running_profile", "SELECT label, vec_id, i::INT AS i, sum(x) OVER (PARTITION BY label, i ORDER BY vec_id ROWS UNBOUNDED PRECEDING)::BIGINT AS total, count(*) OVER (PARTITION BY label, i ORDER BY vec_id ROWS UNBOUNDED PRECEDING) AS n FROM (SELECT label, vec_id, floor(unnest(embedding)::DOUBLE * 1000000)::BIGINT AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)")
+def _(spark, sf):
+    """A profile after each of its vectors, as sums of millionths and their number, dimension by dimension."""
+    dims = S.table(spark, sf, "embeddings").select("label", "vec_id", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.floor(F.col("x").cast("double") * 1_000_000))
+    return along(dims, ["label", "i"], ["vec_id"], at="vec_id", width=1 << 16, total=upto_sum("x"), n=upto_sum(F.lit(1).cast("long"))).drop("x")
 
 
-@query("j18_match_exactly_one", """WITH k AS (SELECT page_id, page_id % 50 AS stem FROM pages), d AS (SELECT doc_id % 70 AS stem, count(*) AS n, min(doc_id) AS doc_id FROM documents WHERE doc_id % 3 = 0 AND doc_id < 120 GROUP BY ALL)
-  SELECT page_id, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN n = 1 THEN doc_id END AS doc_id FROM k LEFT JOIN d USING (stem)""")
-def _(spark, sf):
-    keyed = S.table(spark, sf, "pages").select("page_id", (F.col("page_id") % 50).alias("stem"))
-    found = S.table(spark, sf, "documents").where("doc_id % 3 = 0 AND doc_id < 120").groupBy((F.col("doc_id") % 70).alias("stem")).agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "ambiguous").otherwise("matched")
-    return keyed.join(found, "stem", "left").select("page_id", status.alias("status"), F.when(F.col("n") == 1, F.col("doc_id")).alias("doc_id"))
+# --- keys, picks, resampling ---
 
 
 @query("j20_first_key_that_matches", """SELECT doc_id, arg_min(key, place) AS key, min(place) AS place FROM (SELECT d.doc_id, c.key, c.place FROM documents d, LATERAL (VALUES (d.doc_id, 0), (d.doc_id * 2, 1), (d.doc_id // 2, 2)) c(key, place)) x

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as T
 from spanloom.operators import analytics as A
 from spanloom.operators import folds, intervals as I
+from spanloom.operators.timeline import along, following, previous
 from spanloom.sources import tables as S
 from spanloom.streaming import windows as W
 
@@ -123,8 +124,8 @@ def _(spark, sf):
 @query("j12_previous_next", turned("""SELECT recording_id, turn_index, lag(speaker_id) OVER w AS previous, lead(speaker_id) OVER w AS next, start_us - lag(end_us) OVER w AS gap_us FROM turns
   WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index)"""))
 def _(spark, sf):
-    w = Window.partitionBy("recording_id").orderBy("turn_index")
-    return turns(spark, sf).select("recording_id", "turn_index", F.lag("speaker_id").over(w).alias("previous"), F.lead("speaker_id").over(w).alias("next"), (F.col("start_us") - F.lag("end_us").over(w)).alias("gap_us"))
+    near = along(turns(spark, sf), ["recording_id"], ["start_us", "turn_index"], previous=previous("speaker_id"), next=following("speaker_id"), _end=previous("end_us"))
+    return near.select("recording_id", "turn_index", "previous", "next", (F.col("start_us") - F.col("_end")).alias("gap_us"))
 
 
 @query("a03_union_length", turned("SELECT recording_id, cast(sum(end_us - start_us) AS BIGINT) AS union_us FROM u GROUP BY ALL", union_cte("u", "turns", "recording_id")))
@@ -156,21 +157,50 @@ def _(spark, sf):
     return I.merge_turns(turns(spark, sf), 120_000_000)
 
 
+DECIDED = """dec AS (SELECT *, CASE WHEN ps IS NULL THEN 'first_turn' WHEN ps <> speaker_id THEN 'other_speaker' WHEN start_us < pt THEN 'overlapping_turns' WHEN start_us - pt > 120000000 THEN 'gap_too_long'
+  WHEN EXISTS (SELECT 1 FROM turns c WHERE c.recording_id = prev.recording_id AND c.speaker_id <> prev.speaker_id AND c.start_us < prev.end_us AND c.end_us > prev.pf) THEN 'competing_speaker'
+  WHEN EXISTS (SELECT 1 FROM raw c WHERE c.recording_id = prev.recording_id AND c.event_id % 3 = 0 AND prev.start_us > prev.pt AND (c.start_us // 1000000) * 1000000 < prev.start_us AND (c.start_us // 1000000 + 1) * 1000000 > prev.pt) THEN 'gap_not_silent' ELSE 'merged' END AS decision FROM prev)"""
+
+
+def _loud(spark, sf):
+    return S.raw_turns(spark, sf).where("event_id % 3 = 0").select("recording_id", F.floor(F.col("start_us") / 1_000_000).alias("frame")).distinct()
+
+
+@query("w01_merge_decisions", turned("SELECT recording_id, turn_index, decision FROM dec", MERGED[0], DECIDED))
+def _(spark, sf):
+    return I.merge_decisions(turns(spark, sf), 120_000_000, _loud(spark, sf)).select("recording_id", "turn_index", "decision")
+
+
+@query("w01_merge_silent_turns", turned("""SELECT recording_id, min(speaker_id) AS speaker_id, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS sources FROM (
+  SELECT *, sum((decision <> 'merged')::INT) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS chain FROM dec) GROUP BY recording_id, chain""", MERGED[0], DECIDED))
+def _(spark, sf):
+    return I.merge_turns(turns(spark, sf), 120_000_000, _loud(spark, sf)).drop("confidence")
+
+
 @query("w01_merge_turns_capped")
 def _(spark, sf):
     return folds.merge_capped(turns(spark, sf), 120_000_000, 300_000_000)
 
 
-CLEAN = ["""c AS (SELECT *, coalesce(lag(speaker_id) OVER w = lead(speaker_id) OVER w AND lag(speaker_id) OVER w <> speaker_id AND end_us - start_us < 20000000, false) AS cand, lag(speaker_id) OVER w AS around
-  FROM turns WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index))""",
-"r AS (SELECT *, turn_index - sum(cand::INT) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS run FROM c)",
-"""p AS (SELECT recording_id, turn_index, start_us, end_us, CASE WHEN cand AND row_number() OVER (PARTITION BY recording_id, cand, CASE WHEN cand THEN run END ORDER BY turn_index) % 2 = 1 THEN around ELSE speaker_id END AS speaker_id FROM r)""",
-"""q AS (SELECT *, sum(ch) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS speech FROM (SELECT *, CASE WHEN speaker_id = lag(speaker_id) OVER (PARTITION BY recording_id ORDER BY turn_index) THEN 0 ELSE 1 END AS ch FROM p))"""]
+CLEAN = ["""c AS (SELECT *, coalesce(ps = fs AND ps <> speaker_id AND end_us - start_us <= 20000000 AND start_us - pe BETWEEN 0 AND 60000000 AND ff - end_us BETWEEN 0 AND 60000000 AND NOT EXISTS (
+    SELECT 1 FROM turns b WHERE b.recording_id = x.recording_id AND b.turn_index <> x.turn_index AND b.start_us < x.end_us AND x.start_us < b.end_us), false) AS cand
+  FROM (SELECT *, lag(speaker_id) OVER w AS ps, lag(end_us) OVER w AS pe, lead(speaker_id) OVER w AS fs, lead(start_us) OVER w AS ff FROM turns WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index)) x)""",
+"""l AS (SELECT recording_id, turn_index, start_us, end_us, CASE WHEN cand AND (turn_index - coalesce(last_value(CASE WHEN NOT cand THEN turn_index END IGNORE NULLS) OVER (
+    PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING), -1)) % 2 = 1 THEN ps ELSE speaker_id END AS speaker_id FROM c)""",
+"""n AS (SELECT *, lag(speaker_id) OVER w AS ps, lag(end_us) OVER w AS pe, lead(speaker_id) OVER w AS fs, lead(start_us) OVER w AS ff FROM l WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index))""",
+"""t AS (SELECT recording_id, turn_index, speaker_id,
+  greatest(CASE WHEN ps <> speaker_id AND pe > start_us THEN (pe + start_us) // 2 + 500000 WHEN ps <> speaker_id AND start_us - pe < 1000000 THEN start_us + 500000 ELSE start_us END, 0) AS start_us,
+  CASE WHEN fs <> speaker_id AND end_us > ff THEN (end_us + ff) // 2 - 500000 WHEN fs <> speaker_id AND ff - end_us < 1000000 THEN end_us - 500000 ELSE end_us END AS end_us FROM n)""",
+"""q AS (SELECT *, sum(ch) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS speech FROM (
+  SELECT *, CASE WHEN speaker_id = lag(speaker_id) OVER (PARTITION BY recording_id ORDER BY turn_index) THEN 0 ELSE 1 END AS ch FROM t WHERE end_us > start_us))""",
+"""g AS (SELECT *, sum(fresh) OVER (PARTITION BY recording_id, speech ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN start_us <= 60000000 + max(end_us) OVER (
+  PARTITION BY recording_id, speech ORDER BY turn_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM q))"""]
 
 
-@query("w04_cleanup", turned("SELECT recording_id, speaker_id, start_us, end_us, n FROM u WHERE end_us - start_us >= 5000000", *CLEAN, union_cte("u", "q", "recording_id, speaker_id, speech", 60_000_000)))
+@query("w04_cleanup", turned("""SELECT * FROM (SELECT recording_id, speaker_id, arg_min(start_us, turn_index) AS start_us, max(end_us) AS end_us, count(*) AS n FROM g GROUP BY recording_id, speaker_id, speech, island)
+  WHERE end_us - start_us >= 5000000""", *CLEAN))
 def _(spark, sf):
-    return I.cleanup(turns(spark, sf), 20_000_000, 60_000_000, 5_000_000)
+    return I.cleanup(turns(spark, sf), 20_000_000, 500_000, 60_000_000, 5_000_000)
 
 
 @query("w07_erode_boundaries", turned("""SELECT recording_id, turn_index, start_us, end_us FROM (SELECT recording_id, turn_index,
@@ -195,15 +225,13 @@ def _(spark, sf):
     return folds.match_speakers(_weights(spark, sf))
 
 
-@query("w18_speaker_runs", turned("""SELECT recording_id, speaker_id, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS turns FROM (SELECT *, sum(b) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS run FROM (
-  SELECT *, CASE WHEN speaker_id = lag(speaker_id) OVER w AND start_us - lag(end_us) OVER w BETWEEN 0 AND 300000000 THEN 0 ELSE 1 END AS b FROM turns WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index)))
-  GROUP BY recording_id, speaker_id, run"""))
+@query("w18_speaker_runs", turned("""SELECT recording_id, speaker_id, min(turn_index) AS run, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS turns FROM (SELECT *, sum(b) OVER (PARTITION BY recording_id ORDER BY turn_index ROWS UNBOUNDED PRECEDING) AS r FROM (
+  SELECT *, CASE WHEN speaker_id = ps AND start_us - pe BETWEEN 0 AND 300000000 AND NOT EXISTS (SELECT 1 FROM turns c WHERE c.recording_id = x.recording_id AND c.speaker_id <> x.speaker_id AND c.start_us < x.start_us AND c.end_us > x.pe)
+  AND NOT EXISTS (SELECT 1 FROM turns c WHERE c.recording_id = x.recording_id AND c.event_id % 10 = 0 AND c.start_us < x.start_us AND c.end_us > x.pe AND x.start_us > x.pe) THEN 0 ELSE 1 END AS b
+  FROM (SELECT *, lag(speaker_id) OVER w AS ps, lag(end_us) OVER w AS pe FROM turns WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index)) x)) GROUP BY recording_id, speaker_id, r"""))
 def _(spark, sf):
-    w = Window.partitionBy("recording_id").orderBy("turn_index")
-    gap = F.col("start_us") - F.lag("end_us").over(w)
-    fresh = F.when((F.col("speaker_id") == F.lag("speaker_id").over(w)) & gap.between(0, 300_000_000), 0).otherwise(1)
-    runs = turns(spark, sf).withColumn("_b", fresh).withColumn("_run", F.sum("_b").over(w))
-    return runs.groupBy("recording_id", "speaker_id", "_run").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("turns")).drop("_run")
+    t = turns(spark, sf)
+    return I.speaker_runs(t, 300_000_000, t.where("event_id % 10 = 0"))
 
 
 @query("w19_sliding_windows", turned("""SELECT recording_id, turn_index, ws AS window_start_us, least(ws + 20000000, end_us) AS window_end_us FROM (SELECT DISTINCT * FROM (
@@ -214,20 +242,21 @@ def _(spark, sf):
 
 @query("w20_hysteresis", f"""WITH {S.RAW_TURNS}, f AS (SELECT recording_id, start_us // 60000000 AS frame, avg((event_id * 37 + user_id * 11) % 100) / 100 AS p FROM raw GROUP BY ALL),
   st AS (SELECT *, coalesce(last_value(CASE WHEN p > 0.6 THEN 1 WHEN p < 0.3 THEN 0 END IGNORE NULLS) OVER (PARTITION BY recording_id ORDER BY frame ROWS UNBOUNDED PRECEDING), 0) AS act FROM f),
-  x AS (SELECT recording_id, frame AS start_us, frame + 1 AS end_us FROM st WHERE act = 1), {union_cte("u", "x", "recording_id", 5)}
-  SELECT recording_id, start_us AS first_frame, end_us AS end_frame, n AS active_frames FROM u""")
+  x AS (SELECT recording_id, frame AS start_us, frame + 1 AS end_us FROM st WHERE act = 1), {union_cte("r", "x", "recording_id")},
+  y AS (SELECT recording_id, greatest(start_us - 1, 0) AS start_us, end_us + 2 AS end_us FROM r WHERE end_us + 2 - greatest(start_us - 1, 0) >= 5), {union_cte("u", "y", "recording_id", 5)}
+  SELECT recording_id, start_us AS first_frame, end_us AS end_frame, n AS runs FROM u""")
 def _(spark, sf):
     raw = S.raw_turns(spark, sf)
     frames = raw.groupBy("recording_id", F.floor(F.col("start_us") / 60_000_000).alias("frame")).agg((F.avg((F.col("event_id") * 37 + F.col("user_id") * 11) % 100) / 100).alias("p"))
-    return I.hysteresis(frames, 0.6, 0.3, 5)
+    return I.hysteresis(frames, 0.6, 0.3, 5, (1, 2), 5)
 
 
 @query("w30_largest_gap", turned("""SELECT recording_id, cast(max(g) AS BIGINT) AS largest_gap_us FROM (SELECT recording_id, CASE WHEN speaker_id = lag(speaker_id) OVER w THEN start_us - lag(end_us) OVER w END AS g FROM turns
   WINDOW w AS (PARTITION BY recording_id ORDER BY turn_index)) GROUP BY ALL"""))
 def _(spark, sf):
-    w = Window.partitionBy("recording_id").orderBy("turn_index")
-    gap = F.when(F.col("speaker_id") == F.lag("speaker_id").over(w), F.col("start_us") - F.lag("end_us").over(w))
-    return turns(spark, sf).withColumn("_g", gap).groupBy("recording_id").agg(F.max("_g").alias("largest_gap_us"))
+    near = along(turns(spark, sf), ["recording_id"], ["start_us", "turn_index"], _s=previous("speaker_id"), _e=previous("end_us"))
+    gap = F.when(F.col("speaker_id") == F.col("_s"), F.col("start_us") - F.col("_e"))
+    return near.withColumn("_g", gap).groupBy("recording_id").agg(F.max("_g").alias("largest_gap_us"))
 
 
 def _stage_sql(name: str, of: str) -> list[str]:
@@ -262,6 +291,12 @@ def _(spark, sf):
     return turns(spark, sf).groupBy(F.floor((F.col("end_us") - F.col("start_us")) / 5_000_000).alias("bin")).agg(F.count("*").alias("n"))
 
 
+@query("a23_duration_summary", turned("SELECT count(*) AS n, (sum(end_us - start_us) // count(*))::BIGINT AS mean_us, median(end_us - start_us) AS median_us FROM turns"))
+def _(spark, sf):
+    us = F.col("end_us") - F.col("start_us")
+    return turns(spark, sf).agg(F.count("*").alias("n"), F.floor(F.sum(us) / F.count("*")).alias("mean_us"), F.percentile(us, 0.5).alias("median_us"))
+
+
 @query("a24_cutoff_curve", turned("""SELECT g * 5000000 AS threshold_us, count(*) FILTER (WHERE end_us - start_us >= g * 5000000) AS remaining, cast(coalesce(sum(end_us - start_us) FILTER (WHERE end_us - start_us >= g * 5000000), 0) AS BIGINT) AS remaining_us
   FROM turns, range(61) r(g) GROUP BY g"""))
 def _(spark, sf):
@@ -322,15 +357,6 @@ def _(spark, sf):
     return S.verdicts(spark, sf).select("key", "reference", "candidate", status.alias("status"))
 
 
-@query("j16_expected_actual", """WITH e AS (SELECT doc_id AS key FROM documents WHERE doc_id % 3 <> 0), a AS (SELECT doc_id AS key, quality FROM labels)
-  SELECT coalesce(e.key, a.key) AS key, CASE WHEN e.key IS NULL THEN 'orphan' WHEN a.key IS NULL THEN 'missing' ELSE 'matched' END AS status, a.quality FROM e FULL JOIN a ON e.key = a.key""")
-def _(spark, sf):
-    e = S.table(spark, sf, "documents").where("doc_id % 3 <> 0").select("doc_id", F.lit(1).alias("_e"))
-    a = S.table(spark, sf, "labels").select("doc_id", "quality", F.lit(1).alias("_a"))
-    status = F.when(F.col("_e").isNull(), "orphan").when(F.col("_a").isNull(), "missing").otherwise("matched")
-    return e.join(a, "doc_id", "full").select(F.col("doc_id").alias("key"), status.alias("status"), "quality")
-
-
 # --- ranking ---
 
 
@@ -393,11 +419,6 @@ def _(spark, sf):
     return c.select(LAB, F.posexplode("centroid").alias("i", "x")).withColumn("x", F.round("x", 5))
 
 
-@query("j24_centroid_scores")
-def _(spark, sf):
-    return A.centroid_scores(S.table(spark, sf, "embeddings"), LAB)
-
-
 @query("f04_tag_filter", "SELECT doc_id FROM documents WHERE lang = 'en' AND source NOT IN ('src1', 'src2') AND n_chars / 15.0 BETWEEN 20.0 AND 200.0")
 def _(spark, sf):
     catalog = S.table(spark, sf, "documents").select("doc_id", F.array("lang", "source").alias("tags"), (F.col("n_chars") / 15.0).alias("duration_s"))
@@ -505,4 +526,4 @@ def _(spark, sf):
     return W.sessions(S.table(spark, sf, "events"))
 
 
-from spanloom.plans import alignment  # noqa: E402, F401 (adds its queries)
+from spanloom.plans import alignment, curation, formats, judgements, planning  # noqa: E402, F401 (they add their queries)
