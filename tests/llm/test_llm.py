@@ -1,19 +1,23 @@
 import hashlib
 import heapq
+import itertools
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
-
+import xxhash
 from pyspark.sql import functions as F
 
 bpe = pytest.importorskip("spanloom.llm.bpe")
 from spanloom.llm import language, mixing, nearcopies, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts  # noqa: E402
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, doc long, kept string, node long, runs string"
 LONG = "the long text of a house and of many words. " * 400
+CLASH = (7, "k", 7, "r")
 ODD = [
     (0, "the cat sat on the mat and the dog", "en", "a", 1, 5, 0.5),
     (0, "the cat sat on the mat and the dog", "en", "a", 1, 5, 0.5),
@@ -27,6 +31,7 @@ ODD = [
     (8, "x" * 5000, None, "c", 5000, 1, 1.0),
     (9, "été 日本語 🎉 ß", "fr", "c", 9, 1, 1.0),
 ]
+ODD = [(*row, *CLASH) for row in ODD]
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -44,7 +49,7 @@ def all_operators(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)] + [(None, 1, None), (3, None, 1)], LABELS)
     return {
         1: sharding.shard(docs), 2: language.identify(docs), 3: quality.score_documents(docs, labels), 4: simhash.simhash_components(docs),
-        6: mixing.mix(docs.select("doc_id", "text", "source"), ["doc_id"]), 7: spotsigs.compare_edited(docs), 8: suffix.without_repeats(docs),
+        6: mixing.mix(docs), 7: spotsigs.compare_edited(docs), 8: suffix.without_repeats(docs),
         9: bpe.encode_documents(docs, bpe.public_path("word_bpe_49k.json")),
         10: tokencounts.count_tokens(tokencounts.flatten(docs, bpe.public_path("byte_bpe_50k.tiktoken"))),
     }
@@ -52,7 +57,17 @@ def all_operators(spark, docs):
 
 def test_odd_rows_each_get_a_result(spark, odd):
     for n, result in all_operators(spark, odd).items():
-        assert result.count() == len(ODD), n
+        got = result.collect()
+        assert len(got) == len(ODD), n
+        if n != 10:
+            assert sorted(r.doc_id if r.doc_id is not None else -1 for r in got) == sorted(r[0] if r[0] is not None else -1 for r in ODD), n
+
+
+def test_long_ids_stay_exact_beside_nulls(spark):
+    docs = spark.createDataFrame([((1 << 53) + 1, "a b"), (None, "c")], "doc_id long, text string").coalesce(1)
+    path = bpe.public_path("word_bpe_49k.json")
+    for found in (bpe.encode_documents(docs, path), spotsigs.compare_edited(docs), tokencounts.flatten(docs, bpe.public_path("byte_bpe_50k.tiktoken")).select(F.explode("ended").alias("doc_id"))):
+        assert {r.doc_id for r in found.collect()} == {(1 << 53) + 1, None}
 
 
 def test_empty_tables_give_empty_results(spark, empty):
@@ -116,6 +131,21 @@ def test_covering_masks_miss_no_pair_and_groups_split_exactly(spark, monkeypatch
     assert got == {f: find(i) for i, f in enumerate(fps)}
 
 
+def fingerprint_by_hand(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or "").encode())
+    grams = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_are_those_by_hand(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", None, " \n", "One", "One two", "ÄB äb\x0bx\x1cy ", "a " * 50, *(" ".join(rng.choices("ab cd É".split(), k=rng.randint(1, 30))) for _ in range(40))]
+    for chunk in (1 << 16, 5):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        assert all(simhash.fingerprint_of(t) % (1 << 64) == fingerprint_by_hand(t) for t in texts)
+
+
 def test_near_copies_without_an_id_are_kept_apart(spark):
     texts = ["one text of a house by the sea", "quite another one about trains and snow", "the third speaks of bread"]
     rows = [(None, x) for x in texts[:2]] + [(None, texts[2]), (7, texts[2]), (4, texts[2])]
@@ -159,6 +189,30 @@ def cut_by_force(texts):
     return out
 
 
+def test_texts_over_a_chunk_and_passages_of_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "CHUNK", 700)
+    monkeypatch.setattr(suffix, "GROUP", 4)
+    rng = random.Random(12)
+    own = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, long = own(260), own(3000)
+    texts = [(i, own(rng.randint(0, 200)) + shared[rng.randint(0, 40) :] + own(50)) for i in range(60)] + [(60, long), (61, own(10) + long + own(10)), (62, long * 2)]
+    want = cut_by_force(texts)
+    got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffix.without_repeats(spark.createDataFrame(texts, "doc_id long, text string"), 5).collect()}
+    assert got == want
+
+
+def test_levels_merge_and_stay_few(spark):
+    texts = spark.createDataFrame([(i, "".join(random.Random(i).choices("abc ", k=400))) for i in range(60)], "doc long, text string").withColumn("variant", F.lit(0).cast("long"))
+    family, sizes = suffix.SuffixLevels(4), []
+    for i in range(5):
+        family.add(texts.where(f"doc >= {i * 12} AND doc < {i * 12 + 12}"))
+        sizes.append(len(family.levels))
+    assert max(sizes) <= 3 and len(family.tables) > 5
+    plan = suffix.merge_scan(suffix.suffix_array(texts).repartition(4, "key"), [x for _, x in family.levels])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    family.drop()
+
+
 @pytest.mark.parametrize("group", [256, 1])
 def test_repeats_are_those_of_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(suffix, "GROUP", group)
@@ -212,6 +266,25 @@ def test_dealt_out_long_text_is_exact(spark, monkeypatch):
     assert {r.doc_id: r.ids for r in got} == {d: " ".join(map(str, t.encode(x, add_special_tokens=False).ids)) for d, x in texts}
 
 
+def test_text_without_a_space_is_encoded_exactly():
+    e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"))
+    rng = random.Random(9)
+    for alphabet in ("abcdefghijklmnop", "aé́1'sß", "日本語漢字"):
+        x = "".join(rng.choices(alphabet, k=60_000))
+        ids = e.tokenizer.encode(x, add_special_tokens=False).ids
+        assert e.encode(x)[1] == " ".join(map(str, ids))
+
+
+def test_whole_texts_are_halved_anywhere_and_joined_exactly():
+    rng = random.Random(10)
+    for part in (1, 5, 64):
+        e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"), leaf=16, part=part)
+        for _ in range(60):
+            x = "".join(rng.choices(["ab", " ", "  ", "\n", "d'été", "x1!", "日本"], k=rng.randint(0, 60)))
+            ids = e.tokenizer.encode(x, add_special_tokens=False).ids
+            assert e.encode(x) == (len(ids), " ".join(map(str, ids)), e.tokenizer.decode(ids, skip_special_tokens=False))
+
+
 def test_mix_comes_near_targets(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 13), f"s{i % 7}" if i % 5 else None) for i in range(900)], "doc_id long, text string, source string")
     got = mixing.mix(docs).toPandas()
@@ -220,6 +293,50 @@ def test_mix_comes_near_targets(spark):
         assert abs(g.taken.sum() - g.target.iloc[0]) <= 2 * g["size"].max()
 
 
+def test_gram_counts_are_those_by_hand(monkeypatch):
+    def by_hand(text):
+        codes = [language.EDGE]
+        for c in text.lower():
+            code = ord(c) if c.isalpha() else language.EDGE
+            if code != language.EDGE or codes[-1] != language.EDGE:
+                codes.append(code)
+        codes += [language.EDGE] if codes[-1] != language.EDGE else []
+        out = Counter(c for c in codes if c != language.EDGE)
+        out.update(a << 21 | b for a, b in zip(codes, codes[1:], strict=False))
+        out.update(a << 42 | b << 21 | c for a, b, c in zip(codes, codes[1:], codes[2:], strict=False) if b != language.EDGE)
+        return out
+
+    rng = random.Random(1)
+    for chunk in (1, 2, 5, 1 << 20):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        for _ in range(100):
+            text = "".join(rng.choices("abé 1\n", k=rng.randint(0, 14)))
+            grams, counts = language.gram_counts(text)
+            assert dict(zip(grams.tolist(), counts.tolist(), strict=True)) == by_hand(text)
+
+
+def test_out_of_place_distance_is_that_by_hand():
+    ranked = {"x": [97, 98, 99], "y": [98, 97, 120]}
+    p = language.Profiles(ranked, 4)
+    grams, counts = language.gram_counts("ab b")
+    own = language.profile(grams, counts, 4).tolist()
+    far = {k: sum(abs(v.index(g) - i) if g in v else 4 for i, g in enumerate(own)) for k, v in ranked.items()}
+    best = min(sorted(far), key=far.get)
+    assert p.predict("ab b") == (best, 1 - far[best] / (4 * len(own)))
+
+
+def test_marginals_are_those_of_all_labellings():
+    rng = np.random.default_rng(5)
+    for n in range(1, 7):
+        field = quality.LineField(rng.normal(size=3), rng.normal(size=(2, 2)))
+        x = rng.normal(size=(n, 3))
+        e, weight = x @ field.weights, {}
+        for labels in itertools.product((0, 1), repeat=n):
+            weight[labels] = np.exp(sum(e[i] for i in range(n) if labels[i]) + sum(field.transitions[a, b] for a, b in zip(labels, labels[1:], strict=False)))
+        want = [sum(w for labels, w in weight.items() if labels[i]) / sum(weight.values()) for i in range(n)]
+        assert np.allclose(field.marginals(x), want)
+
+
 def test_language_and_quality_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
@@ -239,6 +356,55 @@ def test_edited_texts_and_next_ones(spark):
         assert got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and 0 <= got[d].near_next <= 1
 
 
+def test_near_pairs_are_those_of_all_pairs(spark):
+    rng = random.Random(7)
+    words = "the a of and to house tree river stone road bread light wind rain".split()
+    bases = [[rng.choice(words) for _ in range(60)] for _ in range(5)]
+    texts = ["", None, "the"] + [" ".join(rng.choice(words) if rng.random() < share else w for w in rng.choice(bases)) for share in (0, 0.01, 0.03, 0.1) for _ in range(15)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {spotsigs.digest(s): s for s in map(spotsigs.spots, texts) if len(s)}
+    for least in (0.8, 0.5):
+        want = {}
+        for a, b in itertools.combinations(sets, 2):
+            near = len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
+            if near >= least:
+                want[frozenset((a, b))] = round(near, 9)
+        got = {frozenset((r.a, r.b)): round(r.likeness, 9) for r in spotsigs.near_pairs(docs, least).collect()}
+        assert got == want and want
+
+
+def test_likeness_is_that_of_the_returned_sets(spark):
+    texts = [(i, f"the house {i} and the tree of the old town by the sea {i % 2}") for i in range(6)]
+    for r in spotsigs.compare_edited(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        a, b = set(r.signatures), set(r.edited_signatures)
+        assert r.near_edited == len(a & b) / len(a | b)
+
+
+def test_flat_files_are_read_and_counted(spark, tmp_path):
+    rng = random.Random(2)
+    want = {}
+    for f in range(3):
+        counts = [rng.randint(0, 40) for _ in range(30)]
+        ids = [x for n in counts for x in [*(rng.randint(0, 50_000) for _ in range(n)), tokencounts.SEPARATOR]]
+        (tmp_path / f"{f}.bin").write_bytes(np.array([*ids, 1, 2][: len(ids) + f], dtype="<u2").tobytes())
+        want[f"{f}.bin"] = counts + ([f] if f else [])
+    blocks = tokencounts.read_flat(spark, str(tmp_path), block=16)
+    got = {}
+    for r in sorted(tokencounts.count_tokens(blocks).collect(), key=lambda r: (r.file, r.block, r.k if r.k is not None else 1 << 30)):
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append(r.n_tokens)
+    assert got == want
+
+
+def test_token_counts_go_to_their_documents(spark):
+    texts = [(i * 3, "word " * (i * 7 % 50)) for i in range(40)] + [(None, "x" * 30_000), (1, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    path = bpe.public_path("byte_bpe_50k.tiktoken")
+    blocks = tokencounts.materialise(tokencounts.flatten(docs, path, block=64), "flat")
+    log = blocks.select("file", "block", F.posexplode("ended").alias("k", "doc_id"))
+    got = {r.doc_id: r.n_tokens for r in tokencounts.count_tokens(blocks).join(log, ["file", "block", "k"]).collect()}
+    assert got == {d: len(tokencounts._tiktoken(path).encode_ordinary(t or "")) for d, t in texts}
+
+
 def test_token_counts_over_small_blocks(spark):
     texts = [(i, "word " * (i * 7 % 50)) for i in range(60)]
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
@@ -249,14 +415,16 @@ def test_token_counts_over_small_blocks(spark):
 
 
 def test_neighbours_of_few_and_odd_vectors(spark):
-    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)] + [(60, None), (80, [0.0, 0.0, 0.0]), (100, [float("nan"), 1.0, 1.0]), (120, [1.0])]
-    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).toPandas()
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)] + [(60, None), (80, [0.0, 0.0, 0.0]), (100, [float("nan"), 1.0, 1.0]), (120, [1.0]), (121, [2.0]), (None, [1.0, 2.0, 3.0]), (140, [])]
+    docs = spark.createDataFrame([(*r, 1) for r in rows + rows[:3]], "vec_id long, embedding array<float>, node long")
+    got = neighbours.nearest(docs).toPandas()
     v = np.array([r[1] for r in rows[:60]])
     for q in (0, 20, 40):
         s = v @ v[q]
         want = sorted((i for i in range(60) if i != q), key=lambda i: (-s[i], i))[:20]
         assert got[got.query_id == q].sort_values("rank").vec_id.tolist() == want
-    assert set(got.query_id) == {0, 20, 40}
+    assert set(got.query_id) == {0, 20, 40, 120} and got[got.query_id == 120].vec_id.tolist() == [121]
+    assert neighbours.nearest(docs.where("false")).count() == 0
 
 
 def test_neighbour_recall(spark):
@@ -268,3 +436,18 @@ def test_neighbour_recall(spark):
         s[q] = -1e9
         hits.append(len(set(np.argsort(-s)[:20]) & set(g.vec_id)) / 20)
     assert np.mean(hits) > 0.9
+
+
+def test_pipeline_runs_and_each_stage_takes_effect(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    source.withColumn("more", F.lit(1)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, counts = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = pipeline.materialise(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        counts.append(docs.count())
+    out = pipeline.run(spark, str(tmp_path))
+    assert source.count() > counts[0] > counts[1] == counts[2] and out.count() == counts[3]
+    assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
