@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators import intervals as I
-from spanloom.operators.timeline import along, following, place, previous, upto_sum
+from spanloom.operators.timeline import along, before_max, following, place, previous, upcoming, upto_sum
 from spanloom.sources.tables import DAY_US
 
 _TURN = ["recording_id", "turn_index"]
@@ -44,12 +44,12 @@ def safe_walls(turns: DataFrame) -> DataFrame:
     rivals = turns.join(speakers, "recording_id").where("speaker_id <> of")
 
     def wall(at: str, theirs: str, back: bool, name: str) -> DataFrame:
-        none = F.lit(None)
+        none, place_ = F.lit(None), F.col("turn_index").isNull() if not back else F.col("turn_index").isNotNull()
         mine = turns.select("recording_id", F.col("speaker_id").alias("of"), F.col(at).alias("at"), "turn_index", none.cast("long").alias("bound"))
         marks = mine.unionAll(rivals.select("recording_id", "of", F.col(theirs), none.cast("int"), F.col(theirs)))
-        by = Window.partitionBy("recording_id", "of").orderBy("at").rangeBetween(*((Window.unboundedPreceding, 0) if back else (0, Window.unboundedFollowing)))
-        bound = (F.max if back else F.min)("bound").over(by)
-        return marks.withColumn(name, bound).where("turn_index IS NOT NULL").select(*_TURN, name)
+        # bounds at the same time count: they stand before a turn that looks back and behind one that looks ahead
+        met = along(marks.withColumn("_side", place_.cast("int")), ["recording_id", "of"], ["at", "_side"], at="at", **{name: before_max("bound") if back else upcoming("bound")})
+        return met.where("turn_index IS NOT NULL").select(*_TURN, name)
 
     before, after = wall("start_us", "end_us", True, "wall_before_us"), wall("end_us", "start_us", False, "wall_after_us")
     return turns.join(before, _TURN).join(after, _TURN)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upto_sum
+from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upcoming, upto_sum
 from spanloom.sources.tables import DAY_US
 
 #: Width of the time buckets that range joins meet in, in microseconds.
@@ -80,15 +80,12 @@ def sweep(turns: DataFrame) -> DataFrame:
 
 
 def neighbour_gaps(turns: DataFrame) -> DataFrame:
-    """Gap from each turn to the nearest competitor (another speaker's turn) before and after; 0 if one is inside."""
+    """Gap from each turn to the nearest competitor (another speaker's turn) before and after; 0 if one is inside. Rows grow
+    by the number of a recording's speakers."""
     speakers = turns.select("recording_id", "speaker_id").distinct().select("recording_id", F.col("speaker_id").alias("of"))
     marks = turns.join(speakers, "recording_id")
     mine = F.col("speaker_id") == F.col("of")
-    back = Window.partitionBy("recording_id", "of").orderBy("start_us", "turn_index").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy("recording_id", "of").orderBy("start_us", "turn_index").rowsBetween(1, Window.unboundedFollowing)
-    before = F.max(F.when(~mine, F.col("end_us"))).over(back)
-    after = F.min(F.when(~mine, F.col("start_us"))).over(ahead)
-    near = marks.withColumn("_b", before).withColumn("_a", after).where(mine)
+    near = along(marks, ["recording_id", "of"], ["start_us", "turn_index"], _b=before_max(F.when(~mine, F.col("end_us"))), _a=upcoming(F.when(~mine, F.col("start_us")))).where(mine)
     zero = lambda c: F.when(c.isNotNull(), F.greatest(c, F.lit(0)))
     return near.withColumn("gap_before_us", zero(F.col("start_us") - F.col("_b"))).withColumn("gap_after_us", zero(F.col("_a") - F.col("end_us"))).drop("of", "_a", "_b")
 

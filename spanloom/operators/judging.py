@@ -274,3 +274,9 @@ def choose_donor(offered: DataFrame, donors: DataFrame) -> DataFrame:
     fit = offered.join(donors, "donor").where("donor_source <> source")
     order = F.md5(F.concat_ws(":", "doc_id", "donor").cast("binary"))
     return fit.groupBy("doc_id", "source").agg(F.min_by("donor", order).alias("donor"))
+
+
+def audit_states(now: DataFrame, kept: DataFrame, key: str, digest: str) -> DataFrame:
+    """(key, state): whether an audit of each item is missing, of another state of it (stale), or current."""
+    both = now.join(kept.select(key, F.col(digest).alias("_kept")), key, "left")
+    return both.select(key, F.when(F.col("_kept").isNull(), "missing").when(F.col("_kept") != F.col(digest), "stale").otherwise("current").alias("state"))

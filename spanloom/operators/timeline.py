@@ -47,6 +47,11 @@ def latest(x: Column | str) -> tuple[str, Column]:
     return "last", _column(x)
 
 
+def upcoming(x: Column | str) -> tuple[str, Column]:
+    """First value that isn't null among the rows behind this one."""
+    return "next", _column(x)
+
+
 def place() -> tuple[str, Column]:
     """Number of the rows before."""
     return "sum", F.lit(1).cast("long")
@@ -67,13 +72,14 @@ def along(rows: DataFrame, keys: Sequence[str], order: Sequence[str], at: str =
     partial = {"sum": lambda x: F.sum(x), "upto": lambda x: F.sum(x), "max": lambda x: F.max(x)}
     ends = {
         "lag": lambda x: F.max_by(x, place_), "lead": lambda x: F.min_by(x, place_), "last": lambda x: F.max_by(x, F.when(F.col(x).isNotNull(), place_)),
+        "next": lambda x: F.min_by(x, F.when(F.col(x).isNotNull(), place_)),
     }
     sums = named.groupBy(*keys, "_bucket").agg(*[(partial | ends)[kind](f"_x_{n}").alias(f"_b_{n}") for n, (kind, _) in outs.items()])
     by = Window.partitionBy(*keys).orderBy("_bucket")
-    earlier = by.rowsBetween(Window.unboundedPreceding, -1)
+    earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
     carry = {
         "sum": lambda b: F.sum(b).over(earlier), "upto": lambda b: F.sum(b).over(earlier), "max": lambda b: F.max(b).over(earlier),
-        "lag": lambda b: F.lag(b).over(by), "lead": lambda b: F.lead(b).over(by), "last": lambda b: F.last(b, ignorenulls=True).over(earlier),
+        "lag": lambda b: F.lag(b).over(by), "lead": lambda b: F.lead(b).over(by), "last": lambda b: F.last(b, ignorenulls=True).over(earlier), "next": lambda b: F.first(b, ignorenulls=True).over(later),
     }
     carried = sums.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_k__bucket"), *[carry[kind](f"_b_{n}").alias(f"_c_{n}") for n, (kind, _) in outs.items()])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*keys, "_bucket")])
@@ -88,6 +94,8 @@ def along(rows: DataFrame, keys: Sequence[str], order: Sequence[str], at: str =
             return F.coalesce(here, zero) + F.coalesce(c, zero)
         if kind == "max":
             return F.greatest(F.max(x).over(ahead), c)
+        if kind == "next":
+            return F.coalesce(F.first(x, ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing)), c)
         if kind == "last":
             return F.coalesce(F.last(x, ignorenulls=True).over(upto), c)
         near = (F.lag if kind == "lag" else F.lead)(x).over(inside)

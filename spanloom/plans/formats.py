@@ -97,3 +97,11 @@ def _(spark, sf):
 @query("w31_numbered", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS stt FROM documents")
 def _(spark, sf):
     return X.numbered(S.table(spark, sf, "documents").select("doc_id"), "doc_id").select("doc_id", "stt")
+
+
+@query("s23_digests")
+def _(spark, sf):
+    """Also S01: files below a folder, but for those of the output, with size and digest."""
+    S.table(spark, sf, "pages").select("html").repartition(3).write.text(path := scratch.new_path(spark, "files"))
+    files = X.list_files(spark, path, f"{path}/out", "*.txt").select("path")
+    return X.read_catalog(spark, path, "*.txt").join(files, "path").select("length", "sha256")

@@ -37,6 +37,20 @@ def _(spark, sf):
     return sums.withColumn("final_yield", A.ratio(F.col("final_ms"), F.col("raw_ms")))
 
 
+@query("r03_loss_lines", turned("SELECT recording_id, printf('%s | %.1f s | %.1f s | %.2f%%', recording_id, raw_us // 100000 / 10.0, coalesce(final_us, 0) // 100000 / 10.0, coalesce(final_us, 0) * 10000 // raw_us / 100.0) AS line FROM s_raw LEFT JOIN s_final USING (recording_id)", *_AUDIT))
+def _(spark, sf):
+    tenths = lambda c: F.floor(F.col(c) / 100_000) / 10
+    share = F.floor(F.col("final_us") * 10_000 / F.col("raw_us")) / 100
+    return _audit(spark, sf).select("recording_id", F.format_string("%s | %.1f s | %.1f s | %.2f%%", "recording_id", tenths("raw_us"), tenths("final_us"), share).alias("line"))
+
+
+@query("r04_stale_audits", turned("SELECT recording_id, CASE WHEN n % 3 = 0 THEN 'missing' WHEN n % 3 = 1 THEN 'stale' ELSE 'current' END AS state FROM (SELECT recording_id, count(*) AS n FROM turns GROUP BY ALL)"))
+def _(spark, sf):
+    now = turns(spark, sf).groupBy("recording_id").agg(F.count("*").alias("n"))
+    kept = now.where("n % 3 > 0").select("recording_id", (F.col("n") - (F.col("n") % 3 == 1).cast("int")).alias("n"))
+    return J.audit_states(now, kept, "recording_id", "n")
+
+
 @query("a10_rates_or_zero", f"""WITH {S.VERDICTS}, c AS (SELECT recording_id, count(*) FILTER (WHERE reference = 'reject' AND candidate = 'reject') AS tp, count(*) FILTER (WHERE reference = 'pass' AND candidate = 'reject') AS fp,
   count(*) FILTER (WHERE reference = 'reject' AND candidate = 'pass') AS fn FROM v GROUP BY ALL)
   SELECT recording_id, round(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 4) AS precision, round(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 4) AS recall FROM c""")

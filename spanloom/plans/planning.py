@@ -192,6 +192,45 @@ def _(spark, sf):
     return rows.select("vec_id", G.snapped_of(F.col("samples"), F.col("s"), F.col("e"), 8, 8, 4, 1).alias("b")).select("vec_id", "b.*")
 
 
+@query("g06_mixes")
+def _(spark, sf):
+    mix = F.pandas_udf(lambda s: s.map(lambda x: G.mixed(x, x[::-1], 10.0, 7).tolist()), "array<double>")
+    return waves(spark, sf).select("vec_id", mix("samples").alias("mixture"))
+
+
+@query("g07_clipped_starts", f"WITH {SAMPLES} SELECT vec_id, cut::INT AS cut, count(*) AS n, round(max(abs(x)), 5) AS peak FROM w, (VALUES (4), (8), (16)) c(cut) WHERE i >= cut GROUP BY ALL")
+def _(spark, sf):
+    cuts = waves(spark, sf).withColumn("cut", F.explode(F.array(*map(F.lit, (4, 8, 16)))))
+    kept = F.slice("samples", F.col("cut") + 1, F.size("samples") - F.col("cut"))
+    each = cuts.select("vec_id", "cut", F.explode(kept).alias("x"))
+    return each.groupBy("vec_id", "cut").agg(F.count("*").alias("n"), F.round(F.max(F.abs(F.col("x").cast("double"))), 5).alias("peak"))
+
+
+@query("g13_speech_masks")
+def _(spark, sf):
+    mask = F.pandas_udf(lambda s: s.map(lambda x: G.speech_mask(len(x), [(20, 40)], 2, 4).tolist()), "array<double>")
+    return waves(spark, sf).select("vec_id", mask("samples").alias("mask"))
+
+
+@query("a37_acoustic_profile", f"WITH {SAMPLES}, c AS (SELECT vec_id, label, count(*) AS n, sqrt(avg(x * x)) AS rms, count(*) FILTER (WHERE abs(x) >= 0.25) AS clipped FROM w JOIN embeddings USING (vec_id) GROUP BY ALL) SELECT label, count(*) AS clips, sum(n)::BIGINT AS samples, round(avg(rms), 5) AS rms, round(sum(clipped) / sum(n)::DOUBLE, 6) AS clipping FROM c GROUP BY ALL")
+def _(spark, sf):
+    x = F.col("x").cast("double")
+    each = waves(spark, sf).select("vec_id", "label", F.explode("samples").alias("x")).groupBy("vec_id", "label").agg(F.count("*").alias("n"), F.sqrt(F.avg(x * x)).alias("rms"), F.count_if(F.abs(x) >= 0.25).alias("clipped"))
+    return each.groupBy("label").agg(F.count("*").alias("clips"), F.sum("n").alias("samples"), F.round(F.avg("rms"), 5).alias("rms"), F.round(F.sum("clipped") / F.sum("n"), 6).alias("clipping"))
+
+
+@query("r12_feature_matrix", "SELECT vec_id, mode, CASE mode WHEN 'mean' THEN 64 WHEN 'both' THEN 128 ELSE 8 END AS width FROM embeddings, (VALUES ('mean'), ('both'), ('edges')) m(mode)")
+def _(spark, sf):
+    edges = F.concat(F.slice("samples", 1, 4), F.slice("samples", -4, 4))
+    modes = F.create_map(F.lit("mean"), F.col("samples"), F.lit("both"), F.concat("samples", "samples"), F.lit("edges"), edges)
+    return waves(spark, sf).select("vec_id", F.explode(modes).alias("mode", "x")).select("vec_id", "mode", F.size("x").alias("width"))
+
+
+@query("m08_backoff", "SELECT n AS attempt, least(60.0::DOUBLE, 0.5::DOUBLE * pow(2, n)) AS wait_s FROM range(12) r(n)")
+def _(spark, sf):
+    return spark.range(12).select(F.col("id").alias("attempt"), F.least(F.lit(60.0), 0.5 * F.pow(F.lit(2.0), F.col("id"))).alias("wait_s"))
+
+
 @query("m09_out_of_fold")
 def _(spark, sf):
     rows = S.table(spark, sf, "embeddings").select("vec_id", (F.col("label") == 0).cast("int").alias("y"), (F.col("vec_id") % 3).alias("fold"), F.col("embedding").alias("x"))

@@ -17,7 +17,7 @@ from spanloom.operators import alignment as L
 from spanloom.operators import folds
 from spanloom.operators import intervals as I
 from spanloom.operators import picking, planning
-from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upto_sum
+from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upcoming, upto_sum
 from spanloom.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -186,13 +186,14 @@ def test_windows_by_buckets_are_those_of_the_whole(spark, width):
     rng = random.Random(width)
     data = [(rng.choice([None, "a", "b"]), rng.randint(-30, 60), i, rng.choice([None, rng.randint(0, 9)])) for i in range(120)]
     df = spark.createDataFrame(data, "k string, t long, i long, x long")
-    got = along(df, ["k"], ["t", "i"], at="t", width=width, n=place(), s=upto_sum("x"), m=before_max("x"), p=previous("x"), f=following("x"), last=latest("x")).collect()
+    got = along(df, ["k"], ["t", "i"], at="t", width=width, n=place(), s=upto_sum("x"), m=before_max("x"), p=previous("x"), f=following("x"), last=latest("x"), ahead=upcoming("x")).collect()
     for key in (None, "a", "b"):
         rows_ = sorted((r for r in got if r.k == key), key=lambda r: (r.t, r.i))
         total, best, last = 0, None, None
         for j, r in enumerate(rows_):
             total, last = total + (r.x or 0), r.x if r.x is not None else last
             assert (r.n, r.s, r.m, r.last) == (j, total, best, last)
+            assert r.ahead == next((q.x for q in rows_[j + 1 :] if q.x is not None), None)
             assert r.p == (rows_[j - 1].x if j else None) and r.f == (rows_[j + 1].x if j + 1 < len(rows_) else None)
             best = max((v for v in (best, r.x) if v is not None), default=None)
 
