@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanloom.sources.scratch import new_path, remove
+
 #: Columns of the documents table, in order.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,24 +29,12 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a session on one machine (as
-    in tests) gets a folder of its own, and one on a cluster an error: executors don't see the driver's folders."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: lineage ends here, the rows are computed once,
     and a lost executor costs no more than the read of its files. The shuffle files behind it go as soon as the driver
     has collected its garbage, which is asked for here."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     table = spark.read.schema(df.schema).parquet(path)
@@ -55,12 +42,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    found = sc._jvm.org.apache.hadoop.fs.Path(path)
-    found.getFileSystem(sc._jsc.hadoopConfiguration()).delete(found, True)
-
-
 def discard(table: DataFrame) -> None:
     """Removes a table of materialise() that nothing reads any more."""
     remove(table.sparkSession, table.written_to)

@@ -30,7 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, column, discard, documents, materialise, remove, running_totals, shared_dir
+from spanloom.llm._common import bounded_batches, column, discard, documents, materialise, running_totals
+from spanloom.sources.scratch import remove, shared_dir
 
 #: Bytes of a repeated string, of the core that it is filed under, and of the gram that fixes the core's place. A core
 #: begins at its gram or HALF bytes before it, so that the string holds the whole core in either case.
