@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: NN-descent builds a neighbour graph, queries search it greedily.
 
-Nodes are the distinct vectors; vectors of one length are compared with each other only. The graph starts from random
-groups, in which every node takes the others as neighbours, up to DEGREE. Each round joins every node's neighbours and a
+Nodes are the distinct vectors; vectors of one length are compared with each other only. The graph starts from two
+deals of random groups, in which every node takes the others as neighbours, up to DEGREE. Each round joins every node's neighbours and a
 sample of the nodes that have it as neighbour with their vectors, compares them with each other (neighbours of
 neighbours), and keeps each node's DEGREE best. A round never lists a node's pairs: of one comparison a node gets the
 PROPOSALS best that beat its worst neighbour. Rounds end when less than SETTLED of all neighbours are new, or after ROUNDS.
@@ -112,8 +112,10 @@ def _around(graph: DataFrame) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(node, near) by NN-descent over nodes (node, code, dim)."""
     groups = nodes.groupBy("dim").agg(F.greatest(F.lit(1), F.floor(F.count("*") / DEGREE)).alias("_groups"))
-    dealt = nodes.join(groups, "dim").withColumn("g", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_groups")))
-    members = dealt.groupBy("dim", "g").agg(F.collect_list(F.struct("node", "code", F.lit(float("-inf")).cast("float").alias("worst"))).alias("members"))
+    # groups of two deals: within one deal, neighbours of neighbours would never leave their group
+    deals = F.explode(F.array(F.lit(1), F.lit(2))).alias("_deal")
+    dealt = nodes.join(groups, "dim").select("*", deals).withColumn("g", F.pmod(F.xxhash64("node", "_deal"), F.col("_groups")))
+    members = dealt.groupBy("dim", "_deal", "g").agg(F.collect_list(F.struct("node", "code", F.lit(float("-inf")).cast("float").alias("worst"))).alias("members"))
     graph = materialise(_best(_compare(members, DEGREE)), "graph")
     size = nodes.count()
     for _ in range(rounds):
