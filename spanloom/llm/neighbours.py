@@ -29,7 +29,7 @@ DEGREE, REVERSE, PROPOSALS, ROUNDS = 36, 36, 4, 12
 SETTLED = 0.01
 
 #: Nodes that a query keeps and looks at in a round; rounds of search.
-BEAM, STEP, SEARCH_ROUNDS = 112, 48, 5
+BEAM, STEP, SEARCH_ROUNDS = 160, 48, 10
 
 #: Queries are the rows whose vec_id this divides; results of each.
 EVERY, RESULTS = 20, 20
