@@ -211,7 +211,7 @@ def test_cuts_at_word_gaps():
     gaps = planning.gaps_between([(0, 5, False), (1, 9, True), (12, 20, False), (21, 30, True)], 2)
     assert gaps == [(9, 12, True)]
     assert planning.cut_at_gaps(0, 30, gaps, 2, 20, 0) == ([(0, 10), (10, 30)], None)
-    assert planning.cut_at_gaps(0, 60, gaps, 2, 20, 0) == ([(0, 10)], "no_supported_word_gap")
+    assert planning.cut_at_gaps(0, 60, gaps, 2, 20, 0) == ([(0, 10), (10, 12)], "no_supported_word_gap")
     assert planning.cut_at_gaps(0, 1, [], 2, 20, 0) == ([], "below_min_duration")
 
 
