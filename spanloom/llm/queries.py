@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import bpe, fim, language, merkle, mixing, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts
+from spanloom.llm import bpe, fim, language, licenses, merkle, mixing, neighbours, quality, sharding, simhash, spotsigs, suffix, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,11 @@ def queries() -> dict[str, Query]:
         "op8_suffix_levels_dedup": suffix.op8,
         "op9_tree_bpe": bpe.op9,
         "op10_separator_scan": tokencounts.op10,
+        "op11_license_rules": licenses.op11,
         "op12_distinct_text_fim": fim.op12,
         "op13_superblock_merkle": merkle.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_fair_queue_mixing": mixing.OP6_SQL, "op12_distinct_text_fim": fim.OP12_SQL, "op13_superblock_merkle": merkle.OP13_SQL}
+    return {"op6_fair_queue_mixing": mixing.OP6_SQL, "op11_license_rules": licenses.OP11_SQL, "op12_distinct_text_fim": fim.OP12_SQL, "op13_superblock_merkle": merkle.OP13_SQL}
