@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upcoming, upto_sum
+from spanloom.operators.timeline import along, before_max, following, island, latest, place, previous, run_number, upcoming, upto_sum
+from spanloom.sources.scratch import settled
 from spanloom.sources.tables import DAY_US
 
 #: Width of the time buckets that range joins meet in, in microseconds.
@@ -15,7 +16,7 @@ BUCKET_US = 120_000_000
 def normalize(turns: DataFrame, length_us: int = DAY_US) -> DataFrame:
     """Clamps turns to the recording, drops what is empty then, and numbers them by (start, end, speaker)."""
     clamped = turns.withColumn("start_us", F.greatest("start_us", F.lit(0))).withColumn("end_us", F.least("end_us", F.lit(length_us)))
-    placed = along(clamped.where("end_us > start_us"), ["recording_id"], ["start_us", "end_us", "speaker_id", "event_id"], turn_index=place())
+    placed = along(clamped.where("end_us > start_us"), ["recording_id"], ["start_us", "end_us", "speaker_id", "event_id"], cheap=True, turn_index=place())
     return placed.withColumn("turn_index", F.col("turn_index").cast("int"))
 
 
@@ -51,21 +52,19 @@ def overlaps(turns: DataFrame) -> DataFrame:
     return joined.withColumn("overlap", F.col("overlap_with").isNotNull()).withColumn("overlap_with", F.coalesce("overlap_with", F.array().cast("array<int>")))
 
 
-def islands(intervals: DataFrame, keys: list[str], gap_us: int = 0) -> DataFrame:
+def islands(intervals: DataFrame, keys: list[str], gap_us: int = 0, cheap: bool = False) -> DataFrame:
     """Unions of intervals that touch or lie within gap_us of each other: keys, start_us, end_us, n."""
-    reached = along(intervals, keys, ["start_us", "end_us"], _reach=before_max("end_us"))
-    starts = reached.withColumn("_old", F.coalesce((F.col("start_us") <= F.col("_reach") + gap_us).cast("int"), F.lit(0)))
-    # of equal intervals only the first can begin an island, and has to come first again
-    numbered = along(starts, keys, ["start_us", "end_us", "_old"], _island=upto_sum(1 - F.col("_old")))
-    return numbered.groupBy(*keys, "_island").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("n")).drop("_island")
+    placed = along(intervals.select(*keys, "start_us", "end_us"), keys, ["start_us", "end_us"], cheap=cheap, _island=island(gap_us))
+    return placed.groupBy(*keys, "_island").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("n")).drop("_island")
 
 
-def union_length(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    return islands(intervals, keys).groupBy(*keys).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("union_us"))
+def union_length(intervals: DataFrame, keys: list[str], cheap: bool = False) -> DataFrame:
+    return islands(intervals, keys, cheap=cheap).groupBy(*keys).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("union_us"))
 
 
 def other_speaker_overlap(turns: DataFrame) -> DataFrame:
     """Of each turn the length within which any other speaker is active."""
+    turns = settled(turns)
     pairs = range_join(turns, other(turns, "speaker_id"), ["recording_id"]).where("speaker_id <> b_speaker_id")
     parts = pairs.select("recording_id", "turn_index", F.greatest("start_us", "b_start_us").alias("start_us"), F.least("end_us", "b_end_us").alias("end_us"))
     return turns.join(union_length(parts, ["recording_id", "turn_index"]), ["recording_id", "turn_index"], "left").withColumn("other_us", F.coalesce("union_us", F.lit(0))).drop("union_us")
@@ -97,7 +96,8 @@ def merge_decisions(turns: DataFrame, gap_us: int, loud: DataFrame | None = None
     """Adds decision to every turn, on joining it to the one before (in order of start): first_turn, other_speaker,
     overlapping_turns, gap_too_long, competing_speaker (another speaker touches their hull), gap_not_silent (a frame of
     `loud`, recording_id and frame, lies in the gap) or merged; the first that holds."""
-    near = along(turns, ["recording_id"], _ORDER, _p=previous(F.struct("speaker_id", "start_us", "end_us")))
+    turns = settled(turns)
+    near = settled(along(turns, ["recording_id"], _ORDER, cheap=True, _p=previous(F.struct("speaker_id", "start_us", "end_us"))))
     p, key = F.col("_p"), ["recording_id", "turn_index"]
     same = p["speaker_id"] == F.col("speaker_id")
     gap = F.col("start_us") - p["end_us"]
@@ -131,7 +131,8 @@ def merge_turns(turns: DataFrame, gap_us: int, loud: DataFrame | None = None) ->
 def speaker_runs(turns: DataFrame, gap_us: int, rejected: DataFrame | None = None) -> DataFrame:
     """Runs of one speaker's turns: a new one begins with another speaker, an overlap, a gap over gap_us, or a gap that
     another speaker's turn or a rejected span (recording_id, start_us, end_us) touches."""
-    near = along(turns, ["recording_id"], _ORDER, _p=previous(F.struct("speaker_id", "end_us")))
+    turns = settled(turns)
+    near = settled(along(turns, ["recording_id"], _ORDER, cheap=True, _p=previous(F.struct("speaker_id", "end_us"))))
     gap = F.col("start_us") - F.col("_p.end_us")
     rough = (F.col("_p.speaker_id") == F.col("speaker_id")) & gap.between(0, gap_us)
     gaps = near.where(rough & (gap > 0)).select("recording_id", "turn_index", F.col("_p.end_us").alias("start_us"), F.col("start_us").alias("end_us"), "speaker_id")
@@ -156,17 +157,18 @@ def cleanup(turns: DataFrame, jitter_us: int, collar_us: int, merge_gap_us: int,
     """
     order = ["start_us", "turn_index"]
     near = F.struct("speaker_id", "start_us", "end_us")
-    met = along(overlaps(turns).drop("overlap_with"), ["recording_id"], order, _p=previous(near), _f=following(near))
+    met = along(turns, ["recording_id"], order, _p=previous(near), _f=following(near), _reach=before_max("end_us"))
     p, f = F.col("_p"), F.col("_f")
+    overlap = F.coalesce(F.col("_reach") > F.col("start_us"), F.lit(False)) | F.coalesce(f["start_us"] < F.col("end_us"), F.lit(False))
     candidate = (
-        (p["speaker_id"] == f["speaker_id"]) & (p["speaker_id"] != F.col("speaker_id")) & (F.col("end_us") - F.col("start_us") <= jitter_us) & ~F.col("overlap")
+        (p["speaker_id"] == f["speaker_id"]) & (p["speaker_id"] != F.col("speaker_id")) & (F.col("end_us") - F.col("start_us") <= jitter_us) & ~overlap
         & (F.col("start_us") - p["end_us"]).between(0, merge_gap_us) & (f["start_us"] - F.col("end_us")).between(0, merge_gap_us)
     )
     marked = met.withColumn("_c", F.coalesce(candidate.cast("int"), F.lit(0))).withColumn("_around", p["speaker_id"])
-    placed = along(marked, ["recording_id"], order, _last=latest(F.when(F.col("_c") == 0, F.col("turn_index"))))
+    placed = along(marked.drop("_p", "_f", "_reach"), ["recording_id"], order, _last=latest(F.when(F.col("_c") == 0, F.col("turn_index"))))
     odd = (F.col("turn_index") - F.coalesce("_last", F.lit(-1))) % 2 == 1
     fixed = placed.withColumn("speaker_id", F.when((F.col("_c") == 1) & odd, F.col("_around")).otherwise(F.col("speaker_id")))
-    fixed = along(fixed.drop("_p", "_f"), ["recording_id"], order, _p=previous(near), _f=following(near))
+    fixed = along(fixed, ["recording_id"], order, _p=previous(near), _f=following(near))
 
     def cut(of: Column, end: Column, start: Column, middle: Column, sign: int) -> Column:
         """What a bound moves to, given the end of the earlier and the start of the later turn."""
@@ -180,12 +182,12 @@ def cleanup(turns: DataFrame, jitter_us: int, collar_us: int, merge_gap_us: int,
     end = cut(f["speaker_id"], F.col("end_us"), f["start_us"], middle(F.col("end_us"), f["start_us"]), -1)
     trimmed = fixed.withColumns({"_from": F.greatest(F.coalesce(start, F.col("start_us")), F.lit(0)), "_to": F.coalesce(end, F.col("end_us"))}).where("_to > _from")
     trimmed = trimmed.select("recording_id", "turn_index", "speaker_id", F.col("_from").alias("start_us"), F.col("_to").alias("end_us"))
-    by_turn = along(trimmed, ["recording_id"], ["turn_index"], at="turn_index", width=1 << 14, _s=previous("speaker_id"))
-    runs = along(by_turn.withColumn("_change", (~F.col("_s").eqNullSafe(F.col("speaker_id"))).cast("int")), ["recording_id"], ["turn_index"], at="turn_index", width=1 << 14, _speech=upto_sum("_change"))
+    wide = {"at": "turn_index", "width": 1 << 14}
+    runs = along(trimmed, ["recording_id"], ["turn_index"], **wide, _speech=run_number("speaker_id"))
     keys = ["recording_id", "speaker_id", "_speech"]
-    reached = along(runs, keys, ["turn_index"], at="turn_index", width=1 << 14, _reach=before_max("end_us"))
+    reached = along(runs, keys, ["turn_index"], **wide, _reach=before_max("end_us"))
     fresh = F.when(F.col("start_us") <= F.col("_reach") + merge_gap_us, 0).otherwise(1)
-    grouped = along(reached.withColumn("_new", fresh), keys, ["turn_index"], at="turn_index", width=1 << 14, _island=upto_sum("_new")).groupBy(*keys, "_island")
+    grouped = along(reached.withColumn("_new", fresh), keys, ["turn_index"], **wide, _island=upto_sum("_new")).groupBy(*keys, "_island")
     merged = grouped.agg(F.min_by("start_us", "turn_index").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("n"))
     return merged.where(F.col("end_us") - F.col("start_us") >= least_us).drop("_speech", "_island")
 
@@ -231,9 +233,10 @@ def duration_loss(raw: DataFrame, merged: DataFrame, final: DataFrame) -> DataFr
 
     def stage(turns: DataFrame, name: str) -> DataFrame:
         sums = turns.groupBy("recording_id").agg(F.count("*").alias(f"{name}_turns"), F.sum(F.col("end_us") - F.col("start_us")).alias(f"{name}_us"))
-        joined = sums.join(union_length(turns, ["recording_id"]).withColumnRenamed("union_us", f"{name}_union_us"), "recording_id")
+        joined = sums.join(union_length(turns, ["recording_id"], cheap=True).withColumnRenamed("union_us", f"{name}_union_us"), "recording_id")
         return joined.withColumn(f"{name}_overlap_us", F.col(f"{name}_us") - F.col(f"{name}_union_us"))
 
+    raw, merged, final = settled(raw), settled(merged), settled(final)
     both = stage(raw, "raw").join(stage(merged, "merged"), "recording_id", "left").join(stage(final, "final"), "recording_id", "left").na.fill(0)
     ratio = lambda a, b: F.round(F.try_divide(F.col(a), F.col(b)), 6)
     return both.withColumn("final_yield", ratio("final_us", "raw_us")).withColumn("union_yield", ratio("final_union_us", "raw_union_us")).withColumn("net_loss_us", F.col("raw_us") - F.col("final_us"))

@@ -8,11 +8,12 @@ and first rows. Only that small table is windowed by key alone.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.sources.scratch import settled
+
 #: Width of the buckets in microseconds.
 BUCKET_US = 600_000_000
 
@@ -57,48 +58,84 @@ def place() -> tuple[str, Column]:
     return "sum", F.lit(1).cast("long")
 
 
+def run_number(x: Column | str) -> tuple[str, Column]:
+    """Number of the run of equal values that the row is in, from 1."""
+    return "run", F.struct(_column(x).alias("v"))
+
+
+def island(gap: int = 0, start: str = "start_us", end: str = "end_us") -> tuple[str, Column]:
+    """Start of the row's island: of the last row so far that begins more than `gap` behind the end of all rows before it.
+    order has to begin with `start`."""
+    return "island", F.struct(F.col(start).alias("s"), (F.col(end) + gap).alias("e"))
+
+
 def _column(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def along(rows: DataFrame, keys: Sequence[str], order: Sequence[str], at: str = "start_us", width: int = BUCKET_US, **outs: tuple[str, Column]) -> DataFrame:
+def along(rows: DataFrame, keys: Sequence[str], order: Sequence[str], at: str = "start_us", width: int = BUCKET_US, cheap: bool = False, **outs: tuple[str, Column]) -> DataFrame:
     """Adds the columns `outs`, each of one of the functions above, over the rows of equal keys in order.
 
     order must begin with `at`, a number; it has to tell rows apart, else rows alike in it come in any order, as in a
-    window. Rows with a null key are a group of their own.
+    window. Rows with a null key are a group of their own. `cheap`: the rows are a table's, or nearly so, and needn't be
+    written before they are read twice.
     """
-    named = rows.withColumns({f"_x_{n}": x for n, (_, x) in outs.items()}).withColumn("_bucket", F.floor(F.col(at) / width))
-    place_ = F.struct(*order)
-    partial = {"sum": lambda x: F.sum(x), "upto": lambda x: F.sum(x), "max": lambda x: F.max(x)}
-    ends = {
-        "lag": lambda x: F.max_by(x, place_), "lead": lambda x: F.min_by(x, place_), "last": lambda x: F.max_by(x, F.when(F.col(x).isNotNull(), place_)),
-        "next": lambda x: F.min_by(x, F.when(F.col(x).isNotNull(), place_)),
+    rows = rows if cheap else settled(rows)
+    x = {n: f"_x_{n}" for n in outs}
+    # a struct is equal to another one with the same nulls, so one column deals out windows and joins alike
+    named = rows.withColumns({x[n]: c for n, (_, c) in outs.items()}).withColumn("_k", F.struct(*[F.col(k).alias(k) for k in keys], F.floor(F.col(at) / width).alias("_bucket")))
+    inside = Window.partitionBy("_k").orderBy(*order)
+    ahead, upto, behind = (inside.rowsBetween(*r) for r in ((Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0), (1, Window.unboundedFollowing)))
+    place_, zero = F.struct(*order), F.lit(0)
+    # within its bucket alone: whether a row starts a run or an island, null if the first row of a run's bucket can't tell
+    fresh = {
+        "run": lambda n: F.when(F.lag(x[n]).over(inside).isNotNull(), (~F.lag(x[n]).over(inside).eqNullSafe(F.col(x[n]))).cast("int")),
+        "island": lambda n: F.when(F.coalesce(F.col(f"{x[n]}.s") > F.max(f"{x[n]}.e").over(ahead), F.lit(True)), F.col(f"{x[n]}.s")),
+    }
+    named = named.withColumns({f"_f_{n}": fresh[kind](n) for n, (kind, _) in outs.items() if kind in fresh})
+
+    summaries = {
+        "sum": lambda n: [F.sum(x[n])], "upto": lambda n: [F.sum(x[n])], "max": lambda n: [F.max(x[n])],
+        "lag": lambda n: [F.max_by(x[n], place_)], "lead": lambda n: [F.min_by(x[n], place_)],
+        "last": lambda n: [F.max_by(x[n], F.when(F.col(x[n]).isNotNull(), place_))], "next": lambda n: [F.min_by(x[n], F.when(F.col(x[n]).isNotNull(), place_))],
+        "run": lambda n: [F.coalesce(F.sum(f"_f_{n}"), zero), F.min_by(x[n], place_), F.max_by(x[n], place_)],
+        "island": lambda n: [F.max(f"{x[n]}.e"), F.max(f"_f_{n}")],
     }
-    sums = named.groupBy(*keys, "_bucket").agg(*[(partial | ends)[kind](f"_x_{n}").alias(f"_b_{n}") for n, (kind, _) in outs.items()])
-    by = Window.partitionBy(*keys).orderBy("_bucket")
-    earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    sums = named.groupBy("_k").agg(*[c.alias(f"_b{i}_{n}") for n, (kind, _) in outs.items() for i, c in enumerate(summaries[kind](n))])
+    by = Window.partitionBy(*[f"_k.{k}" for k in keys]).orderBy("_k._bucket")
+    earlier, now, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(1, Window.unboundedFollowing)
+    for n, (kind, _) in outs.items():
+        if kind == "run":  # the bucket's first row starts a run unless the bucket before ends with its value
+            sums = sums.withColumn(f"_b3_{n}", (~F.lag(f"_b2_{n}").over(by).eqNullSafe(F.col(f"_b1_{n}"))).cast("int"))
+        if kind == "island":  # the last start within the bucket is the last of all if any is: the ones before it are smaller
+            sums = sums.withColumn(f"_b2_{n}", F.max(f"_b0_{n}").over(earlier))
+            sums = sums.withColumn(f"_b3_{n}", F.when(F.coalesce(F.col(f"_b1_{n}") > F.col(f"_b2_{n}"), F.lit(True)), F.col(f"_b1_{n}")))
+    total = lambda b: F.sum(b).over(earlier)
     carry = {
-        "sum": lambda b: F.sum(b).over(earlier), "upto": lambda b: F.sum(b).over(earlier), "max": lambda b: F.max(b).over(earlier),
-        "lag": lambda b: F.lag(b).over(by), "lead": lambda b: F.lead(b).over(by), "last": lambda b: F.last(b, ignorenulls=True).over(earlier), "next": lambda b: F.first(b, ignorenulls=True).over(later),
+        "sum": lambda n: [total(f"_b0_{n}")], "upto": lambda n: [total(f"_b0_{n}")], "max": lambda n: [F.max(f"_b0_{n}").over(earlier)],
+        "lag": lambda n: [F.lag(f"_b0_{n}").over(by)], "lead": lambda n: [F.lead(f"_b0_{n}").over(by)],
+        "last": lambda n: [F.last(f"_b0_{n}", ignorenulls=True).over(earlier)], "next": lambda n: [F.first(f"_b0_{n}", ignorenulls=True).over(later)],
+        "run": lambda n: [F.coalesce(total(f"_b0_{n}"), zero) + F.sum(f"_b3_{n}").over(now)],
+        "island": lambda n: [F.col(f"_b2_{n}"), F.max(f"_b3_{n}").over(earlier)],
     }
-    carried = sums.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_k__bucket"), *[carry[kind](f"_b_{n}").alias(f"_c_{n}") for n, (kind, _) in outs.items()])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*keys, "_bucket")])
-    joined = named.join(carried, same)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    ahead, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
-
-    def out(name: str, kind: str) -> Column:
-        x, c, zero = f"_x_{name}", F.col(f"_c_{name}"), F.lit(0)
+    joined = named.join(sums.select("_k", *[c.alias(f"_c{i}_{n}") for n, (kind, _) in outs.items() for i, c in enumerate(carry[kind](n))]), "_k")
+
+    def out(n: str, kind: str) -> Column:
+        c = F.col(f"_c0_{n}")
         if kind in ("sum", "upto"):
-            here = F.sum(x).over(ahead if kind == "sum" else upto)
-            return F.coalesce(here, zero) + F.coalesce(c, zero)
+            return F.coalesce(F.sum(x[n]).over(ahead if kind == "sum" else upto), zero) + F.coalesce(c, zero)
         if kind == "max":
-            return F.greatest(F.max(x).over(ahead), c)
+            return F.greatest(F.max(x[n]).over(ahead), c)
         if kind == "next":
-            return F.coalesce(F.first(x, ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing)), c)
+            return F.coalesce(F.first(x[n], ignorenulls=True).over(behind), c)
         if kind == "last":
-            return F.coalesce(F.last(x, ignorenulls=True).over(upto), c)
-        near = (F.lag if kind == "lag" else F.lead)(x).over(inside)
+            return F.coalesce(F.last(x[n], ignorenulls=True).over(upto), c)
+        if kind == "run":
+            return c + F.coalesce(F.sum(f"_f_{n}").over(upto), zero)
+        if kind == "island":
+            start = F.when(F.coalesce(F.col(f"_f_{n}") > c, F.col(f"_f_{n}").isNotNull()), F.col(f"_f_{n}"))
+            return F.coalesce(F.max(start).over(upto), F.col(f"_c1_{n}"))
+        near = (F.lag if kind == "lag" else F.lead)(x[n]).over(inside)
         return F.coalesce(near, c)["v"]
 
     found = joined.withColumns({n: out(n, kind) for n, (kind, _) in outs.items()})

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,11 +21,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _found(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder for what this session writes; whatever is there when the driver ends goes then, since
+    tables that the session has returned may read it until then."""
+    path, fs = _found(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    fs.deleteOnExit(path)
+    return str(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    found = sc._jvm.org.apache.hadoop.fs.Path(path)
-    found.getFileSystem(sc._jsc.hadoopConfiguration()).delete(found, True)
+    found, fs = _found(spark, path)
+    fs.delete(found, True)
+
+
+def settled(df: DataFrame, name: str = "rows") -> DataFrame:
+    """df as a table in the shared folder: computed once, however often it is read, and its plan ends there. A lost executor
+    costs the read of its files."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from spanloom.operators import alignment as L
 from spanloom.operators import folds
 from spanloom.operators import intervals as I
 from spanloom.operators import picking, planning
-from spanloom.operators.timeline import along, before_max, following, latest, place, previous, upcoming, upto_sum
+from spanloom.operators.timeline import along, before_max, following, island, latest, place, previous, run_number, upcoming, upto_sum
 from spanloom.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -73,6 +73,36 @@ def test_merge_without_reaching_the_cap_is_the_plain_merge(spark):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, capped.collect()))
 
 
+def test_runs_and_islands_over_buckets_are_those_of_a_plain_loop(spark):
+    rng = random.Random(11)
+    data, at = [], {}
+    for i in range(400):
+        key = rng.choice(["a", "b", None])
+        at[key] = at.get(key, 0) + rng.choice([0, 0, 1, 2, 30])
+        data.append((key, at[key], at[key] + rng.choice([0, 1, 5, 60]), i, rng.choice(["x", "y", None])))
+    turns = spark.createDataFrame(data, "k string, start_us long, end_us long, i long, v string")
+    got = along(turns, ["k"], ["start_us", "end_us", "i"], width=7, run=run_number("v"), island=island(2)).collect()
+    assert len(got) == len(data)
+    for key in at:
+        run, last, start, reach = 0, object(), None, None
+        for r in sorted((r for r in got if r.k == key), key=lambda r: (r.start_us, r.end_us, r.i)):
+            run, last = run + (r.v != last or run == 0), r.v
+            start = r.start_us if reach is None or r.start_us > reach + 2 else start
+            reach = max(r.end_us, reach if reach is not None else r.end_us)
+            assert (r.run, r.island) == (run, start)
+
+
+@pytest.mark.parametrize(("name", "most"), [("w04_cleanup", 10), ("a04_duration_loss", 12), ("w01_merge_turns", 10), ("j04_other_speaker_overlap", 10), ("w03_islands", 10), ("w08_context_collar", 20)])
+def test_chained_windows_do_not_double_the_plan(spark, name, most):
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    with redirect_stdout(StringIO()) as out:
+        QUERIES[name](spark, SF).explain()
+    plan = out.getvalue().split("== Initial Plan ==")[0]
+    assert 0 < plan.count("FileScan") <= most
+
+
 def test_assignment_is_the_best_of_all():
     from itertools import permutations
 
