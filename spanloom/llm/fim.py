@@ -1,20 +1,23 @@
 """Fill-in-middle transformation through an index of distinct texts.
 
-Identical texts are grouped by their content, and the token bounds of each distinct text are found once and kept as an
-Elias-Fano list: about five bits a token. The index is joined back to the documents by digests of the text, and each
-document selects its own two seeded cuts from the list without unpacking it.
+The digests of all distinct texts are one table, and documents meet it by a merge join: rows of one digest come to a task
+one after the other, and a digest of very many rows is split over tasks by the skew join. There a text is compared with the
+ones indexed under its digest; only a new content gets its token bounds found, kept as an Elias-Fano list of about five bits
+a token, and each document of that content selects its own two seeded cuts from the list without unpacking it. So whole
+texts are shuffled once, and a task holds the texts of a single digest.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, column, documents, materialise
+from spanloom.llm._common import bounded_batches, column, documents
 
 #: Seed of the cuts; of 100 documents those that are cut at all, and of 100 cut ones those in suffix-prefix-middle order.
 SEED, RATE, SPM_RATE = 42, 50, 80
@@ -80,27 +83,33 @@ def select(packed: bytes, i: int) -> int:
 # --- the operator ---
 
 
-def _digests(text: str) -> list[Column]:
-    return [F.unhex(F.sha2(F.col(text), 256)).alias("_sha"), F.xxhash64(text).alias("_xx"), F.octet_length(text).alias("_bytes")]
+class TextIndex:
+    """The lists of the texts of one digest, the last one asked for; texts are told apart by their content."""
 
+    def __init__(self) -> None:
+        self.digest, self.lists, self.made = None, {}, 0
 
-def text_index(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(_sha, _xx, _bytes, _n, _ends): digests, length, token count and Elias-Fano list of each distinct text that isn't empty.
+    def of(self, digest: bytes, text: str) -> bytes:
+        if digest != self.digest:
+            self.digest, self.lists = digest, {}
+        found = self.lists.get(text)
+        if found is None:
+            found = self.lists[text] = elias_fano(token_ends(text))
+            self.made += 1
+        return found
 
-    Texts are grouped as they are, so only equal ones share a list, and copies within a task are one row before the shuffle.
-    """
-    bounded_batches(docs.sparkSession)
-
-    @F.pandas_udf("binary")
-    def ends(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: elias_fano(token_ends(t)))
-
-    @F.pandas_udf("long")
-    def sizes(lists: pd.Series) -> pd.Series:
-        return lists.map(size_of)
 
-    distinct = docs.where(F.octet_length(text) > 0).select(column(text).alias("_text")).groupBy("_text").agg(F.lit(1).alias("_one"))
-    return distinct.select(*_digests("_text"), ends("_text").alias("_ends")).withColumn("_n", sizes("_ends"))
+def _cuts(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    """Token count of each text and the code points before its two cuts; _one and _two are hashes."""
+    index = TextIndex()
+    for digests, texts, ones, twos in batches:
+        out = []
+        for digest, text, one, two in zip(digests, texts, ones, twos, strict=True):
+            packed = index.of(digest, text)
+            n = size_of(packed)
+            first, last = sorted((one % (n + 1), two % (n + 1)))
+            out.append((n, select(packed, first), select(packed, last)))
+        yield pd.DataFrame(out, columns=["n", "a", "b"], dtype="int64")
 
 
 def _hash(i: int) -> Column:
@@ -120,22 +129,15 @@ def fill_in_middle(docs: DataFrame, carry: list[str] | None = None, seed: int =
         F.struct(*[column(c).alias(c) for c in carry]).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"),
         F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256).alias("_h"),
     )
-    keyed = rows.select("_row", "_text", "_h", *_digests("_text"))
-    index = materialise(text_index(rows, "_text"), "text-index")
-
-    @F.pandas_udf("struct<a:long,b:long>")
-    def cuts(lists: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
-        found = [(select(p, i), select(p, j)) if p is not None else (0, 0) for p, i, j in zip(lists, first, last, strict=True)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    found = keyed.join(index, ["_sha", "_xx", "_bytes"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)).cast("long"))
+    bounded_batches(docs.sparkSession)
+    cuts = F.pandas_udf(_cuts, "n long, a long, b long")
+    rows = rows.withColumn("_sha", F.unhex(F.sha2("_text", 256)))
+    found = rows.join(rows.select("_sha").distinct().hint("merge"), "_sha")
+    found = found.withColumn("_cut", cuts("_sha", "_text", _hash(1), _hash(2))).withColumn("_n", F.col("_cut.n"))
     marked = F.col("_text").contains(PREFIX) | F.col("_text").contains(SUFFIX) | F.col("_text").contains(MIDDLE)
     plain = (F.col("_n") == 0) | marked | (_hash(3) % 100 >= rate)
     found = found.withColumn("_form", F.when(plain, "plain").when(_hash(4) % 100 < spm_rate, "spm").otherwise("psm"))
-    one, two = (_hash(i) % (F.col("_n") + 1) for i in (1, 2))
     cut = F.col("_form") != "plain"
-    # a plain text needs no cuts, so its list isn't looked at
-    found = found.withColumn("_cut", cuts(F.when(cut, F.col("_ends")), F.when(cut, F.least(one, two)).otherwise(0), F.when(cut, F.greatest(one, two)).otherwise(0)))
     a, b = F.col("_cut.a"), F.col("_cut.b")
     prefix, middle, suffix = F.substring("_text", F.lit(1), a), F.substring("_text", a + 1, b - a), F.substring("_text", b + 1, F.length("_text"))
     psm = F.concat(F.lit(PREFIX), prefix, F.lit(SUFFIX), suffix, F.lit(MIDDLE), middle)
