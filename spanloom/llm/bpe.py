@@ -1,45 +1,50 @@
 """BPE encoding and decoding of whole texts by tree concatenation.
 
 A text of more than PART characters is halved, wherever the middle falls, until its parts are short; the parts are encoded
-on their own and joined pairwise up the tree. Around each join a window is encoded again and grows until it agrees exactly
-with the left part at its begin and with the right part at its end.
-
-A space or line end separates pieces that the tokenizer encodes independently of each other, so a part is a list of pieces,
-and the window of a join holds the cut piece with whole pieces on both sides, which must come out as the parts have them.
-What was encoded lately is kept at hand.
-
-A piece of more than LEAF characters (text without any space) is a tree of its own, whose windows must agree in ids and
-places on AGREE tokens in a row with either part; between agreeing tokens the window's encoding stands, beyond them each
-part's own does. That is exact: a sequence of tokens is the encoding of its text if each two neighbours are that of theirs
-(the merges of a pair never depend on what stands further off), and every pair of neighbours of the joined sequence is one
-of a part's or of the window's encoding, since at a seam at least two tokens in a row are common to both.
-
-A text of more than SPREAD characters is dealt out: its stretches are encoded in parallel by different tasks and joined in
-a second step, so that one very long document doesn't hold up one task for its whole encoding.
+on their own and joined pairwise up the tree. Around each join a window of the text is encoded again and grows until it
+agrees with the left part near its begin and with the right part near its end: in ids and places of AGREE tokens in a row.
+Between these the window's tokens stand, beyond them each part's own do. That is exact: a sequence of tokens is the encoding
+of its text if each two neighbours are that of theirs (the merges of a pair never depend on what stands further off), and
+every pair of neighbours of the joined sequence is one of a part's or of the window's encoding, since at a seam at least two
+tokens in a row are common to both. A window that reaches both ends of what it joins is the encoding itself.
+
+A text of more than SPREAD characters is dealt out: its stretches, cut by length, are trees that different tasks encode in
+parallel, and are joined by windows in a second step, so that one very long document doesn't hold up one task for its whole
+encoding.
+
+Parts are encoded word by word where the tokenizer parts at spaces, as words are often at hand; windows, and everything for
+a tokenizer that doesn't, by one call of the library.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents
 
-#: Characters of a part of a text, and of a part without a space, that is encoded at once; tokens in a row that must agree
-#: on each side of a join in the latter.
-PART, LEAF, AGREE = 4096, 1024, 4
+#: Characters of a part that is encoded at once; characters on each side of a join that its first window has; tokens in a row
+#: that must agree on each side.
+PART, REACH, AGREE = 4096, 64, 4
 
 #: Characters of a stretch of a long document.
 SPREAD = 1 << 16
 
-#: Pieces that a worker keeps at hand (in two generations).
-KEPT = 150_000
+#: Words that a worker keeps at hand (in two generations), and characters of the longest of them.
+KEPT, WORD = 150_000, 200
+
+#: Words near a bound that are taken apart at once.
+FEW = 16
+
+#: A token and its place in the text: (id, from, to). A segment is a list of tokens, or of words with where they begin.
+Token = tuple[int, int, int]
+Segment = tuple[int, list[str]] | list[Token]
 
 
 def public_path(name: str) -> str:
@@ -49,135 +54,155 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class PieceEncoder:
+class TreeEncoder:
     """Encodes texts with one tokenizer file as its library does, without special tokens added."""
 
-    def __init__(self, path: str, leaf: int = LEAF, part: int = PART) -> None:
+    def __init__(self, path: str, part: int = PART, reach: int = REACH) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.leaf, self.part = leaf, part
-        self.token = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        self.new: dict[str, tuple[int, str, str]] = {}
-        self.old: dict[str, tuple[int, str, str]] = {}
-
-    def _placed(self, text: str, shift: int = 0) -> list[tuple[int, int, int]]:
+        self.part, self.reach = part, reach
+        self.new: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+        self.digits = [str(i) for i in range(self.tokenizer.get_vocab_size())]
+        self.by_word = self._parts_at_spaces()
+        self.windows = self.grown = 0
+
+    def _encode(self, text: str, at: int = 0) -> list[Token]:
         e = self.tokenizer.encode(text, add_special_tokens=False)
-        return [(i, a + shift, b + shift) for i, (a, b) in zip(e.ids, e.offsets, strict=True)]
-
-    def tree(self, text: str, start: int = 0, end: int | None = None) -> list[tuple[int, int, int]]:
-        """(id, from, to) of the tokens of text[start:end], as one encode of it gives."""
+        return [(i, a + at, b + at) for i, (a, b) in zip(e.ids, e.offsets, strict=True)]
+
+    def _parts_at_spaces(self) -> bool:
+        """Whether words have the same tokens, at the same places, alone and between spaces."""
+        words = ["a", "Some", "don't", "x1!", "(y)", "été", "日本", "--", "'s"]
+        alone, at = [], 0
+        for w in words:
+            alone += self._encode(w, at)
+            at += len(w) + 1
+        return alone == self._encode(" ".join(words))
+
+    def _ids(self, words: list[str]) -> list[int]:
+        """The tokens of the words, in order; words that aren't at hand are encoded together."""
+        if len(self.new) > KEPT:
+            self.old, self.new = self.new, {}
+        new, missing, long = self.new, [], []
+        for w in set(words).difference(new):
+            known = self.old.get(w)
+            if known is not None:
+                new[w] = known
+            else:
+                missing.append(w)
+                if len(w) > WORD:
+                    long.append(w)
+        for w, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            new[w] = e.ids
+        out = list(chain.from_iterable(map(new.__getitem__, words)))
+        for w in long:
+            del new[w]
+        return out
+
+    def _leaf(self, text: str, start: int, end: int) -> list[Segment]:
+        piece = text[start:end]
+        return [(start, piece.replace("\n", " ").split(" "))] if self.by_word else [self._encode(piece, start)]
+
+    def _placed(self, base: int, words: list[str]) -> list[Token]:
+        out = []
+        for w in words:
+            out += self._encode(w, base) if w else []
+            base += len(w) + 1
+        return out
+
+    def _last(self, segments: list[Segment]) -> list[Token]:
+        """Takes the tokens of the last few words, or of the last segment, off the segments."""
+        segment = segments.pop()
+        if isinstance(segment, list):
+            return segment
+        base, words = segment
+        few = words[-FEW:]
+        if len(words) == len(few):
+            return self._placed(base, few)
+        segments.append((base, words[:-FEW]))
+        return self._placed(base + sum(map(len, words[:-FEW])) + len(words) - FEW, few)
+
+    def _first(self, segments: list[Segment]) -> list[Token]:
+        """Takes the tokens of the first few words, or of the first segment, off the segments."""
+        segment = segments[0]
+        if isinstance(segment, list):
+            del segments[0]
+            return segment
+        base, words = segment
+        few = words[:FEW]
+        if len(words) == len(few):
+            del segments[0]
+        else:
+            segments[0] = (base + sum(map(len, few)) + FEW, words[FEW:])
+        return self._placed(base, few)
+
+    def tree(self, text: str, start: int = 0, end: int | None = None) -> list[Segment]:
+        """The tokens of text[start:end], as one encoding of it gives them, in segments."""
         end = len(text) if end is None else end
-        if end - start <= self.leaf:
-            return self._placed(text[start:end], start)
+        if end - start <= self.part:
+            return self._leaf(text, start, end)
         middle = (start + end) // 2
         return self.join(text, self.tree(text, start, middle), self.tree(text, middle, end), start, middle, end)
 
-    def join(self, text: str, left: list, right: list, start: int, middle: int, end: int) -> list[tuple[int, int, int]]:
-        reach = self.leaf // 8
+    def join(self, text: str, left: list[Segment], right: list[Segment], start: int, middle: int, end: int) -> list[Segment]:
+        """The segments of text[start:end] from those of its halves, whose lists are used up."""
+        reach, tail, head = self.reach, [], []
+        self.windows += 1
         while True:
             low, high = max(start, middle - reach), min(end, middle + reach)
-            # a window begins and ends where tokens do
-            i = next((k for k in range(len(left) - 1, -1, -1) if left[k][1] <= low), -1) if low > start else -1
-            low = left[i][1] if i >= 0 else start
-            window = self._placed(text[low:high], low)
-            i, j = max(i, 0), bisect_right(right, high, key=lambda x: x[1])
-            head = self._meet(window, left[i:], 0) if low > start else (0, -i)
-            tail = self._meet(window, right[:j], head[0] if head else 0, backward=True) if high < end else (len(window), len(right))
-            if head is not None and tail is not None and head[0] <= tail[0]:
-                return left[: i + head[1]] + window[head[0] : tail[0]] + right[tail[1] :]
-            if low == start and high == end:
-                return window
+            while left and (not tail or tail[0][1] > low):
+                tail = self._last(left) + tail
+            while right and (not head or head[-1][1] <= high):
+                head += self._first(right)
+            # a window begins where a token does
+            i = next((k for k in range(len(tail) - 1, -1, -1) if tail[k][1] <= low), 0) if low > start else 0
+            low = tail[i][1] if low > start and tail and tail[i][1] <= low else start
+            window = self._encode(text[low:high], low)
+            begin = _meet(window, tail[i:], 0) if low > start else (0, 0)
+            finish = _meet(window, [t for t in head if t[1] <= high], begin[0] if begin else 0, backward=True) if high < end else (len(window), len(head))
+            if begin is not None and finish is not None and begin[0] <= finish[0]:
+                kept = tail[: i + begin[1]] if low > start else []
+                return (left if low > start else []) + [kept + window[begin[0] : finish[0]] + head[finish[1] :]] + (right if high < end else [])
+            self.grown += 1
             reach *= 2
 
-    @staticmethod
-    def _meet(window: list, part: list, after: int, backward: bool = False) -> tuple[int, int] | None:
-        """(place in window, place in part) within AGREE tokens in a row that both have: the first such run of the
-        window, or with backward the last one that isn't at the window's own end."""
-        at = {x: k for k, x in enumerate(part)}
-        places = range(after, len(window) - AGREE + 1)
-        for k in reversed(places[:-AGREE] if len(places) > AGREE else range(0)) if backward else places:
-            p = at.get(window[k])
-            if p is not None and window[k : k + AGREE] == part[p : p + AGREE]:
-                return (k + AGREE // 2, p + AGREE // 2)
-        return None
-
-    def _entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
-
-    def _lookup(self, pieces: set[str]) -> None:
-        """Brings these pieces to hand."""
-        if len(self.new) > KEPT:
-            self.old, self.new = self.new, {}
-        missing = []
-        for p in pieces:
-            if p not in self.new:
-                known = self.old.get(p)
-                if known is not None:
-                    self.new[p] = known
-                else:
-                    missing.append(p)
-        short = [p for p in missing if len(p) <= self.leaf]
-        for p, e in zip(short, self.tokenizer.encode_batch(short, add_special_tokens=False), strict=True):
-            self.new[p] = self._entry(e.ids)
-        for p in missing:
-            if len(p) > self.leaf:
-                self.new[p] = self._entry([i for i, _, _ in self.tree(p)])
-
-    def _pieces(self, text: str) -> list[str]:
-        """The pieces of a text by tree concatenation; those that a join has put together are at hand."""
-        if len(text) <= self.part:
-            return text.split(" ")
-        middle = len(text) // 2
-        return self._joined(self._pieces(text[:middle]), self._pieces(text[middle:]))
-
-    def _joined(self, left: list[str], right: list[str]) -> list[str]:
-        cut, reach = left[-1] + right[0], 1
-        while len(cut) <= self.leaf:
-            head, tail = left[-1 - reach : -1], right[1 : 1 + reach]
-            if any(len(p) > self.leaf for p in (*head, *tail)):
-                break  # a space stands between; the long piece is a tree of its own
-            self._lookup({*head, *tail})
-            window = self.tokenizer.encode(" ".join([*head, cut, *tail]), add_special_tokens=False).ids
-            before, after = (" ".join(self.new[p][1] for p in ps if self.new[p][0]) for ps in (head, tail))
-            m, n = (sum(self.new[p][0] for p in ps) for ps in (head, tail))
-            n = len(window) - n
-            if " ".join(map(str, window[:m])) == before and " ".join(map(str, window[n:])) == after:
-                self.new[cut] = self._entry(window[m:n])
-                break
-            if reach >= max(len(left), len(right)):
-                raise ValueError("a space doesn't separate what this tokenizer encodes")
-            reach *= 2
-        return [*left[:-1], cut, *right[1:]]
+    def result(self, segments: list[Segment]) -> tuple[int, str, str]:
+        """(tokens, ids joined by a space, the library's decoding of the ids)."""
+        ids = []
+        for x in segments:
+            ids += [t[0] for t in x] if isinstance(x, list) else self._ids(x[1])
+        return len(ids), " ".join(map(self.digits.__getitem__, ids)), self.tokenizer.decode(ids, skip_special_tokens=False)
+
+    def placed(self, segments: list[Segment]) -> list[Token]:
+        return list(chain.from_iterable(x if isinstance(x, list) else self._placed(*x) for x in segments))
 
     def encode(self, text: str) -> tuple[int, str, str]:
-        """(tokens, ids joined by a space, the library's decoding of the ids)."""
-        pieces = self._pieces(text.replace("\n", " "))
-        n, ids, decoded = 0, [], []
-        for at in range(0, len(pieces), KEPT):
-            part = pieces[at : at + KEPT]
-            self._lookup(set(part))
-            for p in part:
-                m, i, d = self.new[p]
-                if m:
-                    n += m
-                    ids.append(i)
-                    decoded.append(d)
-            for p in part:
-                if len(p) > self.leaf:  # long pieces aren't kept
-                    self.new.pop(p, None)
-        return n, " ".join(ids), " ".join(decoded)
-
-
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
+        return self.result(self.tree(text))
+
+
+def _meet(window: list, part: list, after: int, backward: bool = False) -> tuple[int, int] | None:
+    """(place in window, place in part) within AGREE tokens in a row that both have: the first such run of the window, or with
+    backward the last one that isn't at the window's own end."""
+    at = {x: k for k, x in enumerate(part)}
+    places = range(after, len(window) - AGREE + 1)
+    for k in reversed(places[:-AGREE] if len(places) > AGREE else range(0)) if backward else places:
+        p = at.get(window[k])
+        if p is not None and window[k : k + AGREE] == part[p : p + AGREE]:
+            return (k + AGREE // 2, p + AGREE // 2)
+    return None
+
+
+_encoders: dict[str, TreeEncoder] = {}
+
+
+def encoder(path: str) -> TreeEncoder:
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = TreeEncoder(path)
     return _encoders[path]
 
 
@@ -185,6 +210,10 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+#: Tokens of a segment of a stretch that another task has encoded.
+_SEGMENT = 64
+
+
 def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row of docs (with texts also ids and decoded).
 
@@ -196,74 +225,49 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
     bounded_batches(docs.sparkSession)
     more = ", ids string, decoded string" if texts else ""
 
-    def row(key: tuple, n: int, ids: str, decoded: str) -> tuple:
-        return (*key, n, _sha(ids), _sha(decoded), *((ids, decoded) if texts else ()))
+    def row(n: int, ids: str, decoded: str) -> tuple:
+        return (n, _sha(ids), _sha(decoded), *((ids, decoded) if texts else ()))
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if texts else [])]
 
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         e = encoder(path)
         for texts_in in batches:
-            yield pd.DataFrame([row((), *e.encode(t or "")) for t in texts_in], columns=names)
-
-    def stretch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        e = encoder(path)
-        for texts_in in batches:
-            yield pd.DataFrame([e.encode(t) for t in texts_in], columns=["n", "ids", "decoded"])
+            yield pd.DataFrame([row(*e.encode(t or "")) for t in texts_in], columns=names)
 
     result = f"n_tokens long, ids_sha256 string, decoded_sha256 string{more}"
     whole_udf = F.pandas_udf(whole, result)
     long = F.char_length(F.coalesce("text", F.lit(""))) > SPREAD
     short_rows = docs.where(~long).select("doc_id", whole_udf("text").alias("_e")).select("doc_id", "_e.*")
 
-    # A long text is cut at spaces where it has any, else by length; stretches are encoded apart and then joined.
+    # a long text is encoded once, however many rows have it
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, doc, text in batch.itertuples():
-                at, k, key = 0, 0, _sha(text)
-                while at < len(text):
-                    to = min(len(text), at + SPREAD)
-                    space = text.rfind(" ", at + 1, to) if to < len(text) else -1
-                    to = space + 1 if space > 0 else to
-                    yield pd.DataFrame({"doc_id": [doc], "key": [key], "k": [k], "text": [text[at:to]], "free": [space > 0 or to == len(text)]})
-                    at, k = to, k + 1
-
-    long_docs = docs.where(long).select("doc_id", "text").mapInPandas(cut, "doc_id string, key string, k long, text string, free boolean")
-    # stretches up to a space stand alone; those that aren't cut at a space are joined with what follows
-    run = F.coalesce(F.sum(F.col("free").cast("long")).over(Window.partitionBy("doc_id", "key", "copy").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    long_docs = long_docs.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "key", "k").orderBy("free")))
-    runs = long_docs.withColumn("run", run)
+            for text in batch["text"]:
+                starts = range(0, len(text), SPREAD)
+                yield pd.DataFrame({"key": _sha(text), "k": range(len(starts)), "text": [text[a : a + SPREAD] for a in starts]})
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path)
         for b in batches:
-            yield b.assign(tokens=[[list(x) for x in e.tree(t)] if not f or k0 else None for t, f, k0 in zip(b.text, b.free, b.joined, strict=True)])
-
-    in_run = Window.partitionBy("doc_id", "key", "copy", "run")
-    placed = (
-        runs.withColumn("joined", F.count("*").over(in_run) > 1)
-        .repartition(F.xxhash64("doc_id", "key", "copy", "k"))
-        .mapInPandas(parts, "doc_id string, key string, k long, text string, free boolean, copy int, run long, joined boolean, tokens array<array<long>>")
-    )
+            flat = [e.placed(e.tree(text)) for text in b["text"]]
+            yield b.assign(ids=[[t[0] for t in x] for x in flat], starts=[[t[1] for t in x] for x in flat], ends=[[t[2] for t in x] for x in flat])
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
         e, pdf = encoder(path), pdf.sort_values("k")
-        n, ids, decoded = 0, [], []
-        for _, g in pdf.groupby("run", sort=True):
-            if len(g) == 1:
-                m, i, d = e.encode(g.text.iloc[0])
-            else:
-                text, tokens, at = "".join(g.text), [], 0
-                for t, found in zip(g.text, g.tokens, strict=True):
-                    found = [(int(i), int(a) + at, int(b) + at) for i, a, b in found]
-                    tokens = e.join(text, tokens, found, 0, at, at + len(t)) if at else found
-                    at += len(t)
-                m, i, d = e._entry([x[0] for x in tokens])
-            if m:
-                n, ids, decoded = n + m, [*ids, i], [*decoded, d]
-        return pd.DataFrame([row((pdf.doc_id.iloc[0],), n, " ".join(ids), " ".join(decoded))], columns=["doc_id", *names])
-
-    long_rows = placed.groupBy("doc_id", "key", "copy").applyInPandas(joined, f"doc_id string, {result}")
+        text, done, at = "".join(pdf["text"]), [], 0
+        for t, ids, starts, ends in zip(pdf["text"], pdf["ids"], pdf["starts"], pdf["ends"], strict=True):
+            tokens = list(zip(ids.tolist(), (starts + at).tolist(), (ends + at).tolist(), strict=True))
+            part = [tokens[i : i + _SEGMENT] for i in range(0, len(tokens), _SEGMENT)]
+            done = e.join(text, done, part, 0, at, at + len(t)) if at else part
+            at += len(t)
+        return pd.DataFrame([(pdf["key"].iloc[0], *row(*e.result(done)))], columns=["key", *names])
+
+    long_docs = docs.where(long)
+    stretches = long_docs.groupBy("text").agg(F.lit(1).alias("_one")).select("text").mapInPandas(cut, "key string, k long, text string")
+    encoded = stretches.repartition(F.col("key"), F.col("k")).mapInPandas(parts, "key string, k long, text string, ids array<int>, starts array<int>, ends array<int>")
+    results = encoded.groupBy("key").applyInPandas(joined, f"key string, {result}")
+    long_rows = long_docs.select("doc_id", F.sha2("text", 256).alias("key")).join(results, "key").select("doc_id", *names)
     return short_rows.unionByName(long_rows).withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 

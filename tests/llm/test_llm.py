@@ -248,13 +248,39 @@ def test_repeated_and_unnumbered_rows_lose_what_brute_force_says(spark, parts):
     assert all((r.n_removed, bytes(r.kept)) == want[r.doc_id, r.copy_of] for r in got)
 
 
-def test_tree_concatenation_is_exact():
-    e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"), leaf=32)
-    rng = random.Random(5)
-    for _ in range(200):
-        x = "".join(rng.choice(rng.choice(["ab", "aé́b'sçß", "'!.s're1", "日本🎉", " \n"])) for _ in range(rng.randint(0, 300)))
+def odd_text(rng, n):
+    return "".join(rng.choice(rng.choice(["ab", "aé́b'sçß", "'!.s're1", "日本🎉", " \n\t"])) for _ in range(n))
+
+
+def encodings_differ(e, texts):
+    out = 0
+    for x in texts:
         ids = e.tokenizer.encode(x, add_special_tokens=False).ids
-        assert e.encode(x) == (len(ids), " ".join(map(str, ids)), e.tokenizer.decode(ids, skip_special_tokens=False))
+        out += e.encode(x) != (len(ids), " ".join(map(str, ids)), e.tokenizer.decode(ids, skip_special_tokens=False))
+    return out
+
+
+@pytest.mark.parametrize(("part", "reach"), [(7, 1), (32, 4), (64, 64)])
+def test_tree_concatenation_is_exact(part, reach):
+    rng = random.Random(part)
+    e = bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"), part, reach)
+    assert e.by_word
+    assert encodings_differ(e, [odd_text(rng, rng.randint(0, 300)) for _ in range(200)] + ["some plain words of a text " * 20, "x" * 500]) == 0
+    assert e.windows > 500
+
+
+def test_without_windows_the_halves_do_not_join(monkeypatch):
+    rng = random.Random(2)
+    texts = [odd_text(rng, 300) for _ in range(50)]
+    monkeypatch.setattr(bpe.TreeEncoder, "join", lambda self, text, left, right, *_: left + right)
+    assert encodings_differ(bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"), 32), texts) > 40
+
+
+def test_a_tokenizer_that_does_not_part_at_spaces_has_trees_too(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(bpe.TreeEncoder, "_parts_at_spaces", lambda self: False)
+    e = bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"), 40, 5)
+    assert encodings_differ(e, [odd_text(rng, 400) for _ in range(40)]) == 0
 
 
 def test_dealt_out_long_text_is_exact(spark, monkeypatch):
@@ -267,18 +293,16 @@ def test_dealt_out_long_text_is_exact(spark, monkeypatch):
 
 
 def test_text_without_a_space_is_encoded_exactly():
-    e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"))
+    e = bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"))
     rng = random.Random(9)
-    for alphabet in ("abcdefghijklmnop", "aé́1'sß", "日本語漢字"):
-        x = "".join(rng.choices(alphabet, k=60_000))
-        ids = e.tokenizer.encode(x, add_special_tokens=False).ids
-        assert e.encode(x)[1] == " ".join(map(str, ids))
+    assert encodings_differ(e, ["".join(rng.choices(alphabet, k=60_000)) for alphabet in ("abcdefghijklmnop", "aé́1'sß", "日本語漢字")]) == 0
+    assert e.windows >= 45
 
 
 def test_whole_texts_are_halved_anywhere_and_joined_exactly():
     rng = random.Random(10)
     for part in (1, 5, 64):
-        e = bpe.PieceEncoder(bpe.public_path("word_bpe_49k.json"), leaf=16, part=part)
+        e = bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"), part, 2)
         for _ in range(60):
             x = "".join(rng.choices(["ab", " ", "  ", "\n", "d'été", "x1!", "日本"], k=rng.randint(0, 60)))
             ids = e.tokenizer.encode(x, add_special_tokens=False).ids
