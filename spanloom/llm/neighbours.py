@@ -29,7 +29,7 @@ DEGREE, REVERSE, PROPOSALS, ROUNDS = 36, 36, 4, 12
 SETTLED = 0.01
 
 #: Nodes that a query keeps and looks at in a round; rounds of search.
-BEAM, STEP, SEARCH_ROUNDS = 160, 48, 10
+BEAM, STEP = 160, 48
 
 #: Queries are the rows whose vec_id this divides; results of each.
 EVERY, RESULTS = 20, 20
@@ -150,9 +150,10 @@ def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for q, own, beam, seen, ids, nears in zip(batch["q"], batch["own"], batch["beam"], batch["seen"], batch["ids"], batch["nears"], strict=True):
-            value: dict[int, float] = {b["id"]: b["near"] for b in beam}
+            value: dict[int, float] = {}
             for some, x in zip(ids if ids is not None else (), nears if nears is not None else (), strict=True):
                 value.update(zip(map(int, some), map(float, x), strict=True))
+            value |= {b["id"]: b["near"] for b in beam}
             kept = sorted(value.items(), key=lambda kv: (-kv[1], kv[0]))[:BEAM]
             looked = set(map(int, seen))
             front = [i for i, _ in kept if i not in looked][:STEP]
@@ -160,13 +161,17 @@ def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["q", "own", "beam", "seen", "front"])
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, rounds: int = SEARCH_ROUNDS) -> DataFrame:
-    """(q, id): the beam that greedy search ends with for each query node (column node)."""
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
+    """(q, id): the beam that greedy search ends with for each query node (column node).
+
+    A search ends when no node of its beam is left to look at: what has left a beam never comes back, so it does end. The
+    query's own node always stays in its beam, as rows equal to the query are found with it.
+    """
     links = _around(graph).join(nodes.select(F.col("node").alias("m"), "code"), "m")
     inline = materialise(links.groupBy(F.col("c").alias("node")).agg(F.collect_list("m").alias("ids"), F.collect_list("code").alias("codes")), "inline")
     state_type = "q long, own binary, beam array<struct<id:long,near:float>>, seen array<long>, front array<long>"
     start = queries.select("node").distinct().join(nodes.select("node", "code"), "node")
-    self_near = F.lit(0.0).cast("float")
+    self_near = F.lit(float("inf")).cast("float")
     state = materialise(
         start.select(
             F.col("node").alias("q"), F.col("code").alias("own"), F.array(F.struct(F.col("node").alias("id"), self_near.alias("near"))).alias("beam"),
@@ -174,7 +179,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, rounds: int =
         ),
         "state",
     )
-    for _ in range(rounds):
+    while True:
         looks = state.select("q", "own", F.explode("front").alias("node")).join(inline, "node").select("q", "own", "ids", "codes")
         found = looks.mapInPandas(_looked, "q long, ids array<long>, nears array<float>")
         found = found.groupBy("q").agg(F.collect_list("ids").alias("ids"), F.collect_list("nears").alias("nears"))
