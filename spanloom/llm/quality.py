@@ -12,6 +12,7 @@ every whole text.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents
 
-#: Most labelled documents, most bytes of each, and most bytes of all, that the model is fitted on.
-SAMPLE, TEXT_BYTES, SAMPLE_BYTES = 4000, 200_000, 24_000_000
+#: Most labelled documents, most bytes of each, and most bytes of all, that the model is fitted on; a line counts for so
+#: many bytes more.
+SAMPLE, TEXT_BYTES, SAMPLE_BYTES, LINE_BYTES = 4000, 200_000, 24_000_000, 50
 
 #: Score from which a document is accepted.
 ACCEPT = 0.3
@@ -46,12 +48,24 @@ for _i, _chars in enumerate(_CLASSES.values()):
 _OWN = len(_CLASSES) + 6
 
 
-def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(features of each line with those of its neighbours, weight of each line)."""
-    data = (text or "").encode("utf-8", "surrogatepass")
-    lines = data.split(b"\n")
+#: Bytes of a text whose lines are looked at together.
+CHUNK = 1 << 16
+
+
+def _lines(data: bytes) -> Iterator[list[bytes]]:
+    """The lines of a text, CHUNK bytes of them (or a longer single line) at a time."""
+    at = 0
+    while at <= len(data):
+        end = data.find(b"\n", at + CHUNK)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split(b"\n")
+        at = end + 1
+
+
+def _own(lines: list[bytes], repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features of each line alone, its weight); repeated: sorted hashes of lines that occur more than once."""
     length = np.fromiter(map(len, lines), np.int64, len(lines))
-    code = _TABLE[np.frombuffer(data + b"\n", np.uint8)]
+    code = _TABLE[np.frombuffer(b"\n".join(lines) + b"\n", np.uint8)]
     start = np.concatenate([[0], np.cumsum(length + 1)[:-1]])
     own = np.zeros((len(lines), _OWN))
     size = np.maximum(length, 1)
@@ -61,17 +75,40 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     letters = np.maximum(own[:, 0] + own[:, 1] + own[:, len(_CLASSES)], 1e-9)
     own[:, -5] = own[:, 0] / letters
     own[:, -4] = np.log1p(length) / 6
-    hashes = np.fromiter(map(hash, lines), np.int64, len(lines))
-    _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    own[:, -3] = (times[back] > 1) & (length > 0)
+    own[:, -3] = np.isin(np.fromiter(map(hash, lines), np.int64, len(lines)), repeated) & (length > 0)
     for i, line in enumerate(lines):
         words = line.split()
         if words:
             own[i, -2] = len(set(words)) / len(words)
             own[i, -1] = min(3.0, (length[i] / len(words)) / 6)
+    return own, size.astype(float)
+
+
+def features_by_chunk(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features of each line with those of its neighbours, weight of each line) of some lines after the others."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    hashes = np.sort(np.concatenate([np.fromiter(map(hash, lines), np.int64, len(lines)) for lines in _lines(data)]))
+    repeated = np.unique(hashes[1:][hashes[1:] == hashes[:-1]])
+    del hashes
     edge = np.zeros((1, _OWN))
-    near = np.hstack([own, np.vstack([edge, own[:-1]]), np.vstack([own[1:], edge]), np.ones((len(lines), 1))])
-    return near, size.astype(float)
+    before, held = edge, None
+
+    def near(own: np.ndarray, after: np.ndarray) -> np.ndarray:
+        return np.hstack([own, np.vstack([before, own[:-1]]), np.vstack([own[1:], after]), np.ones((len(own), 1))])
+
+    for lines in _lines(data):
+        now = _own(lines, repeated)
+        if held:
+            yield near(held[0], now[0][:1]), held[1]
+            before = held[0][-1:]
+        held = now
+    yield near(held[0], edge), held[1]
+
+
+def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """features_by_chunk() of a whole text at once."""
+    x, weight = zip(*features_by_chunk(text), strict=True)
+    return np.concatenate(x), np.concatenate(weight)
 
 
 @dataclass
@@ -83,33 +120,42 @@ class LineField:
     slope: float = 1.0
     offset: float = 0.0
 
-    def marginals(self, x: np.ndarray) -> np.ndarray:
-        """Probability that each line of one document is good."""
-        e = np.clip(x @ self.weights, -30, 30).tolist()
+    def evidence(self, x: np.ndarray) -> np.ndarray:
+        """Log odds of good of each line by its features alone."""
+        return np.clip(x @ self.weights, -30, 30)
+
+    def marginals(self, evidence: np.ndarray) -> np.ndarray:
+        """Probability that each line of one document is good. Two numbers a line are held."""
         (a, b), (c, d) = np.exp(self.transitions).tolist()
-        n = len(e)
-        odds = [math.exp(v) for v in e]
-        ahead = [0.0] * n
-        p = odds[0] / (1 + odds[0])
-        ahead[0] = p
-        for i in range(1, n):
-            bad, good = (1 - p) * a + p * c, ((1 - p) * b + p * d) * odds[i]
-            p = good / (good + bad)
-            ahead[i] = p
-        out = [0.0] * n
+        out, p = np.empty(len(evidence)), None
+        steps = range(0, len(evidence), CHUNK)
+        for at in steps:
+            part = []
+            for odds in np.exp(evidence[at : at + CHUNK]).tolist():
+                if p is None:
+                    p = odds / (1 + odds)
+                else:
+                    bad, good = (1 - p) * a + p * c, ((1 - p) * b + p * d) * odds
+                    p = good / (good + bad)
+                part.append(p)
+            out[at : at + CHUNK] = part
         u = v = 1.0
-        for i in range(n - 1, -1, -1):
-            good, bad = ahead[i] * v, (1 - ahead[i]) * u
-            out[i] = good / (good + bad)
-            w = v * odds[i]
-            u, v = a * u + b * w, c * u + d * w
-            s = u + v
-            u, v = u / s, v / s
-        return np.array(out)
+        for at in reversed(steps):
+            part = []
+            for odds, ahead in zip(np.exp(evidence[at : at + CHUNK])[::-1].tolist(), out[at : at + CHUNK][::-1].tolist(), strict=True):
+                good, bad = ahead * v, (1 - ahead) * u
+                part.append(good / (good + bad))
+                w = v * odds
+                u, v = a * u + b * w, c * u + d * w
+                s = u + v
+                u, v = u / s, v / s
+            out[at : at + CHUNK] = part[::-1]
+        return out
 
     def raw(self, text: str | None) -> float:
-        x, weight = line_features(text)
-        return float(self.marginals(x) @ weight / weight.sum())
+        evidence, weight = zip(*((self.evidence(x), w.astype(np.uint32)) for x, w in features_by_chunk(text)), strict=True)
+        evidence, weight = np.concatenate(evidence), np.concatenate(weight)
+        return float(self.marginals(evidence) @ weight / weight.sum(dtype=np.float64))
 
     def score(self, text: str | None) -> float:
         return _curve(self.raw(text), self.slope, self.offset)
@@ -175,7 +221,7 @@ def fit_field(texts: list[str | None], labels: list[int]) -> LineField:
     w = w / spread
     w[-1] -= mean @ w
     field = LineField(w, trans)
-    raw = np.array([_logit(float(field.marginals(line_features(t)[0]) @ line_features(t)[1] / line_features(t)[1].sum())) for t in texts])
+    raw = np.array([_logit(field.raw(t)) for t in texts])
     design, target, beta = np.stack([raw, np.ones_like(raw)], 1), np.array(labels, float), np.array([0.2, 0.0])
     for _ in range(20):
         q = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
@@ -195,11 +241,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField
     of the lowest hash counts."""
     known = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    size = F.octet_length(F.coalesce("text", F.lit("")))
-    texts = docs.select("doc_id", "text").where(size <= TEXT_BYTES).join(F.broadcast(known), "doc_id")
-    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text")).getField("text").alias("text"))
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # `sample` rows
-    rows = one.withColumn("_upto", F.sum(size.cast("long")).over(order)).where(F.col("_upto") <= SAMPLE_BYTES).collect()
+    text = F.coalesce("text", F.lit(""))
+    size = F.octet_length(text)
+    cost = size + LINE_BYTES * (size - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    texts = docs.select("doc_id", "text").where(size <= TEXT_BYTES).join(F.broadcast(known), "doc_id").withColumn("_hash", F.xxhash64("text"))
+    # sizes first: `sample` rows without a text
+    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct("_hash", cost.cast("long").alias("cost"))).alias("_one")).select("doc_id", "_one.*")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = one.withColumn("_upto", F.sum("cost").over(order)).where(F.col("_upto") <= SAMPLE_BYTES).select("doc_id", "_hash")
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "_hash"]).dropDuplicates(["doc_id"]).select("doc_id", "quality", "text").collect()
     rows.sort(key=lambda r: r.doc_id)
     return fit_field([r.text for r in rows], [r.quality for r in rows])
 
