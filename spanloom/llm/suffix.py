@@ -435,15 +435,20 @@ def numbered(docs: DataFrame) -> DataFrame:
     """Adds doc and variant, one pair for each (doc_id, text), in the order of doc_id and of a text hash.
 
     Only rows that share a doc_id or have none need a number; the written table holds those alone, and is empty where
-    doc_id is a key. Null ids begin at NO_DOC, VARIANTS of them to a number.
+    doc_id is a key. Null ids begin at NO_DOC, VARIANTS of them to a number. Where a doc_id has more than VARIANTS texts all
+    rows are numbered, whatever their doc_id.
     """
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_DOC)).alias("_id"), F.xxhash64("text").alias("_text"))
     shared = materialise(rows.groupBy("_id").agg(F.count("*").alias("n"), F.count("doc_id").alias("given")).where("n > 1 OR given < n").select("_id"), "shared")
     several = rows.join(shared, "_id").groupBy("_id", "_text").agg((F.count("doc_id") == 0).alias("_none")).withColumn("_one", F.lit(1))
-    ranked = running_totals(several, ["_id"], ["_text"], "_one", "_rank")
-    wide = F.col("_rank") >= VARIANTS
-    doc = F.when(F.col("_none"), F.col("_id") + F.floor(F.col("_rank") / VARIANTS)).when(wide, F.raise_error(F.lit("too many texts of one doc_id"))).otherwise(F.col("_id"))
-    ranked = materialise(ranked.select("_id", "_text", doc.cast("long").alias("_doc"), (F.col("_rank") % VARIANTS).alias("_variant")), "variants")
+    ranked = materialise(running_totals(several, ["_id"], ["_text"], "_one", "_rank").select("_id", "_text", "_none", "_rank"), "ranks")
+    if ranked.where(~F.col("_none") & (F.col("_rank") >= VARIANTS)).isEmpty():
+        doc = F.when(F.col("_none"), F.col("_id") + F.floor(F.col("_rank") / VARIANTS)).otherwise(F.col("_id"))
+        ranked = ranked.select("_id", "_text", doc.cast("long").alias("_doc"), (F.col("_rank") % VARIANTS).alias("_variant"))
+    else:  # a doc_id has more texts than there are variants: then every text gets a number of its own
+        every = rows.select("_id", "_text", F.lit(0).alias("_all"), F.lit(1).alias("_one")).distinct()
+        ranked = running_totals(every, ["_all"], ["_id", "_text"], "_one", "_doc").select("_id", "_text", F.col("_doc").cast("long"), F.lit(0).cast("long").alias("_variant"))
+    ranked = materialise(ranked, "variants")
     keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_DOC)), "_text": F.xxhash64("text")}).join(ranked, ["_id", "_text"], "left")
     return keyed.withColumns({"doc": F.coalesce("_doc", "_id"), "variant": F.coalesce("_variant", F.lit(0)).cast("long"), "_several": F.col("_doc").isNotNull()}).drop("_id", "_text", "_doc", "_variant")
 
