@@ -349,6 +349,66 @@ def test_out_of_place_distance_is_that_by_hand():
     assert p.predict("ab b") == (best, 1 - far[best] / (4 * len(own)))
 
 
+def test_lines_by_chunk_have_the_features_of_the_whole(monkeypatch):
+    rng = random.Random(7)
+    texts = [None, "", "\n", "\n\n\n", "one line", "a\nb", "a\n", "\na", "same line\nother\nsame line\n" * 20, "\n".join("".join(rng.choices("abc ,.!1é", k=rng.randint(0, 30))) for _ in range(300))]
+    want = [quality.line_features(t) for t in texts]
+    field = quality.LineField(np.linspace(-1, 1, want[0][0].shape[1]), np.array([[0.3, -0.2], [0.1, 0.4]]))
+    raw = [field.raw(t) for t in texts]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(quality, "CHUNK", size)
+        for t, (x, w), r in zip(texts, want, raw, strict=True):
+            got = quality.line_features(t)
+            assert np.array_equal(got[0], x) and np.array_equal(got[1], w) and abs(field.raw(t) - r) < 1e-12
+
+
+def test_a_text_of_line_ends_takes_little_memory():
+    import tracemalloc
+
+    field = quality.LineField(np.full(quality.line_features("")[0].shape[1], 0.1), np.zeros((2, 2)))
+    tracemalloc.start()
+    score = field.raw("\n" * 1_000_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < score < 1 and peak < 150e6
+
+
+def test_a_query_keeps_its_own_node_in_its_beam():
+    far = pd.DataFrame({"q": [1], "own": [b""], "beam": [[{"id": 1, "near": float("inf")}]], "seen": [[1]], "ids": [[list(range(2, 400)), [1]]], "nears": [[[1.0] * 398, [0.5]]]})
+    after = next(neighbours._merged(iter([far])))
+    assert after["beam"][0][0] == {"id": 1, "near": float("inf")} and len(after["beam"][0]) == neighbours.BEAM
+
+
+def test_rows_equal_to_a_query_are_found_in_a_dense_table(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(900, 8))
+    base[::3] *= 0.2  # short vectors have many neighbours of a larger product
+    rows = [(i, [float(np.float32(x)) for x in base[i % 900]]) for i in range(1000)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    v = np.array([r[1] for r in rows])
+    found = want = 0
+    for q in range(0, 1000, 20):
+        product = v @ v[q]
+        best = [int(i) for i in sorted(range(1000), key=lambda i: (-product[i], i)) if i != q][:20]
+        mine = {r.vec_id for r in got if r.query_id == q}
+        found, want = found + len(mine & set(best)), want + 20
+    assert found >= 0.95 * want
+
+
+def test_more_texts_of_one_doc_id_than_variants(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "VARIANTS", 8)
+    rng = random.Random(16)
+    own = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = own(200)
+    rows = [(3, own(60) + shared[rng.randint(0, 60) :]) for _ in range(40)] + [(2, own(150)), (None, shared + own(20)), (4, shared), (4, shared), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    place = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(place, key=lambda x: (x[0] is not None, x[0] or 0, place[x]))
+    want = cut_by_force([((d, t), t) for d, t in order])
+    got = suffix.without_repeats(docs.withColumn("copy_of", F.col("text"))).collect()
+    assert len(got) == len(rows) and all((r.n_removed, bytes(r.kept)) == want[r.doc_id, r.copy_of] for r in got)
+
+
 def test_marginals_are_those_of_all_labellings():
     rng = np.random.default_rng(5)
     for n in range(1, 7):
@@ -358,7 +418,7 @@ def test_marginals_are_those_of_all_labellings():
         for labels in itertools.product((0, 1), repeat=n):
             weight[labels] = np.exp(sum(e[i] for i in range(n) if labels[i]) + sum(field.transitions[a, b] for a, b in zip(labels, labels[1:], strict=False)))
         want = [sum(w for labels, w in weight.items() if labels[i]) / sum(weight.values()) for i in range(n)]
-        assert np.allclose(field.marginals(x), want)
+        assert np.allclose(field.marginals(field.evidence(x)), want)
 
 
 def test_language_and_quality_on_held_out_documents(spark):
