@@ -7,32 +7,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.operators import cuts
 from spanloom.operators import intervals as I
 from spanloom.operators.timeline import along, upto_sum
 
 
 def merge_capped(turns: DataFrame, gap_us: int, most_us: int) -> DataFrame:
     """Same-speaker merging as merge_turns(), and no merged turn longer than most_us. Which neighbours may join is found
-    by windows and a range join; only the cap looks at where a merged turn began, so each chain of joins is folded."""
+    by windows and a range join; only the cap looks at where a merged turn began, so each chain of joins is cut greedily."""
+    keys, order = ["recording_id", "chain"], ["start_us", "turn_index"]
     decided = I.merge_decisions(turns, gap_us)
-    chained = along(decided, ["recording_id"], ["start_us", "turn_index"], chain=upto_sum(F.when(F.col("decision") == "merged", 0).otherwise(1)))
-
-    @F.pandas_udf("array<struct<start_us:long,end_us:long,sources:long>>")
-    def fold(chains: pd.Series) -> pd.Series:
-        out = []
-        for chain in chains:
-            merged: list[list[int]] = []
-            for t in chain:
-                a, b = int(t["start_us"]), int(t["end_us"])
-                if merged and b - merged[-1][0] <= most_us:
-                    merged[-1] = [merged[-1][0], b, merged[-1][2] + 1]
-                else:
-                    merged.append([a, b, 1])
-            out.append([{"start_us": a, "end_us": b, "sources": n} for a, b, n in merged])
-        return pd.Series(out)
-
-    chains = chained.groupBy("recording_id", "speaker_id", "chain").agg(F.array_sort(F.collect_list(F.struct("turn_index", "start_us", "end_us"))).alias("_t"))
-    return chains.select("recording_id", "speaker_id", F.explode(fold("_t")).alias("_m")).select("recording_id", "speaker_id", "_m.*")
+    chained = along(decided, ["recording_id"], order, chain=upto_sum(F.when(F.col("decision") == "merged", 0).otherwise(1)))
+    merged = cuts.cut_where(chained, keys, order, "start_us", "end_us", F.col("start_us") + most_us, most_us * 16)
+    grouped = merged.groupBy("recording_id", "speaker_id", "chain", "group")
+    return grouped.agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("sources")).drop("chain", "group")
 
 
 def split_at_minimum(start: int, p: np.ndarray, most: int, threshold: float) -> list[tuple[int, int, bool]]:

@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators import cuts
+from spanloom.operators.timeline import along, run_number
+
 def _length() -> Column:
     return F.col("end_us") - F.col("start_us")
 
@@ -154,24 +157,10 @@ def batches(rows: DataFrame, key: str, row_id: str, size: int, seed: object) ->
 
 def packed(rows: DataFrame, key: str, order: str, most_bytes: int, most_rows: int) -> DataFrame:
     """(key, order, batch): rows (with bytes) in order, in batches of at most most_bytes and most_rows; a larger row is a
-    batch of its own. Where a batch begins depends on all before it, so a key is read in order as a stream."""
-
-    def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, batch, held, n = None, 0, 0, 0
-        for part in parts:
-            out = []
-            for k, size in zip(part[key], part["bytes"], strict=True):
-                if k != now:
-                    now, batch, held, n = k, 0, 0, 0
-                elif held + size > most_bytes or n >= most_rows:
-                    batch, held, n = batch + 1, 0, 0
-                held, n = held + size, n + 1
-                out.append(batch)
-            yield part[[key, order]].assign(batch=out)
-
-    kinds = dict(rows.dtypes)
-    dealt = rows.select(key, order, "bytes").repartition(key).sortWithinPartitions(key, order)
-    return dealt.mapInPandas(pack, f"{key} {kinds[key]}, {order} {kinds[order]}, batch long")
+    batch of its own. order is a number that tells a key's rows apart."""
+    grouped = cuts.pack(rows.select(key, order, "bytes"), [key], [order], order, "bytes", most_bytes, most_rows, 1 << 16)
+    batches = along(grouped, [key], ["place"], at="place", width=cuts.BLOCK, batch=run_number("group"))
+    return batches.select(key, order, (F.col("batch") - 1).cast("long").alias("batch"))
 
 
 # --- reports ---

@@ -157,7 +157,11 @@ def _(spark, sf):
     return P.batches(S.table(spark, sf, "documents"), "lang", "doc_id", 36, 5).select("doc_id", "batch")
 
 
-@query("k13_packed_batches")
+@query("k13_packed_batches", """WITH RECURSIVE d AS (SELECT source, doc_id, strlen(text) AS bytes, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
+  f AS (SELECT source, doc_id, n, bytes AS held, 1 AS rows, 0 AS batch FROM d WHERE n = 1
+  UNION ALL SELECT d.source, d.doc_id, d.n, CASE WHEN held + bytes > 20000 OR rows >= 16 THEN bytes ELSE held + bytes END, CASE WHEN held + bytes > 20000 OR rows >= 16 THEN 1 ELSE rows + 1 END,
+    CASE WHEN held + bytes > 20000 OR rows >= 16 THEN batch + 1 ELSE batch END FROM f JOIN d ON d.source = f.source AND d.n = f.n + 1)
+  SELECT source, doc_id, batch FROM f""")
 def _(spark, sf):
     rows = S.table(spark, sf, "documents").select("source", "doc_id", F.octet_length("text").cast("long").alias("bytes"))
     return P.packed(rows, "source", "doc_id", 20_000, 16)

@@ -177,7 +177,10 @@ def _(spark, sf):
     return I.merge_turns(turns(spark, sf), 120_000_000, _loud(spark, sf)).drop("confidence")
 
 
-@query("w01_merge_turns_capped")
+@query("w01_merge_turns_capped", turned("""SELECT recording_id, min(speaker_id) AS speaker_id, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS sources FROM f GROUP BY recording_id, began""", *MERGED[:2],
+  """f AS (SELECT recording_id, turn_index, speaker_id, start_us, end_us, turn_index AS began, start_us AS from_us FROM joins WHERE turn_index = 0
+  UNION ALL SELECT j.recording_id, j.turn_index, j.speaker_id, j.start_us, j.end_us, CASE WHEN j.fresh = 1 OR j.end_us - f.from_us > 300000000 THEN j.turn_index ELSE f.began END,
+    CASE WHEN j.fresh = 1 OR j.end_us - f.from_us > 300000000 THEN j.start_us ELSE f.from_us END FROM f JOIN joins j ON j.recording_id = f.recording_id AND j.turn_index = f.turn_index + 1)""").replace("WITH", "WITH RECURSIVE", 1))
 def _(spark, sf):
     return folds.merge_capped(turns(spark, sf), 120_000_000, 300_000_000)
 

@@ -103,6 +103,45 @@ def test_chained_windows_do_not_double_the_plan(spark, name, most):
     assert 0 < plan.count("FileScan") <= most
 
 
+@pytest.mark.parametrize("block", [3, 16, 1 << 13])
+def test_greedy_cuts_are_those_of_a_plain_fold(spark, monkeypatch, block):
+    from spanloom.operators import cuts
+
+    monkeypatch.setattr(cuts, "BLOCK", block)
+    monkeypatch.setattr(cuts.group_starts, "__defaults__", (block,))
+    rng = random.Random(block)
+    data = [(rng.choice(["a", "b", None, "c"]), i * 3, rng.choice([0, 1, 4, 9, 30, None])) for i in range(300)] + [("one", 5, 100), ("one", 6, 1)]
+    got = cuts.pack(spark.createDataFrame(data, "k string, at long, bytes long"), ["k"], ["at"], "at", "bytes", 20, 5, 40).collect()
+    assert len(got) == len(data)
+    for key in {d[0] for d in data}:
+        held = n = began = 0
+        for i, r in enumerate(sorted((r for r in got if r.k == key), key=lambda r: r["at"])):
+            size = r["bytes"] or 0
+            if i and (held + size > 20 or n >= 5):
+                held, n, began = 0, 0, i
+            held, n = held + size, n + 1
+            assert (r.place, r.group) == (i, began)
+
+
+def test_the_capped_merge_cuts_chains_where_a_fold_does(spark):
+    rng = random.Random(9)
+    data, at = [], 0
+    for i in range(400):
+        at += rng.randint(0, 3)
+        end = at + rng.choice([1, 2, 3, 40])
+        data.append((f"r{i % 2}", "a" if i % 50 else "b", at, end, i, 0.5))
+        at = end
+    turns = I.normalize(spark.createDataFrame(data, "recording_id string, speaker_id string, start_us long, end_us long, event_id long, confidence double"))
+    got = sorted(map(tuple, folds.merge_capped(turns, 60, 30).select("recording_id", "start_us", "end_us", "sources").collect()))
+    want = []
+    for r in I.merge_decisions(turns, 60).orderBy("recording_id", "turn_index").collect():
+        if r.decision == "merged" and want and want[-1][0] == r.recording_id and r.end_us - want[-1][1] <= 30:
+            want[-1] = (r.recording_id, want[-1][1], r.end_us, want[-1][3] + 1)
+        else:
+            want.append((r.recording_id, r.start_us, r.end_us, 1))
+    assert got == sorted(want) and max(w[3] for w in want) > 2
+
+
 def test_assignment_is_the_best_of_all():
     from itertools import permutations
 
