@@ -529,4 +529,4 @@ def _(spark, sf):
     return W.sessions(S.table(spark, sf, "events"))
 
 
-from spanloom.plans import alignment, curation, formats, judgements, planning  # noqa: E402, F401 (they add their queries)
+from spanloom.plans import alignment, curation, formats, judgements, planning, streams  # noqa: E402, F401 (they add their queries)

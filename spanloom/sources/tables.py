@@ -14,10 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns_of(table(spark, sf_dir, "events"))
+
+
+def turns_of(events: DataFrame, *more: str) -> DataFrame:
     """Turns from events: a day is a recording, an event type a speaker; bounds in whole microseconds of the day."""
     start = F.expr("(hour(ts) * 3600 + minute(ts) * 60) * 1000000L + cast(extract(second from ts) * 1000000 as bigint)")
-    events = table(spark, sf_dir, "events").where("value > 0")
-    return events.select(
+    return events.where("value > 0").select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd").alias("recording_id"),
         F.col("event_type").alias("speaker_id"),
@@ -25,6 +28,7 @@ def raw_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("start_us"),
         (start + F.round(F.col("value") * 1_000_000).cast("long")).alias("end_us"),
         (F.get_json_object("props", "$.k").cast("double") / 100).alias("confidence"),
+        *more,
     )
 
 
@@ -59,10 +63,14 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return usage_of(table(spark, sf_dir, "lineitem"))
+
+
+def usage_of(lines: DataFrame) -> DataFrame:
     """Calls of a model with their tokens, from lineitem."""
     key, part, supplier, line = (F.col(f"l_{c}") for c in ("orderkey", "partkey", "suppkey", "linenumber"))
     quantity = F.col("l_quantity").cast("long")
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         (key * 8 + line).alias("call_id"), F.concat(F.lit("m"), (part % 5).cast("string")).alias("model"), F.when(supplier % 3 == 0, "standard").when(supplier % 3 == 1, "batch").otherwise("flex").alias("tier"),
         (quantity * 9000).alias("prompt_tokens"), (supplier % 4 * 3200).alias("audio_tokens"), (part % 7 * 1000).alias("text_tokens"), (key % 6 * 2500).alias("cached_tokens"), (key % 3 * 800).alias("cached_audio_tokens"),
         (supplier % 50 * 10).alias("output_tokens"), (line * 20).cast("long").alias("thinking_tokens"), quantity.alias("minutes"),
