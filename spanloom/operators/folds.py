@@ -23,20 +23,44 @@ def merge_capped(turns: DataFrame, gap_us: int, most_us: int) -> DataFrame:
     return grouped.agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count("*").alias("sources")).drop("chain", "group")
 
 
+class Minima:
+    """The least value of any stretch of a track, and where it stands nearest to a place, each without looking at the
+    stretch: minima of all stretches of 1, 2, 4, ... values, and the places of each value in order."""
+
+    def __init__(self, p: np.ndarray) -> None:
+        self.levels = [p]
+        while 2 << len(self.levels) - 1 <= len(p):
+            half = 1 << len(self.levels) - 1
+            self.levels.append(np.minimum(self.levels[-1][:-half], self.levels[-1][half:]))
+        self.order = np.argsort(p, kind="stable")
+        self.sorted = p[self.order]
+
+    def least(self, start: int, end: int) -> float:
+        level = (end - start).bit_length() - 1
+        return min(self.levels[level][start], self.levels[level][end - (1 << level)])
+
+    def nearest(self, value: float, start: int, end: int, twice: int) -> int:
+        """Place of the value in start:end that is nearest to twice / 2, the earlier of two."""
+        same = self.order[np.searchsorted(self.sorted, value, "left") : np.searchsorted(self.sorted, value, "right")]
+        low, high = np.searchsorted(same, start), np.searchsorted(same, end)
+        at = int(np.clip(np.searchsorted(same, twice / 2), low, high - 1))
+        return min((int(same[k]) for k in {max(low, at - 1), at}), key=lambda i: (abs(2 * i - twice), i))
+
+
 def split_at_minimum(start: int, p: np.ndarray, most: int, threshold: float) -> list[tuple[int, int, bool]]:
     """Pieces (from, to, fits) of frames: one that is too long is cut at its least probability (ties: nearest to the
-    middle, then earliest) if that is under the threshold."""
-    work, out = [(0, len(p))], []
+    middle, then earliest) if that is under the threshold. A cut takes the logarithm of the frames, not all of them."""
+    work, out, minima = [(0, len(p))], [], Minima(p)
     while work:
         a, b = work.pop()
         if b - a <= most or b - a < 3:
             out.append((start + a, start + b, b - a <= most))
             continue
-        inner = np.arange(a + 1, b)
-        k = min(inner, key=lambda i: (p[i], abs(2 * i - (a + b)), i))
-        if p[k] >= threshold:
+        value = minima.least(a + 1, b)
+        if value >= threshold:
             out.append((start + a, start + b, False))
         else:
+            k = minima.nearest(value, a + 1, b, a + b)
             work += [(k, b), (a, k)]
     return sorted(out)
 

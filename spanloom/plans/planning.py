@@ -82,11 +82,28 @@ def _(spark, sf):
     return P.segment_at_words(turns(spark, sf), said, 1_000_000, 10_000_000, 0, 0)
 
 
-@query("w13_split_with_lineage")
+SPLIT = ["""pc AS (SELECT recording_id, turn_index, start_us // 1000000 AS a, end_us // 1000000 AS b FROM turns WHERE end_us // 1000000 - start_us // 1000000 > 30
+  UNION ALL SELECT recording_id, turn_index, CASE WHEN side = 0 THEN a ELSE k END, CASE WHEN side = 0 THEN k ELSE b END FROM (
+    SELECT pc.recording_id, pc.turn_index, a, b, min(fr.p) AS low, arg_min(fr.frame, (fr.p, abs(2 * fr.frame - a - b), fr.frame)) AS k FROM pc JOIN fr ON fr.recording_id = pc.recording_id AND fr.frame > a AND fr.frame < b WHERE b - a > 30 GROUP BY ALL), (VALUES (0), (1)) s(side) WHERE low < 50)""",
+"""seg AS (SELECT recording_id, turn_index, a AS first_frame, b AS end_frame, b - a <= 30 AS fits FROM pc WHERE b - a <= 30 OR (SELECT min(p) FROM fr WHERE fr.recording_id = pc.recording_id AND fr.frame > a AND fr.frame < b) >= 50)"""]
+
+
+def _segments(spark, sf, t):
+    return folds.plan_segments(t, seconds(spark, sf).withColumn("p", F.col("p") / 100), FRAME_US, 30, 0.5)
+
+
+@query("w12_plan_segments", turned("SELECT * FROM seg", QUIET, *SPLIT).replace("WITH", "WITH RECURSIVE", 1))
+def _(spark, sf):
+    return _segments(spark, sf, turns(spark, sf))
+
+
+@query("w13_split_with_lineage", turned("""SELECT s.recording_id, s.turn_index AS parent, CASE WHEN first_frame = f THEN start_us ELSE first_frame * 1000000 END AS start_us, CASE WHEN end_frame = l THEN end_us ELSE end_frame * 1000000 END AS end_us, true AS split
+  FROM seg s JOIN sn ON s.recording_id = sn.recording_id AND s.turn_index = sn.turn_index JOIN turns t ON s.recording_id = t.recording_id AND s.turn_index = t.turn_index
+  UNION ALL SELECT recording_id, turn_index, start_us, end_us, false FROM turns t WHERE NOT EXISTS (SELECT 1 FROM sn WHERE sn.recording_id = t.recording_id AND sn.turn_index = t.turn_index)""",
+  QUIET, *SPLIT, "sn AS (SELECT recording_id, turn_index, min(first_frame) AS f, max(end_frame) AS l FROM seg GROUP BY ALL HAVING count(*) > 1)").replace("WITH", "WITH RECURSIVE", 1))
 def _(spark, sf):
     t = turns(spark, sf)
-    plan = folds.plan_segments(t, seconds(spark, sf).withColumn("p", F.col("p") / 100), FRAME_US, 30, 0.5)
-    return P.split_with_lineage(t, plan, FRAME_US)
+    return P.split_with_lineage(t, _segments(spark, sf, t), FRAME_US)
 
 
 NEAR = """nb AS (SELECT *, lead(start_us) OVER (PARTITION BY recording_id ORDER BY turn_index) AS nx,

@@ -215,14 +215,6 @@ def _(spark, sf):
     return I.erode(turns(spark, sf), 500_000, 10_000_000, 1_000_000).select("recording_id", "turn_index", "start_us", "end_us")
 
 
-@query("w12_plan_segments")
-def _(spark, sf):
-    t = turns(spark, sf)
-    span = t.select("recording_id", I.frames_of(t, 1_000_000).alias("frame")).distinct()
-    frames = span.withColumn("p", F.pmod(F.xxhash64("recording_id", "frame"), F.lit(1000)) / 1000)
-    return folds.plan_segments(t, frames, 1_000_000, 30, 0.5)
-
-
 @query("j26_speaker_assignment")
 def _(spark, sf):
     return folds.match_speakers(_weights(spark, sf))

@@ -142,6 +142,38 @@ def test_the_capped_merge_cuts_chains_where_a_fold_does(spark):
     assert got == sorted(want) and max(w[3] for w in want) > 2
 
 
+def test_the_merge_tree_gives_what_merging_at_any_gap_gives(spark):
+    rng = random.Random(21)
+    data, at = [], {}
+    for i in range(250):
+        r = rng.choice("xy")
+        start = at.get(r, 0) + rng.choice([-1, 0, 0, 1, 2, 2, 5, 9, 40])
+        end = start + rng.randint(1, 6)
+        data.append((r, rng.choice("aaaab"), max(start, 0), end, i, 0.5))
+        at[r] = end
+    turns = I.normalize(spark.createDataFrame(data, "recording_id string, speaker_id string, start_us long, end_us long, event_id long, confidence double"))
+    tree = planning.merge_tree(turns, 20).collect()
+    assert len(tree) < 2 * len(data)
+    for gap in (0, 1, 2, 3, 5, 8, 9, 20):
+        want = sorted((m.recording_id, m.end_us - m.start_us, m.sources) for m in I.merge_turns(turns, gap).collect())
+        assert sorted((c.recording_id, c.us, c.turns) for c in tree if c.from_us <= gap and (c.to_us is None or gap < c.to_us)) == want
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_split_by_minima_is_the_plain_recursion(seed):
+    rng = np.random.default_rng(seed)
+    p = rng.integers(0, rng.choice([3, 10, 1000]), rng.integers(1, 400)) / 10
+    most, threshold = int(rng.integers(2, 20)), float(rng.choice([0.2, 0.5, 50.0]))
+
+    def plain(a, b):
+        if b - a <= most or b - a < 3:
+            return [(a, b, b - a <= most)]
+        k = min(range(a + 1, b), key=lambda i: (p[i], abs(2 * i - a - b), i))
+        return [(a, b, False)] if p[k] >= threshold else plain(a, k) + plain(k, b)
+
+    assert folds.split_at_minimum(7, p, most, threshold) == [(a + 7, b + 7, ok) for a, b, ok in plain(0, len(p))]
+
+
 def test_assignment_is_the_best_of_all():
     from itertools import permutations
 
