@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,9 +28,29 @@ def confusion(verdicts: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumns({"accuracy": ratio(tp + tn, tp + fp + fn + tn), "recall": ratio(tp, tp + fn), "false_reject": ratio(fp, fp + tn), "precision": ratio(tp, tp + fp), "f1": ratio(2 * tp, 2 * tp + fp + fn)})
 
 
-def code_counts(verdicts: DataFrame) -> DataFrame:
-    """By failure code: how often given, and of those how many the reference rejects."""
-    return verdicts.select("reference", F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"), F.count_if(F.col("reference") == "reject").alias("agreed"))
+def code_counts(verdicts: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """By failure code, over rows with a candidate (reference_codes, codes, candidate): how often the reference has it, how many
+    of these the candidate catches (has it too, and rejects) and misses, how often only the candidate has it, and recall."""
+    names = F.explode(F.array(*map(F.lit, codes)))  # a fixed list
+    has = lambda c: F.coalesce(F.array_contains(c, F.col("code")), F.lit(False))
+    ref, mine = has("reference_codes"), has("codes")
+    counts = verdicts.where("candidate IS NOT NULL").withColumn("code", names).groupBy("code").agg(
+        F.count_if(ref).alias("ref_count"), F.count_if(ref & mine & (F.col("candidate") == "reject")).alias("caught"), F.count_if(mine & ~ref).alias("overcalled")
+    )
+    return counts.withColumn("missed", F.col("ref_count") - F.col("caught")).withColumn("recall", ratio(F.col("caught"), F.col("ref_count")))
+
+
+def coverage(expected: DataFrame, artifacts: DataFrame, key: str) -> DataFrame:
+    """One row: expected keys, of their artifacts (decision) those that are valid (pass or reject), invalid or missing, artifacts
+    that nothing expects (unmatched), and the share that passes of the valid ones and of all expected ones."""
+    both = expected.select(key, F.lit(1).alias("_e")).join(artifacts.select(key, F.lit(1).alias("_a"), "decision"), key, "full")
+    wanted, given = F.col("_e").isNotNull(), F.col("_a").isNotNull()
+    ok = F.coalesce(F.col("decision").isin("pass", "reject"), F.lit(False))
+    n, valid, passed = F.count_if(wanted), F.count_if(wanted & ok), F.count_if(wanted & (F.col("decision") == "pass"))
+    return both.agg(
+        n.alias("expected"), valid.alias("valid"), F.count_if(wanted & given & ~ok).alias("invalid"), F.count_if(wanted & ~given).alias("missing"), F.count_if(~wanted).alias("unmatched"),
+        ratio(passed, valid).alias("pass_rate"), ratio(passed, n).alias("conservative_pass_rate"),
+    )
 
 
 def order_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -69,11 +91,16 @@ def matched_point(curve: DataFrame, keys: list[str], target: float) -> DataFrame
     return curve.groupBy(*keys).agg(best.alias("p")).select(*keys, "p.*")
 
 
-def robust_z(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(value - median) / interquartile range, which is 1 where it isn't positive."""
-    stats = rows.groupBy(*keys).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("_q"))
-    iqr = F.col("_q")[2] - F.col("_q")[0]
-    return rows.join(stats, keys).withColumn("z", F.round((F.col(value) - F.col("_q")[1]) / F.when(iqr > 0, iqr).otherwise(1.0), 6)).drop("_q")
+def robust_z(rows: DataFrame, keys: list[str], *values: str) -> DataFrame:
+    """z: the largest of (value - median) / interquartile range over the values, the range being 1 where it isn't positive."""
+    stats = rows.groupBy(*keys).agg(*[F.percentile(v, [0.25, 0.5, 0.75]).alias(f"_q_{v}") for v in values])
+
+    def z(v: str) -> Column:
+        q = F.col(f"_q_{v}")
+        return (F.col(v) - q[1]) / F.when(q[2] > q[0], q[2] - q[0]).otherwise(1.0)
+
+    each = [z(v) for v in values]
+    return rows.join(stats, keys).withColumn("z", F.round(F.greatest(*each) if len(each) > 1 else each[0], 6)).drop(*[f"_q_{v}" for v in values])
 
 
 def eer(rows: DataFrame, steps: int, width: float) -> DataFrame:
@@ -96,12 +123,6 @@ def centroids(vectors: DataFrame, key: str) -> DataFrame:
     return mean.withColumn("_n", norm).select(key, F.transform("mean", lambda x: x / F.col("_n")).alias("centroid"))
 
 
-def cosine(a: str, b: str) -> Column:
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot / (norm(a) * norm(b))))
-
-
 #: Most vectors and references that meet in one task.
 CHUNK_ROWS, BLOCK_ROWS = 4096, 1024
 
@@ -153,8 +174,13 @@ def centroid_scores(vectors: DataFrame, key: str) -> DataFrame:
     return mine.join(others, "vec_id", "left").select("vec_id", key, clipped("own").alias("own"), clipped("best").alias("best_other"))
 
 
-def first_per_group(rows: DataFrame, keys: list[str], order: list[Column | str], n: int) -> DataFrame:
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+def first_per_group(rows: DataFrame, keys: list[str], order: list[Column | str], n: int, strict: bool = False) -> DataFrame:
+    """The first n rows of each group in order; with strict a group of fewer is an error when they are read."""
+    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= n)
+    if strict:
+        enough = F.count("*").over(Window.partitionBy(*keys)) == n  # n rows a group at most
+        first = first.withColumn("_n", F.when(enough, F.col("_n")).otherwise(F.raise_error(F.lit(f"a group has fewer than {n} rows")).cast("int"))).where("_n IS NOT NULL")
+    return first.drop("_n")
 
 
 def round_robin(rows: DataFrame, strata: list[str], order: list[str], n: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -129,20 +129,52 @@ def capped(rows: DataFrame, source: str, order: str, per_source: int, most: int)
     return first.join(totals, source).where(F.col("_before") + F.col("_n") <= most).select(*rows.columns, (F.col("_all") > most).alias("truncated"))
 
 
-def capped_round_robin(rows: DataFrame, stratum: str, speaker: str, per_speaker: int, n: int) -> DataFrame:
-    """n rows, one of each stratum in turn in hashed order, from the first per_speaker of each speaker."""
-    order = [F.md5(F.col("doc_id").cast("string").cast("binary"))]
-    few = rows.withColumn("_n", F.row_number().over(Window.partitionBy(speaker).orderBy(*order))).where(F.col("_n") <= per_speaker)
-    turn = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
-    return few.withColumn("turn", turn).orderBy("turn", stratum).limit(n).drop("_n")
-
-
-def picks_without_reuse(rows: DataFrame, per_stratum: int) -> DataFrame:
-    """Up to per_stratum rows (doc_id, anchor, stratum) of each stratum, and each anchor in one place only: where its row
-    of the lowest hash is."""
-    order = F.struct(F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"), F.col("doc_id"))
-    once = rows.groupBy("anchor").agg(F.min_by(F.struct("doc_id", "stratum"), order).alias("_p")).select("_p.doc_id", "anchor", "_p.stratum")
-    return once.withColumn("_n", F.row_number().over(Window.partitionBy("stratum").orderBy(order))).where(F.col("_n") <= per_stratum).drop("_n")
+def capped_round_robin(rows: DataFrame, stratum: str, speaker: str, row_id: str, per_speaker: int, n: int) -> DataFrame:
+    """(row_id, stratum, speaker, place): n rows, the strata taking turns by name, each its next row in hashed order whose speaker
+    hasn't per_speaker picks yet, in whatever strata.
+
+    Picks depend on all before, but only few rows can be picked: of a stratum and speaker the first per_speaker, and of those
+    of a stratum the first 2 * n, as at most n of them are passed over. Those alone are walked.
+    """
+    order = [F.md5(F.col(row_id).cast("string").cast("binary")), F.col(row_id)]
+    few = rows.select(row_id, stratum, speaker, F.row_number().over(Window.partitionBy(stratum, speaker).orderBy(*order)).alias("_n")).where(F.col("_n") <= per_speaker)
+    few = few.withColumn("_n", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).where(F.col("_n") <= 2 * n)
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([stratum, "_n"])
+        queues = {name: list(q.index[::-1]) for name, q in rows.groupby(stratum, sort=True, dropna=False)}
+        picks, of = [], {}
+        while len(picks) < n and any(queues.values()):
+            for queue in queues.values():
+                while queue and len(picks) < n:
+                    at = queue.pop()
+                    who = rows.at[at, speaker]
+                    if of.get(who, 0) < per_speaker:
+                        of[who] = of.get(who, 0) + 1
+                        picks.append(at)
+                        break
+        return rows.loc[picks, [row_id, stratum, speaker]].assign(place=range(len(picks)))
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"{c} {kinds[c]}" for c in (row_id, stratum, speaker)], "place int"])
+    return few.groupBy(F.lit(0).alias("_all")).applyInPandas(walk, schema)
+
+
+def picks_without_reuse(rows: DataFrame, spec: Sequence[tuple[str, int]], seed: str) -> DataFrame:
+    """(stratum, anchor, doc_id): for each (stratum, n) of spec in turn the first n anchors in seeded order that have a row there
+    and weren't picked before, with their row of the least doc_id; an error if there are fewer. Each turn sees all picks of the
+    ones before, which are as many as spec asks for."""
+    spark, used, picks = rows.sparkSession, [], []
+    for stratum, n in spec:
+        pool = rows.where(F.col("stratum") == stratum).groupBy("anchor").agg(F.min("doc_id").alias("doc_id"))
+        free = pool.where(~F.col("anchor").isin(used)) if used else pool
+        found = free.orderBy(F.md5(F.concat_ws(":", F.lit(seed), "anchor").cast("binary")), "anchor").limit(n).collect()
+        if len(found) < n:
+            raise ValueError(f"fewer than {n} anchors are left for {stratum}")
+        used += [r.anchor for r in found]
+        picks += [(stratum, r.anchor, r.doc_id) for r in found]
+    kinds = dict(rows.dtypes)
+    return spark.createDataFrame(picks, f"stratum string, anchor {kinds['anchor']}, doc_id {kinds['doc_id']}")
 
 
 def sample_per(rows: DataFrame, key: str, row_id: str, n: int, seed: object) -> DataFrame:

@@ -134,17 +134,27 @@ def _(spark, sf):
     return S.table(spark, sf, "documents").groupBy("lang").agg(best, F.min_by("doc_id", F.struct("n_chars", "doc_id")).alias("shortest"))
 
 
-@query("k06_capped_round_robin", """WITH c AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR)) AS of_speaker FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR)) AS turn FROM c WHERE of_speaker <= 8)
-  SELECT doc_id, lang, turn FROM r ORDER BY turn, lang LIMIT 80""")
+@query("k06_capped_round_robin", """WITH RECURSIVE c AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) AS r, dense_rank() OVER (ORDER BY lang) - 1 AS s FROM documents), k AS (SELECT count(DISTINCT lang) AS n FROM documents),
+  f AS (SELECT 0 AS step, []::BIGINT[] AS picks, []::VARCHAR[] AS speakers
+  UNION ALL SELECT step + 1, CASE WHEN d.doc_id IS NULL THEN picks ELSE list_append(picks, d.doc_id) END, CASE WHEN d.doc_id IS NULL THEN speakers ELSE list_append(speakers, d.source) END FROM f, k LEFT JOIN LATERAL (
+    SELECT doc_id, source FROM c WHERE c.s = f.step % k.n AND NOT list_contains(f.picks, c.doc_id) AND len(list_filter(f.speakers, lambda x: x = c.source)) < 8 ORDER BY r LIMIT 1) d ON true WHERE len(picks) < 80 AND step < 400),
+  p AS (SELECT unnest(picks) AS doc_id, generate_subscripts(picks, 1) - 1 AS place FROM f WHERE step = (SELECT max(step) FROM f))
+  SELECT doc_id, lang, source, place::INT AS place FROM p JOIN documents USING (doc_id)""")
 def _(spark, sf):
-    return P.capped_round_robin(S.table(spark, sf, "documents"), "lang", "source", 8, 80).select("doc_id", "lang", "turn")
+    return P.capped_round_robin(S.table(spark, sf, "documents"), "lang", "source", "doc_id", 8, 80)
 
 
-@query("k10_control_picks", """WITH x AS (SELECT doc_id, source AS anchor, lang AS stratum, md5(doc_id::VARCHAR) AS h FROM documents), f AS (SELECT anchor, arg_min(doc_id, (h, doc_id)) AS doc_id FROM x GROUP BY ALL), r AS (SELECT x.*, row_number() OVER (PARTITION BY stratum ORDER BY h, doc_id) AS n FROM x JOIN f USING (anchor, doc_id))
-  SELECT doc_id, anchor, stratum FROM r WHERE n <= 6""")
+_STRATA = (("de", 3), ("en", 4), ("es", 2), ("fr", 3))
+_PICKS = "".join(
+    f""", p{i} AS (SELECT '{lang}' AS stratum, anchor, doc_id FROM x WHERE stratum = '{lang}' {"".join(f"AND anchor NOT IN (SELECT anchor FROM p{j}) " for j in range(i))}ORDER BY md5('3:' || anchor), anchor LIMIT {n})"""
+    for i, (lang, n) in enumerate(_STRATA)
+)
+
+
+@query("k10_control_picks", f"WITH x AS (SELECT lang AS stratum, source AS anchor, min(doc_id) AS doc_id FROM documents GROUP BY ALL){_PICKS} " + " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(len(_STRATA))))
 def _(spark, sf):
     rows = S.table(spark, sf, "documents").select("doc_id", F.col("source").alias("anchor"), F.col("lang").alias("stratum"))
-    return P.picks_without_reuse(rows, 6)
+    return P.picks_without_reuse(rows, _STRATA, "3")
 
 
 @query("k11_sample_per_speaker", "SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('11:' || doc_id)) AS n FROM documents) WHERE n <= 3")
@@ -203,11 +213,6 @@ def _(spark, sf):
     return marked(spark, sf).join(plain, "doc_id").select("doc_id", F.md5(T.square_fillers(F.col("x")).cast("binary")).alias("squared"))
 
 
-@query("t06_safe_names", r"SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' – Été Đ!'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS ignored FROM part WHERE false")
-def _(spark, sf):
-    return S.table(spark, sf, "part").where("false").select("p_partkey", T.slug(F.concat("p_name", F.lit(" – Été Đ!"))).alias("ignored"))
-
-
 @query("t06_slugs", r"SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') AS slug, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') || '_ete_d' AS accented FROM part")
 def _(spark, sf):
     return S.table(spark, sf, "part").select("p_partkey", T.slug(F.col("p_name")).alias("slug"), T.slug(F.concat("p_name", F.lit(" – Été Đ!"))).alias("accented"))

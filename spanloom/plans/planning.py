@@ -190,10 +190,17 @@ def _(spark, sf):
     return waves(spark, sf).select("vec_id", F.pandas_udf(lambda s: s.map(lambda x: G.snr_db(x, 8)), "double")("samples").alias("snr_db"))
 
 
-@query("g10_pooled_layers", f"WITH {SAMPLES}, l AS (SELECT label, i, count(*) AS n, avg(x) AS mean, stddev_pop(x) AS std FROM w JOIN embeddings USING (vec_id) GROUP BY ALL) SELECT label, i::INT AS i, n, round(mean, 5) AS mean, round(std, 5) AS std FROM l")
+POOLED = f"""{SAMPLES}, fr AS (SELECT label, i, x, dense_rank() OVER (PARTITION BY label ORDER BY vec_id) AS a, dense_rank() OVER (PARTITION BY label ORDER BY vec_id DESC) AS z FROM w JOIN embeddings USING (vec_id)),
+  l AS (SELECT label, i::INT AS i, avg(x) AS mean, stddev_pop(x) AS std, avg(x) FILTER (WHERE a <= 4) AS start_edge, avg(x) FILTER (WHERE z <= 4) AS end_edge FROM fr GROUP BY ALL)"""
+
+
+def pooled_layers(spark, sf) -> DataFrame:
+    return heads.pool_frames(waves(spark, sf).select("label", "vec_id", "samples"), "label", "vec_id", "samples", 4)
+
+
+@query("g10_pooled_layers", f"WITH {POOLED} SELECT label, i, round(mean, 5) AS mean, round(std, 5) AS std, round(start_edge, 5) AS start_edge, round(end_edge, 5) AS end_edge FROM l")
 def _(spark, sf):
-    dims = waves(spark, sf).select("label", F.posexplode("samples").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    return dims.groupBy("label", "i").agg(F.count("*").alias("n"), F.round(F.avg("x"), 5).alias("mean"), F.round(F.stddev_pop("x"), 5).alias("std"))
+    return pooled_layers(spark, sf).select("label", "i", *[F.round(c, 5).alias(c) for c in ("mean", "std", "start_edge", "end_edge")])
 
 
 @query("g11_silent_gaps", f"WITH {SAMPLES}, f AS (SELECT vec_id, i // 16 AS frame, sum((x * 1000)::INT * (x * 1000)::INT) AS e FROM w GROUP BY ALL) SELECT vec_id, max(e)::BIGINT AS loudest, max(e) <= 16 * 20000 AS silent FROM f WHERE frame BETWEEN 1 AND 2 GROUP BY ALL")
@@ -236,16 +243,10 @@ def _(spark, sf):
     return each.groupBy("label").agg(F.count("*").alias("clips"), F.sum("n").alias("samples"), F.round(F.avg("rms"), 5).alias("rms"), F.round(F.sum("clipped") / F.sum("n"), 6).alias("clipping"))
 
 
-@query("r12_feature_matrix", "SELECT vec_id, mode, CASE mode WHEN 'mean' THEN 64 WHEN 'both' THEN 128 ELSE 8 END AS width FROM embeddings, (VALUES ('mean'), ('both'), ('edges')) m(mode)")
-def _(spark, sf):
-    edges = F.concat(F.slice("samples", 1, 4), F.slice("samples", -4, 4))
-    modes = F.create_map(F.lit("mean"), F.col("samples"), F.lit("both"), F.concat("samples", "samples"), F.lit("edges"), edges)
-    return waves(spark, sf).select("vec_id", F.explode(modes).alias("mode", "x")).select("vec_id", "mode", F.size("x").alias("width"))
-
-
-@query("m08_backoff", "SELECT n AS attempt, least(60.0::DOUBLE, 0.5::DOUBLE * pow(2, n)) AS wait_s FROM range(12) r(n)")
+@query("r12_feature_matrix", f"""WITH {POOLED}, m(mode, part, nth) AS (VALUES ('mean', 'mean', 0), ('mean_std', 'mean', 0), ('mean_std', 'std', 1), ('edge', 'start_edge', 0), ('edge', 'end_edge', 1), ('combined', 'mean', 0), ('combined', 'std', 1), ('combined', 'start_edge', 2), ('combined', 'end_edge', 3)),
+  u AS (UNPIVOT l ON mean, std, start_edge, end_edge INTO NAME part VALUE x) SELECT label, mode, (nth * 64 + i)::INT AS place, round(x, 5) AS x FROM u JOIN m USING (part)""")
 def _(spark, sf):
-    return spark.range(12).select(F.col("id").alias("attempt"), F.least(F.lit(60.0), 0.5 * F.pow(F.lit(2.0), F.col("id"))).alias("wait_s"))
+    return heads.feature_matrix(pooled_layers(spark, sf), "label").withColumn("x", F.round("x", 5))
 
 
 @query("m09_out_of_fold")

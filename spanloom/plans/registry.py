@@ -316,9 +316,11 @@ def _(spark, sf):
     return A.confusion(S.verdicts(spark, sf), ["family"])
 
 
-@query("a11_code_counts", f"""WITH {S.VERDICTS} SELECT code, count(*) AS n, count(*) FILTER (WHERE reference = 'reject') AS agreed FROM (SELECT reference, 'low_quality' AS code FROM v WHERE quality = 0 UNION ALL SELECT reference, 'toxic' FROM v WHERE toxic = 1) GROUP BY ALL""")
+@query("a11_code_counts", f"""WITH {S.VERDICTS}, c AS (SELECT candidate, code, CASE code WHEN 'toxic' THEN contains(text, '!') ELSE n_chars < 600 END AS ref, CASE code WHEN 'toxic' THEN toxic = 1 ELSE quality = 0 END AS mine FROM v, (VALUES ('low_quality'), ('toxic')) k(code) WHERE candidate IS NOT NULL)
+  SELECT code, count(*) FILTER (WHERE ref) AS ref_count, count(*) FILTER (WHERE ref AND mine AND candidate = 'reject') AS caught, count(*) FILTER (WHERE ref AND NOT (mine AND candidate = 'reject')) AS missed, count(*) FILTER (WHERE mine AND NOT ref) AS overcalled,
+  CASE WHEN count(*) FILTER (WHERE ref) > 0 THEN round(count(*) FILTER (WHERE ref AND mine AND candidate = 'reject') / count(*) FILTER (WHERE ref)::DOUBLE, 6) END AS recall FROM c GROUP BY code""")
 def _(spark, sf):
-    return A.code_counts(S.verdicts(spark, sf))
+    return A.code_counts(S.verdicts(spark, sf), ["low_quality", "toxic"])
 
 
 @query("a13_order_statistics", f"""WITH {S.VERDICTS}, r AS (SELECT family, n_chars AS v, row_number() OVER (PARTITION BY family ORDER BY n_chars) AS i, count(*) OVER (PARTITION BY family) AS n FROM v)
@@ -334,11 +336,15 @@ def _(spark, sf):
     return q.select("family", F.col("q")[0].alias("p05"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p95"))
 
 
-@query("a15_coverage", f"""WITH {S.VERDICTS} SELECT count(*) AS expected, count(candidate) AS valid, count(*) - count(candidate) AS missing, round(count(*) FILTER (WHERE candidate = 'pass') / count(candidate)::DOUBLE, 6) AS pass_rate,
-  round(count(*) FILTER (WHERE candidate = 'pass') / count(*)::DOUBLE, 6) AS conservative_pass_rate FROM v""")
+@query("a15_coverage", """WITH e AS (SELECT doc_id FROM documents WHERE lang <> 'fr'), a AS (SELECT doc_id, CASE WHEN quality = 1 AND toxic = 1 THEN 'contradictory' WHEN quality = 1 THEN 'pass' ELSE 'reject' END AS d FROM labels),
+  b AS (SELECT e.doc_id AS e, a.doc_id AS a, d FROM e FULL JOIN a ON e.doc_id = a.doc_id)
+  SELECT count(e) AS expected, count(*) FILTER (WHERE e IS NOT NULL AND d IN ('pass', 'reject')) AS valid, count(*) FILTER (WHERE e IS NOT NULL AND d = 'contradictory') AS invalid, count(*) FILTER (WHERE e IS NOT NULL AND a IS NULL) AS missing, count(*) FILTER (WHERE e IS NULL) AS unmatched,
+  round(count(*) FILTER (WHERE e IS NOT NULL AND d = 'pass') / count(*) FILTER (WHERE e IS NOT NULL AND d IN ('pass', 'reject'))::DOUBLE, 6) AS pass_rate, round(count(*) FILTER (WHERE e IS NOT NULL AND d = 'pass') / count(e)::DOUBLE, 6) AS conservative_pass_rate FROM b""")
 def _(spark, sf):
-    n, valid, ok = F.count("*"), F.count("candidate"), F.count_if(F.col("candidate") == "pass")
-    return S.verdicts(spark, sf).agg(n.alias("expected"), valid.alias("valid"), (n - valid).alias("missing"), A.ratio(ok, valid).alias("pass_rate"), A.ratio(ok, n).alias("conservative_pass_rate"))
+    """The labels as artifacts of all documents but French ones; a good and toxic one has no valid decision."""
+    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    artifacts = S.table(spark, sf, "labels").select("doc_id", F.when(good & toxic, "contradictory").when(good, "pass").otherwise("reject").alias("decision"))
+    return A.coverage(S.table(spark, sf, "documents").where("lang <> 'fr'"), artifacts, "doc_id")
 
 
 @query("a16_length_by_decision", f"""WITH {S.VERDICTS} SELECT family, sum(n_chars) FILTER (WHERE candidate = 'pass')::BIGINT AS pass, sum(n_chars) FILTER (WHERE candidate = 'reject')::BIGINT AS reject FROM v GROUP BY ALL""")
@@ -398,10 +404,10 @@ def _(spark, sf):
     return S.scored(spark, sf).select("clip_id", F.round(F.cume_dist().over(Window.partitionBy("cluster").orderBy("score")), 6).alias("cdf"))
 
 
-@query("w29_robust_z", f"""WITH {S.SCORED}, q AS (SELECT cluster, quantile_cont(score, 0.25) AS a, quantile_cont(score, 0.5) AS m, quantile_cont(score, 0.75) AS b FROM s GROUP BY ALL)
-  SELECT clip_id, round((score - m) / CASE WHEN b - a > 0 THEN b - a ELSE 1.0 END, 6) AS z FROM s JOIN q USING (cluster)""")
+@query("w29_robust_z", f"""WITH {S.SCORED}, q AS (SELECT cluster, quantile_cont(score, [0.25, 0.5, 0.75]) AS a, quantile_cont(minutes, [0.25, 0.5, 0.75]) AS b FROM s GROUP BY ALL)
+  SELECT clip_id, round(greatest((score - a[2]) / CASE WHEN a[3] > a[1] THEN a[3] - a[1] ELSE 1.0 END, (minutes - b[2]) / CASE WHEN b[3] > b[1] THEN b[3] - b[1] ELSE 1.0 END), 6) AS z FROM s JOIN q USING (cluster)""")
 def _(spark, sf):
-    return A.robust_z(S.scored(spark, sf), ["cluster"], "score").select("clip_id", "z")
+    return A.robust_z(S.scored(spark, sf), ["cluster"], "score", "minutes").select("clip_id", "z")
 
 
 # --- vectors, catalog, sampling, sets ---
@@ -433,9 +439,9 @@ def _(spark, sf):
     return A.first_wins(rows, "text_hash", ["doc_id"], "source").withColumn("sources", F.array_join("sources", ","))
 
 
-@query("k04_first_turns", turned("SELECT recording_id, turn_index FROM turns WHERE turn_index < 30"))
+@query("k04_first_turns", turned("SELECT recording_id, turn_index FROM turns WHERE turn_index < 10"))
 def _(spark, sf):
-    return A.first_per_group(turns(spark, sf), ["recording_id"], ["start_us", "turn_index"], 30).select("recording_id", "turn_index")
+    return A.first_per_group(turns(spark, sf), ["recording_id"], ["start_us", "turn_index"], 10, strict=True).select("recording_id", "turn_index")
 
 
 @query("k07_disjoint_split", """WITH u AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY lang ORDER BY md5(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before, sum(n) OVER (PARTITION BY lang) AS t FROM u)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Length of a recording (a day) in microseconds.
@@ -44,11 +44,17 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_chars") / 15.0).alias("duration_s"),
         reject(F.col("n_chars") < 600).alias("reference"),
         F.when(F.col("quality").isNotNull(), reject((F.col("quality") == 0) | (F.col("toxic") == 1))).alias("candidate"),
-        F.when(F.col("quality").isNotNull(), F.filter(F.array(F.when(F.col("quality") == 0, "low_quality"), F.when(F.col("toxic") == 1, "toxic")), lambda x: x.isNotNull())).alias("codes"),
+        F.when(F.col("quality").isNotNull(), _codes(low_quality=F.col("quality") == 0, toxic=F.col("toxic") == 1)).alias("codes"),
+        _codes(low_quality=F.col("n_chars") < 600, toxic=F.contains("text", F.lit("!"))).alias("reference_codes"),
         "text",
     )
 
 
+def _codes(**given: Column) -> Column:
+    """The names of what is true."""
+    return F.filter(F.array(*[F.when(c, name) for name, c in given.items()]), lambda x: x.isNotNull())
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled clips with a score: bad is label 1, minutes follow length, clusters are sources."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

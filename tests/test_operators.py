@@ -174,6 +174,41 @@ def test_split_by_minima_is_the_plain_recursion(seed):
     assert folds.split_at_minimum(7, p, most, threshold) == [(a + 7, b + 7, ok) for a, b, ok in plain(0, len(p))]
 
 
+def test_caps_carry_across_strata_as_in_a_plain_loop(spark):
+    import hashlib
+
+    rng = random.Random(31)
+    data = [(i, rng.choice(["x", "y", "z"]), rng.choice("aaaaabcdefg")) for i in range(300)]
+    rows = spark.createDataFrame(data, "id long, stratum string, speaker string")
+    for per, n in ((1, 5), (3, 12), (4, 200)):
+        queues = {s: sorted((d for d in data if d[1] == s), key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest()) for s in "xyz"}
+        want, of = [], {}
+        while len(want) < n and any(queues.values()):
+            for s in "xyz":
+                while queues[s] and len(want) < n:
+                    d = queues[s].pop(0)
+                    if of.get(d[2], 0) < per:
+                        of[d[2]] = of.get(d[2], 0) + 1
+                        want.append(d[0])
+                        break
+        got = picking.capped_round_robin(rows, "stratum", "speaker", "id", per, n).orderBy("place").collect()
+        assert [r.id for r in got] == want
+
+
+def test_too_small_groups_and_strata_are_errors(spark):
+    from spanloom.operators import analytics
+
+    rows = spark.createDataFrame([(i, i % 3) for i in range(10)], "i long, k long")
+    assert analytics.first_per_group(rows, ["k"], ["i"], 3, strict=True).count() == 9
+    with pytest.raises(Exception, match="fewer than 4 rows"):
+        analytics.first_per_group(rows, ["k"], ["i"], 4, strict=True).collect()
+    anchors = spark.createDataFrame([(i, i % 4, "ab"[i % 2]) for i in range(12)], "doc_id long, anchor long, stratum string")
+    picks = picking.picks_without_reuse(anchors, [("a", 1), ("b", 2), ("a", 1)], "s").collect()
+    assert len({r.anchor for r in picks}) == 4
+    with pytest.raises(ValueError, match="fewer than 3"):
+        picking.picks_without_reuse(anchors, [("a", 3)], "s")
+
+
 def test_assignment_is_the_best_of_all():
     from itertools import permutations
 
