@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import signal as G
+from spanloom.functions import splitters
 from spanloom.operators import folds, heads
 from spanloom.operators import intervals as I
 from spanloom.operators import planning as P
 from spanloom.operators.timeline import along, following, upto_sum
 from spanloom.plans.alignment import WORDS, frames, words
-from spanloom.plans.registry import query, turned, turns, union_cte
+from spanloom.plans.registry import ORACLES, query, turned, turns, union_cte
 from spanloom.sources import tables as S
 
 FRAME_US = 1_000_000
@@ -97,6 +98,19 @@ def _(spark, sf):
     return _segments(spark, sf, turns(spark, sf))
 
 
+@query("w12_quiet_cuts_by_sql", ORACLES["w12_plan_segments"])
+def _(spark, sf):
+    splitters.register(spark)
+    tracks = folds.long_tracks(turns(spark, sf), seconds(spark, sf), FRAME_US, 30)
+    return spark.sql("SELECT * FROM quiet_cuts(TABLE(SELECT * FROM {tracks}), 30, 50.0D)", tracks=tracks)
+
+
+@query("w19_windows_by_sql", ORACLES["w19_sliding_windows"])
+def _(spark, sf):
+    splitters.register(spark)
+    return spark.sql("SELECT * FROM sliding_windows(TABLE(SELECT recording_id, turn_index, start_us, end_us FROM {turns}), 20000000, 7500000)", turns=turns(spark, sf))
+
+
 @query("w13_split_with_lineage", turned("""SELECT s.recording_id, s.turn_index AS parent, CASE WHEN first_frame = f THEN start_us ELSE first_frame * 1000000 END AS start_us, CASE WHEN end_frame = l THEN end_us ELSE end_frame * 1000000 END AS end_us, true AS split
   FROM seg s JOIN sn ON s.recording_id = sn.recording_id AND s.turn_index = sn.turn_index JOIN turns t ON s.recording_id = t.recording_id AND s.turn_index = t.turn_index
   UNION ALL SELECT recording_id, turn_index, start_us, end_us, false FROM turns t WHERE NOT EXISTS (SELECT 1 FROM sn WHERE sn.recording_id = t.recording_id AND sn.turn_index = t.turn_index)""",
