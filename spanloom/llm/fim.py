@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm._common import bounded_batches, column, documents
+from spanloom.llm._common import bounded_batches, column, documents, materialise
 
 #: Seed of the cuts; of 100 documents those that are cut at all, and of 100 cut ones those in suffix-prefix-middle order.
 SEED, RATE, SPM_RATE = 42, 50, 80
@@ -132,7 +132,9 @@ def fill_in_middle(docs: DataFrame, carry: list[str] | None = None, seed: int =
     bounded_batches(docs.sparkSession)
     cuts = F.pandas_udf(_cuts, "n long, a long, b long")
     rows = rows.withColumn("_sha", F.unhex(F.sha2("_text", 256)))
-    found = rows.join(rows.select("_sha").distinct().hint("merge"), "_sha")
+    # a written table, so that both sides of the join are dealt out for it alone and a digest of many rows can be split
+    digests = materialise(rows.select("_sha").distinct(), "digests")
+    found = rows.join(digests.hint("merge"), "_sha")
     found = found.withColumn("_cut", cuts("_sha", "_text", _hash(1), _hash(2))).withColumn("_n", F.col("_cut.n"))
     marked = F.col("_text").contains(PREFIX) | F.col("_text").contains(SUFFIX) | F.col("_text").contains(MIDDLE)
     plain = (F.col("_n") == 0) | marked | (_hash(3) % 100 >= rate)
