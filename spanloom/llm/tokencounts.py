@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, documents, materialise, running
 from spanloom.llm.bpe import public_path
+from spanloom.sources.ranges import register
 
 #: End-of-document id of the 50k byte-level vocabulary, width of an id, ids in a block.
 SEPARATOR, DTYPE, BLOCK = 50256, "<u2", 1 << 17
@@ -75,12 +76,12 @@ def flatten(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
 
 
 def read_flat(spark: SparkSession, path: str, block: int = BLOCK, dtype: str = DTYPE) -> DataFrame:
-    """(file, block, tokens binary): flat files of ids of `dtype` below path, in blocks. A file comes as one row before it
-    is cut, so a corpus has to be spread over files that fit in a task."""
+    """(file, block, tokens binary): flat files of ids of `dtype` below path, in blocks. Tasks read ranges of a file, so files may
+    have any size."""
     size = block * np.dtype(dtype).itemsize
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
-    cut = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size))))
-    return cut.select(F.col("path").alias("file"), "block", F.substring("content", (F.col("block") * size + 1).cast("int"), F.lit(size)).alias("tokens"))
+    register(spark)
+    rows = spark.read.format("byte_ranges").option("block", size).load(path)
+    return rows.select("file", (F.col("start") / size).cast("long").alias("block"), F.col("data").alias("tokens"))
 
 
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTYPE) -> DataFrame:
