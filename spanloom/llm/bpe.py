@@ -23,6 +23,7 @@ import os
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ PART, REACH, AGREE = 4096, 64, 4
 SPREAD = 1 << 16
 
 #: Words that a worker keeps at hand (in two generations), and characters of the longest of them.
-KEPT, WORD = 150_000, 200
+KEPT, WORD = 300_000, 200
 
 #: Words near a bound that are taken apart at once.
 FEW = 16
@@ -88,32 +89,36 @@ class TreeEncoder:
         """The tokens of the words, in order; words that aren't at hand are encoded together."""
         if len(self.new) > KEPT:
             self.old, self.new = self.new, {}
-        new, missing, long = self.new, [], []
-        for w in set(words).difference(new):
-            known = self.old.get(w)
-            if known is not None:
-                new[w] = known
-            else:
-                missing.append(w)
+        new, old = self.new, self.old
+        found = list(map(new.get, words))
+        if None in found:
+            lacking = {w for w, ids in zip(words, found, strict=True) if ids is None}
+            missing = [w for w in lacking if w not in old]
+            if missing:
+                # one text of them all: words are parted where their places say
+                ends = np.cumsum([len(w) + 1 for w in missing])
+                e = self.tokenizer.encode(" ".join(missing), add_special_tokens=False)
+                ids, start = e.ids, 0
+                for w, end in zip(missing, np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(ids)), ends).tolist(), strict=True):
+                    new[w] = ids[start:end]
+                    start = end
+            for w in lacking.difference(missing):
+                new[w] = old[w]
+            found = map(new.__getitem__, words)
+            out = list(chain.from_iterable(found))
+            for w in missing:
                 if len(w) > WORD:
-                    long.append(w)
-        for w, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            new[w] = e.ids
-        out = list(chain.from_iterable(map(new.__getitem__, words)))
-        for w in long:
-            del new[w]
-        return out
+                    del new[w]
+            return out
+        return list(chain.from_iterable(found))
 
     def _leaf(self, text: str, start: int, end: int) -> list[Segment]:
         piece = text[start:end]
         return [(start, piece.replace("\n", " ").split(" "))] if self.by_word else [self._encode(piece, start)]
 
     def _placed(self, base: int, words: list[str]) -> list[Token]:
-        out = []
-        for w in words:
-            out += self._encode(w, base) if w else []
-            base += len(w) + 1
-        return out
+        """The tokens of words with a space between them, with their places."""
+        return self._encode(" ".join(words), base)
 
     def _last(self, segments: list[Segment]) -> list[Token]:
         """Takes the tokens of the last few words, or of the last segment, off the segments."""
