@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -150,13 +150,13 @@ def compare_status(reference: Column, candidate: Column) -> Column:
     return F.when(candidate.isNull(), "missing").when(reference == candidate, "exact").when(F.lower(reference) == F.lower(candidate), "case_only").otherwise("different")
 
 
-def _salvage(text: str | None) -> str | None:
+def _salvage(text: str | None, sort: bool = True) -> str | None:
     body = re.sub(r"<think>.*?</think>", "", text or "", flags=re.S)
     fences = re.findall(r"```(?:json)?\s*(.*?)```", body, flags=re.S)
     for part in [*fences[::-1][:1], body]:
         decoder, at = json.JSONDecoder(), len(part)
         try:
-            return json.dumps(json.loads(part), ensure_ascii=False, sort_keys=True)
+            return json.dumps(json.loads(part), ensure_ascii=False, sort_keys=sort)
         except ValueError:
             pass
         best = None
@@ -168,7 +168,7 @@ def _salvage(text: str | None) -> str | None:
             if best is None or end > best[1]:
                 best = (value, end)
         if best:
-            return json.dumps(best[0], ensure_ascii=False, sort_keys=True)
+            return json.dumps(best[0], ensure_ascii=False, sort_keys=sort)
     return None
 
 
@@ -198,23 +198,53 @@ def answer_error(answer: Column) -> Column:
     return F.when(body.isNull(), "invalid_json").when(~body.startswith("{"), "json_not_object")
 
 
-def verdict_error(answer: Column) -> Column:
-    """The first thing that is wrong with a verdict: its form, a field's value, codes that don't follow from the fields, a
-    decision that doesn't follow from the codes, or the transcript that a pass must have and a reject must not."""
-    v = _parsed(answer)
+#: Fixed profiles of prompts, what a prompt of the acoustic one begins with, and what one that wants an emotion holds.
+ACOUSTIC, PURITY, BOUNDARY, VIBE = "acoustic_defect_v3", "speaker_purity_v1", "word_boundary_v1", "vibevoice_v1"
+HEADINGS = ("Listen to the supplied audio directly. Perform both acoustic verification and transcription", "# SYSTEM PROMPT — ACOUSTIC QC")
+WANTS_EMOTION = "EMOTION / SPEAKING STYLE"
+
+
+def _json_keys(text: str | None) -> list[str] | None:
+    found = _salvage(text, sort=False)
+    value = json.loads(found) if found else None
+    return list(value) if isinstance(value, dict) else None
+
+
+def checked_verdict(answer: Column, prompt: Column, backend: Column, known: Mapping[str, str]) -> Column:
+    """(profile, error) of a verdict: the profile of the prompt that it answers (known prompts have theirs), and the first thing
+    that is wrong by that profile, in its order; null if nothing is. Without an object or a decision the profile is unknown."""
+    v, body = _parsed(answer), json_payload(answer)
+    keys = F.pandas_udf(lambda s: pd.Series([_json_keys(x) for x in s]), "array<string>")(answer)
+    is_object, decided = F.coalesce(body.startswith("{"), F.lit(False)), F.coalesce(v["decision"].isin("pass", "reject"), F.lit(False))
+    text = F.trim(prompt)
+    own = F.coalesce(*[F.when(text == p, name) for p, name in known.items()], F.lit(None).cast("string"))
+    profile = F.when(~is_object | ~decided, "unknown").when(own.isNotNull(), own).when(text.startswith(HEADINGS[0]) | text.startswith(HEADINGS[1]), ACOUSTIC)
+    profile = profile.when(prompt.isNull() & (backend == "vibevoice"), VIBE).otherwise("custom")
+    is_pass = v["decision"] == "pass"
+    among = lambda name, values: F.coalesce(v[name].isin(*values), F.lit(False))
+    blank = lambda name: F.coalesce(F.trim(v[name]), F.lit("")) == ""
+
     fields = (("speaker_purity", SPEAKERS), ("word_completeness", BOUNDARIES), ("audio_quality", QUALITIES))
-    known = [*INELIGIBLE, *(x for _, values in fields for x in values[1:])]
-    ok = F.coalesce(v["decision"].isin("pass", "reject"), F.lit(False))
-    error = F.when(answer_error(answer).isNotNull(), answer_error(answer)).when(~ok, "invalid_decision")
-    for name, values in fields:
-        error = error.when(~F.coalesce(v[name].isin(*values), F.lit(False)), f"invalid_{name}")
-    codes = v["failure_codes"]
-    error = error.when(codes.isNull() | F.exists(codes, lambda x: ~F.coalesce(x.isin(*known), F.lit(False))), "invalid_failure_codes")
-    due = F.array_sort(F.filter(F.array(*[v[n] for n, _ in fields]), lambda x: ~x.isin(SPEAKERS[0], BOUNDARIES[0], QUALITIES[0])))
-    due = F.array_sort(F.concat(due, F.array_intersect(F.array(*map(F.lit, INELIGIBLE)), codes)))
-    error = error.when(F.array_sort(codes) != due, "inconsistent_failure_codes").when((v["decision"] == "reject") != (F.size(due) > 0), "inconsistent_decision")
-    said = F.coalesce(F.trim(v["transcript"]), F.lit(""))
-    return error.when((v["decision"] == "pass") & (said == ""), "missing_transcript").when((v["decision"] == "reject") & v["transcript"].isNotNull(), "unexpected_transcript")
+    codes = F.coalesce(v["failure_codes"], F.array().cast("array<string>"))
+    codes_known = v["failure_codes"].isNotNull() & ~F.exists(codes, lambda x: ~F.coalesce(x.isin(*INELIGIBLE, *SPEAKERS[1:], *BOUNDARIES[1:], *QUALITIES[1:]), F.lit(False)))
+    faults = F.filter(F.array(*[v[n] for n, _ in fields]), lambda x: ~x.isin(SPEAKERS[0], BOUNDARIES[0], QUALITIES[0]))
+    due = F.array_sort(F.concat(faults, F.array_intersect(codes, F.array(*map(F.lit, INELIGIBLE)))))
+    public = F.filter(keys, lambda k: ~k.startswith("_"))
+    acoustic = F.lit(None).cast("string")
+    for wrong, name in reversed([
+        *[(~among(n, values), f"invalid_{n}") for n, values in fields],
+        (v["emotion"].isNotNull() & blank("emotion"), "invalid_emotion"), (~codes_known, "invalid_failure_codes"), (F.array_sort(codes) != due, "inconsistent_failure_codes"),
+        (is_pass != (F.size(due) == 0), "inconsistent_decision"), (is_pass & blank("transcript"), "missing_transcript"),
+        (is_pass & F.coalesce(prompt.contains(WANTS_EMOTION), F.lit(False)) & blank("emotion"), "missing_emotion"),
+        (is_pass & (F.element_at(public, -1) != "transcript"), "transcript_not_last"), (~is_pass & F.array_contains(keys, "transcript"), "unexpected_transcript"),
+    ]):
+        acoustic = F.when(wrong, name).otherwise(acoustic)
+    purity = F.when(~among(*fields[0]), "invalid_speaker_purity").when(is_pass != (v["speaker_purity"] == SPEAKERS[0]), "inconsistent_decision")
+    edges = [v["boundary_start"], v["boundary_end"]]
+    ok_edges = among("boundary_start", ("clean", "clipped")) & among("boundary_end", ("clean", "clipped"))
+    boundary = F.when(~ok_edges, "invalid_word_boundary").when(is_pass != ((edges[0] == "clean") & (edges[1] == "clean")), "inconsistent_decision")
+    error = F.when(~is_object, "verdict_not_object").when(~decided, "invalid_decision").when(profile == ACOUSTIC, acoustic).when(profile == PURITY, purity).when(profile == BOUNDARY, boundary)
+    return F.struct(profile.alias("profile"), error.alias("error"))
 
 
 def verdict_codes(answer: Column) -> Column:

@@ -316,9 +316,45 @@ def _(spark, sf):
     return answers(spark, sf).select("doc_id", T.answer_error(F.col("answer")).alias("error"))
 
 
-@query("n03_verdict_errors", "SELECT doc_id, nullif(['" + "','".join(ERRORS) + "'][doc_id % 12 + 1], '') AS error FROM labels")
-def _(spark, sf):
-    return answers(spark, sf).select("doc_id", T.verdict_error(F.col("answer")).alias("error"))
+def _digit(place: int, n: int) -> str:
+    """A number under n that a text's digest gives, in SQL of either engine."""
+    return f"((instr('0123456789abcdef', substr(h, {place}, 1)) - 1) % {n})"
+
+
+def _when(value: str, given: dict, other: str) -> str:
+    return f"CASE {' '.join(f'WHEN {value} IN ({k}) THEN {v}' for k, v in given.items())} ELSE {other} END"
+
+
+#: A verdict for each document, sound or wrong in one of the known ways; which, the digest of its text says.
+_EDGE = lambda i: _when(_digit(i, 4), {"0, 1": "'clean'", "2": "'clipped'"}, "'odd'")
+_VERDICT = " || ".join([
+    _when("k", {"15": "'['"}, "''"), """'{"decision":"'""", _when("k", {"1, 8, 13, 14": "'reject'", "2": "'maybe'"}, "'pass'"), """'","speaker_purity":"'""", _when("k", {"1, 8, 9, 13": "'secondary_speaker'", "3": "'odd'"}, "'pure'"),
+    """'","word_completeness":"'""", _when("k", {"4": "'cut'"}, "'complete'"), """'","audio_quality":"'""", _when("k", {"5": "'loud'"}, "'studio_clean'"), """'","failure_codes":'""",
+    _when("k", {"1, 9, 13": """'["secondary_speaker"]'""", "8": """'["secondary_speaker","secondary_speaker"]'""", "7": """'["x"]'""", "14": """'["singing"]'"""}, "'[]'"), """',"boundary_start":"'""", _EDGE(3), """'","boundary_end":"'""", _EDGE(4), "'\"'",
+    _when("k", {"12": """',"transcript":"so"'"""}, "''"), _when("k", {"6": """',"emotion":""'""", "11": "''"}, """',"emotion":"calm"'"""), _when("k", {"1, 8, 10, 12, 14": "''"}, """',"transcript":"so"'"""), _when("k", {"15": "'}]'"}, "'}'"),
+])
+_PROMPT = _when(_digit(2, 8), {"0, 1, 2": "'acoustic check'", "3": "'speaker check'", "4": "'boundary check'", "5": "'my own'", "6": "NULL"}, "'# SYSTEM PROMPT — ACOUSTIC QC, EMOTION / SPEAKING STYLE'")
+_BACKEND = _when(_digit(5, 2), {"0": "'vibevoice'"}, "'other'")
+_KNOWN = {"acoustic check": T.ACOUSTIC, "speaker check": T.PURITY, "boundary check": T.BOUNDARY}
+
+
+@query("n03_verdict_errors", f"""WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents), k AS (SELECT *, {_digit(1, 16)} AS k FROM d), a AS (SELECT doc_id, {_VERDICT} AS a, {_PROMPT} AS prompt, {_BACKEND} AS backend FROM k),
+  j AS (SELECT *, json_type(a) = 'OBJECT' AS o, json_extract_string(a, '$.decision') AS d, json_extract_string(a, '$.speaker_purity') AS sp, json_extract_string(a, '$.word_completeness') AS wc, json_extract_string(a, '$.audio_quality') AS aq, json_extract_string(a, '$.emotion') AS em,
+    json_extract_string(a, '$.transcript') AS tr, json_extract_string(a, '$.boundary_start') AS bs, json_extract_string(a, '$.boundary_end') AS be, json_extract_string(a, '$.failure_codes[*]') AS codes FROM a),
+  p AS (SELECT *, CASE WHEN NOT o OR d NOT IN ('pass', 'reject') THEN 'unknown' WHEN prompt = 'acoustic check' OR starts_with(prompt, '# SYSTEM PROMPT') THEN 'acoustic_defect_v3' WHEN prompt = 'speaker check' THEN 'speaker_purity_v1' WHEN prompt = 'boundary check' THEN 'word_boundary_v1'
+    WHEN prompt IS NULL AND backend = 'vibevoice' THEN 'vibevoice_v1' ELSE 'custom' END AS profile,
+    list_sort(list_concat(list_filter([sp, wc, aq], lambda x: x NOT IN ('pure', 'complete', 'studio_clean')), list_filter(['singing', 'unsupported_language'], lambda x: list_contains(codes, x)))) AS due FROM j)
+  SELECT doc_id, profile, CASE WHEN NOT o THEN 'verdict_not_object' WHEN d NOT IN ('pass', 'reject') THEN 'invalid_decision'
+    WHEN profile = 'acoustic_defect_v3' THEN CASE WHEN sp NOT IN ('pure', 'secondary_speaker', 'overlapping_speech') THEN 'invalid_speaker_purity' WHEN wc NOT IN ('complete', 'clipped_word_start', 'clipped_word_end') THEN 'invalid_word_completeness'
+      WHEN aq NOT IN ('studio_clean', 'music_bleed', 'noisy_reverberant', 'distorted') THEN 'invalid_audio_quality' WHEN trim(em) = '' THEN 'invalid_emotion' WHEN list_contains(codes, 'x') THEN 'invalid_failure_codes' WHEN list_sort(codes) <> due THEN 'inconsistent_failure_codes'
+      WHEN (d = 'pass') <> (len(due) = 0) THEN 'inconsistent_decision' WHEN d = 'pass' AND coalesce(trim(tr), '') = '' THEN 'missing_transcript' WHEN d = 'pass' AND contains(prompt, 'EMOTION / SPEAKING STYLE') AND em IS NULL THEN 'missing_emotion'
+      WHEN d = 'pass' AND json_keys(a)[-1] <> 'transcript' THEN 'transcript_not_last' WHEN d = 'reject' AND list_contains(json_keys(a), 'transcript') THEN 'unexpected_transcript' END
+    WHEN profile = 'speaker_purity_v1' THEN CASE WHEN sp NOT IN ('pure', 'secondary_speaker', 'overlapping_speech') THEN 'invalid_speaker_purity' WHEN (d = 'pass') <> (sp = 'pure') THEN 'inconsistent_decision' END
+    WHEN profile = 'word_boundary_v1' THEN CASE WHEN bs = 'odd' OR be = 'odd' THEN 'invalid_word_boundary' WHEN (d = 'pass') <> (bs = 'clean' AND be = 'clean') THEN 'inconsistent_decision' END END AS error FROM p""")
+def _(spark, sf):
+    hashed = S.table(spark, sf, "documents").select("doc_id", F.expr("md5(coalesce(text, ''))").alias("h"))
+    rows = hashed.withColumn("k", F.expr(_digit(1, 16))).select("doc_id", F.expr(_VERDICT).alias("answer"), F.expr(_PROMPT).alias("prompt"), F.expr(_BACKEND).alias("backend"))
+    return rows.select("doc_id", T.checked_verdict(F.col("answer"), F.col("prompt"), F.col("backend"), _KNOWN).alias("_c")).select("doc_id", "_c.*")
 
 
 @query("n04_verdict_codes", "SELECT doc_id, CASE WHEN doc_id % 12 IN (1, 11) THEN 'secondary_speaker' ELSE '' END AS codes FROM labels")
