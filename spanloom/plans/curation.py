@@ -357,14 +357,28 @@ def _(spark, sf):
     return rows.select("doc_id", T.checked_verdict(F.col("answer"), F.col("prompt"), F.col("backend"), _KNOWN).alias("_c")).select("doc_id", "_c.*")
 
 
-@query("n04_verdict_codes", "SELECT doc_id, CASE WHEN doc_id % 12 IN (1, 11) THEN 'secondary_speaker' ELSE '' END AS codes FROM labels")
+def _hashed_answers(spark, sf):
+    """A verdict for each document (see _VERDICT), null where it is no object."""
+    hashed = S.table(spark, sf, "documents").select("doc_id", F.expr("md5(coalesce(text, ''))").alias("h"))
+    rows = hashed.withColumn("k", F.expr(_digit(1, 16))).select("doc_id", F.expr(_VERDICT).alias("answer"))
+    return rows.withColumn("answer", F.when(T.answer_error(F.col("answer")).isNull(), F.col("answer")))
+
+
+_OBJECTS = f"""d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents), k AS (SELECT *, {_digit(1, 16)} AS k FROM d), a AS (SELECT doc_id, {_VERDICT} AS a FROM k), j AS (SELECT doc_id, CASE WHEN json_type(a) = 'OBJECT' THEN a END AS a FROM a)"""
+
+
+@query("n04_verdict_codes", f"""WITH {_OBJECTS}, c AS (SELECT doc_id, list_concat(json_extract_string(a, '$.failure_codes[*]'), [json_extract_string(a, '$.speaker_purity'), json_extract_string(a, '$.word_completeness'), json_extract_string(a, '$.audio_quality'),
+  CASE WHEN json_extract_string(a, '$.boundary_start') = 'clipped' THEN 'clipped_word_start' END, CASE WHEN json_extract_string(a, '$.boundary_end') = 'clipped' THEN 'clipped_word_end' END]) AS c FROM j)
+  SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(list_filter(c, lambda x: x IN ('secondary_speaker', 'overlapping_speech', 'clipped_word_start', 'clipped_word_end', 'music_bleed', 'noisy_reverberant', 'distorted', 'unsupported_language', 'singing')))), ','), '') AS codes FROM c""")
 def _(spark, sf):
-    return answers(spark, sf).select("doc_id", F.array_join(T.verdict_codes(F.col("answer")), ",").alias("codes"))
+    return _hashed_answers(spark, sf).select("doc_id", F.coalesce(F.array_join(T.verdict_codes(F.col("answer")), ","), F.lit("")).alias("codes"))
 
 
-@query("n06_flattened", "SELECT doc_id, CASE WHEN doc_id % 12 NOT IN (2, 3) THEN CASE WHEN doc_id % 12 IN (1, 9) THEN 'reject' WHEN doc_id % 12 = 4 THEN 'maybe' ELSE 'pass' END END AS decision, CASE WHEN doc_id % 12 IN (0, 4, 5, 6, 7, 8, 9) THEN 1 WHEN doc_id % 12 = 10 THEN 0 END AS words FROM labels")
+@query("n06_flattened", f"""WITH {_OBJECTS} SELECT doc_id, json_extract_string(a, '$.decision') AS decision, json_extract_string(a, '$.speaker_purity') AS speaker_purity, json_extract_string(a, '$.word_completeness') AS word_completeness, json_extract_string(a, '$.audio_quality') AS audio_quality,
+  CASE WHEN a IS NOT NULL THEN coalesce(array_to_string(json_extract_string(a, '$.failure_codes[*]'), ';'), '') END AS failure_codes, json_extract_string(a, '$.transcript') AS transcript, json_extract_string(a, '$.emotion') AS emotion, json_extract_string(a, '$.boundary_start') AS boundary_start,
+  json_extract_string(a, '$.boundary_end') AS boundary_end, CASE WHEN json_extract_string(a, '$.transcript') IS NOT NULL THEN len(string_split(json_extract_string(a, '$.transcript'), ' ')) END AS words FROM j""")
 def _(spark, sf):
-    return T.flatten_answers(answers(spark, sf), "answer").select("doc_id", "decision", "words")
+    return T.flatten_answers(_hashed_answers(spark, sf), "answer").drop("answer")
 
 
 @query("n07_fingerprints", """SELECT p_partkey, sha256('{"brand":"' || p_brand || '","size":"' || p_size || '"}') AS fingerprint FROM part""")
