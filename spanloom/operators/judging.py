@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.analytics import ratio
+from spanloom.operators.timeline import along, previous, upcoming
+from spanloom.sources.scratch import settled
 
 # --- verdicts ---
 
@@ -276,6 +278,38 @@ def choose_donor(offered: DataFrame, donors: DataFrame) -> DataFrame:
     return fit.groupBy("doc_id", "source").agg(F.min_by("donor", order).alias("donor"))
 
 
+def ring_donors(clips: DataFrame, clip: str, speaker: str, seed: int) -> DataFrame:
+    """(clip, donor): clips stand on a ring in order of a seeded hash, and a clip's donor is the next one of another speaker; null if
+    there is no other. No pairs are tried: the next clip that begins a run of a speaker is it."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(clip).cast("string")).cast("binary"))
+    ring = clips.select(F.lit(0).alias("_all"), F.conv(F.substring(digest, 1, 12), 16, 10).cast("long").alias("_at"), F.col(clip).alias("_clip"), F.col(speaker).alias("_speaker"))
+    order, wide = ["_at", "_clip"], {"at": "_at", "width": 1 << 36}
+    near = settled(along(ring, ["_all"], order, **wide, _before=previous(F.struct("_speaker"))))
+    begins = F.col("_before").isNull() | ~F.col("_before._speaker").eqNullSafe(F.col("_speaker"))
+    first = near.where(begins).orderBy(*order).select("_clip", "_speaker").limit(2).collect()
+    found = along(near, ["_all"], order, **wide, cheap=True, _next=upcoming(F.when(begins, F.col("_clip"))))
+    lit = lambda r: F.lit(r._clip if r else None).cast(clips.schema[clip].dataType)
+    one, two = (first + [None, None])[:2]
+    wrapped = F.when(~F.col("_speaker").eqNullSafe(F.lit(one._speaker)), lit(one)).otherwise(lit(two)) if one else lit(None)
+    return found.select(F.col("_clip").alias(clip), F.coalesce("_next", wrapped).alias("donor"))
+
+
+def defect_grid(clips: DataFrame, donors: DataFrame, clip: str, samples: str, cuts: Sequence[int], ratios_db: Sequence[float]) -> DataFrame:
+    """(clip, kind, severity, samples): each clip with each defect: its start or end cut by so many samples, or its donor's samples mixed
+    in at a ratio of their RMS. Donors come from donors (clip, donor); a clip without one, or silence, isn't mixed."""
+    x, n = F.col(samples), F.size(samples)
+    whole = clips.select(clip, F.transform(samples, lambda v: v.cast("double")).alias(samples))
+    severity = lambda values: F.explode(F.array(*[F.lit(float(v)) for v in values]))
+    cut = whole.withColumn("severity", severity(cuts))
+    k = F.least(F.col("severity").cast("int"), n)
+    start, end = cut.select(clip, F.lit("clipped_word_start").alias("kind"), "severity", F.slice(x, k + 1, n - k).alias(samples)), cut.select(clip, F.lit("clipped_word_end").alias("kind"), "severity", F.slice(x, F.lit(1), n - k).alias(samples))
+    power = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v * v) / F.size(c))
+    met = whole.join(donors, clip).join(whole.select(F.col(clip).alias("donor"), F.col(samples).alias("_d")), "donor").where((power(x) > 1e-9) & (power(F.col("_d")) > 1e-9))
+    met = met.withColumn("severity", severity(ratios_db)).withColumn("_gain", power(x) / (power(F.col("_d")) * F.pow(F.lit(10.0), F.col("severity") / 20)))
+    mixed = F.zip_with(x, "_d", lambda a, b: a + F.coalesce(b, F.lit(0.0)) * F.col("_gain"))
+    return start.unionByName(end).unionByName(met.select(clip, F.lit("secondary_speaker").alias("kind"), "severity", F.slice(mixed, F.lit(1), n).alias(samples)))
+
+
 def audit_states(now: DataFrame, kept: DataFrame, key: str, digest: str) -> DataFrame:
     """(key, state): whether an audit of each item is missing, of another state of it (stale), or current."""
     both = now.join(kept.select(key, F.col(digest).alias("_kept")), key, "left")

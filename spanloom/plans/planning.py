@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import signal as G
 from spanloom.functions import splitters
-from spanloom.operators import folds, heads
+from spanloom.operators import folds, heads, judging
 from spanloom.operators import intervals as I
 from spanloom.operators import planning as P
 from spanloom.operators.timeline import along, following, upto_sum
@@ -244,6 +244,27 @@ def _(spark, sf):
     return each.groupBy("vec_id", "cut").agg(F.count("*").alias("n"), F.round(F.max(F.abs(F.col("x").cast("double"))), 5).alias("peak"))
 
 
+RING = """rg AS (SELECT vec_id, label, ('0x' || substr(md5('7:' || vec_id), 1, 12))::BIGINT AS at_ FROM embeddings), dn AS (SELECT a.vec_id, arg_min(b.vec_id, (b.at_ - a.at_ + 281474976710656) % 281474976710656) AS donor FROM rg a JOIN rg b ON a.label <> b.label GROUP BY a.vec_id)"""
+
+
+def _donors(spark, sf) -> DataFrame:
+    return judging.ring_donors(waves(spark, sf), "vec_id", "label", 7)
+
+
+@query("j25_ring_donors", f"WITH {RING} SELECT vec_id, donor FROM dn")
+def _(spark, sf):
+    return _donors(spark, sf)
+
+
+@query("g07_defect_grid", f"""WITH {SAMPLES}, {RING}, c AS (SELECT vec_id, kind, c::DOUBLE AS severity, x FROM w, (VALUES (4), (8), (16)) s(c), (VALUES ('clipped_word_start'), ('clipped_word_end')) k(kind) WHERE CASE kind WHEN 'clipped_word_start' THEN i >= c ELSE i < 64 - c END),
+  e AS (SELECT vec_id, sqrt(avg(x * x)) AS rms FROM w GROUP BY vec_id), m AS (SELECT a.vec_id, 'secondary_speaker', r.db::DOUBLE, a.x + d.x * ea.rms / (ed.rms * pow(10, r.db / 20.0::DOUBLE)) FROM w a JOIN dn ON a.vec_id = dn.vec_id JOIN w d ON d.vec_id = dn.donor AND d.i = a.i JOIN e ea ON ea.vec_id = a.vec_id JOIN e ed ON ed.vec_id = dn.donor, (VALUES (0), (10), (20)) r(db)),
+  u AS (SELECT * FROM c UNION ALL SELECT * FROM m) SELECT vec_id, kind, severity, count(*)::INT AS n, round(sqrt(avg(x * x)), 5) AS rms, round(max(abs(x)), 5) AS peak FROM u GROUP BY ALL""")
+def _(spark, sf):
+    grid = judging.defect_grid(waves(spark, sf), _donors(spark, sf), "vec_id", "samples", (4, 8, 16), (0, 10, 20))
+    n, x = F.size("samples"), F.col("samples")
+    return grid.select("vec_id", "kind", "severity", n.alias("n"), F.round(F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v) / n), 5).alias("rms"), F.round(F.array_max(F.transform(x, F.abs)), 5).alias("peak"))
+
+
 @query("g13_speech_masks")
 def _(spark, sf):
     mask = F.pandas_udf(lambda s: s.map(lambda x: G.speech_mask(len(x), [(20, 40)], 2, 4).tolist()), "array<double>")

@@ -195,6 +195,19 @@ def test_caps_carry_across_strata_as_in_a_plain_loop(spark):
         assert [r.id for r in got] == want
 
 
+def test_a_donor_is_the_next_clip_of_another_speaker_on_the_ring(spark):
+    import hashlib
+
+    from spanloom.operators import judging
+
+    rng = random.Random(13)
+    for clips in ([(i, rng.choice("aaaab")) for i in range(60)], [(i, "a") for i in range(5)], [(0, "a"), (1, "b")], []):
+        got = {r.clip: r.donor for r in judging.ring_donors(spark.createDataFrame(clips, "clip long, who string"), "clip", "who", 3).collect()}
+        ring = sorted((int(hashlib.md5(f"3:{c}".encode()).hexdigest()[:12], 16), c, w) for c, w in clips)
+        want = {c: next((d for _, d, v in ring[i + 1 :] + ring[:i] if v != w), None) for i, (_, c, w) in enumerate(ring)}
+        assert got == want
+
+
 def test_too_small_groups_and_strata_are_errors(spark):
     from spanloom.operators import analytics
 
