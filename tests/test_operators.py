@@ -208,6 +208,15 @@ def test_a_donor_is_the_next_clip_of_another_speaker_on_the_ring(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_first_turns_are_thirty_a_recording_or_all_of_a_shorter_one(spark, sf):
+    from spanloom.plans.registry import QUERIES, turns
+
+    of = {r.recording_id: r["count"] for r in turns(spark, f"/root/testdata/{sf}").groupBy("recording_id").count().collect()}
+    got = {r.recording_id: r["count"] for r in QUERIES["k04_first_turns"](spark, f"/root/testdata/{sf}").groupBy("recording_id").count().collect()}
+    assert got == {k: min(n, 30) for k, n in of.items()}
+
+
 def test_too_small_groups_and_strata_are_errors(spark):
     from spanloom.operators import analytics
 
