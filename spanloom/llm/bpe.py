@@ -43,6 +43,9 @@ KEPT, WORD = 300_000, 200
 #: Words near a bound that are taken apart at once.
 FEW = 16
 
+#: How a token is kept.
+_ID = np.dtype("<u4")
+
 #: A token and its place in the text: (id, from, to). A segment is a list of tokens, or of words with where they begin.
 Token = tuple[int, int, int]
 Segment = tuple[int, list[str]] | list[Token]
@@ -66,8 +69,8 @@ class TreeEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.part, self.reach = part, reach
-        self.new: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.digits = [str(i) for i in range(self.tokenizer.get_vocab_size())]
         self.by_word = self._parts_at_spaces()
         self.windows = self.grown = 0
@@ -86,31 +89,31 @@ class TreeEncoder:
         return alone == self._encode(" ".join(words))
 
     def _ids(self, words: list[str]) -> list[int]:
-        """The tokens of the words, in order; words that aren't at hand are encoded together."""
+        """The tokens of the words, in order; words that aren't at hand are encoded together. Tokens are kept as bytes, four
+        for each: lists of so many words are scattered over memory, and the collector walks them again and again."""
         if len(self.new) > KEPT:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         found = list(map(new.get, words))
         if None in found:
-            lacking = {w for w, ids in zip(words, found, strict=True) if ids is None}
+            lacking = {w for w, kept in zip(words, found, strict=True) if kept is None}
             missing = [w for w in lacking if w not in old]
             if missing:
                 # one text of them all: words are parted where their places say
                 ends = np.cumsum([len(w) + 1 for w in missing])
                 e = self.tokenizer.encode(" ".join(missing), add_special_tokens=False)
-                ids, start = e.ids, 0
-                for w, end in zip(missing, np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(ids)), ends).tolist(), strict=True):
+                places = np.fromiter((a for a, _ in e.offsets), np.int64)
+                ids, start = np.array(e.ids, _ID).tobytes(), 0
+                for w, end in zip(missing, (np.searchsorted(places, ends) * _ID.itemsize).tolist(), strict=True):
                     new[w] = ids[start:end]
                     start = end
             for w in lacking.difference(missing):
                 new[w] = old[w]
-            found = map(new.__getitem__, words)
-            out = list(chain.from_iterable(found))
+            found = list(map(new.__getitem__, words))
             for w in missing:
                 if len(w) > WORD:
                     del new[w]
-            return out
-        return list(chain.from_iterable(found))
+        return np.frombuffer(b"".join(found), _ID).tolist()
 
     def _leaf(self, text: str, start: int, end: int) -> list[Segment]:
         piece = text[start:end]

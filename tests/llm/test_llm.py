@@ -146,6 +146,16 @@ def test_fingerprints_are_those_by_hand(monkeypatch):
         assert all(simhash.fingerprint_of(t) % (1 << 64) == fingerprint_by_hand(t) for t in texts)
 
 
+def test_words_at_hand_keep_their_tokens_as_bytes_and_come_back_from_both_generations(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 20)
+    e = bpe.TreeEncoder(bpe.public_path("word_bpe_49k.json"))
+    rng = random.Random(17)
+    for _ in range(40):
+        text = " ".join(rng.choice(["", "don't", "été", "日本語", "(x1)", "w" * 250, *(f"word{i}" for i in range(60))]) for _ in range(30))
+        assert e._ids(text.split(" ")) == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert e.old and all(isinstance(x, bytes) for x in [*e.new.values(), *e.old.values()]) and "w" * 250 not in e.new | e.old
+
+
 def test_near_copies_without_an_id_are_kept_apart(spark):
     texts = ["one text of a house by the sea", "quite another one about trains and snow", "the third speaks of bread"]
     rows = [(None, x) for x in texts[:2]] + [(None, texts[2]), (7, texts[2]), (4, texts[2])]
