@@ -26,8 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, likeness of 0.8 or more): that of the smallest doc_id, a null
-    one behind all others, ties by a hash of the text. All texts without a word are one group."""
+    """One document of each group of near copies (five words, likeness of 0.8 or more; candidates by the covering masks of
+    SimHash and, beyond their three bits, by MinHash): that of the smallest doc_id, a null one behind all others, ties by a
+    hash of the text. All texts without a word are one group."""
     return drop_near_copies(docs).select(*DOCUMENT)
 
 

@@ -1,9 +1,11 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard likeness of at least 0.8.
 
-A set of shingles gets BANDS x LOWEST minima of its hashes (MinHash); those of a band make one key. Two sets of likeness j
-share a given key with probability j ** LOWEST, so that of pairs at 0.8 one in ten thousand shares none of 30 keys, and
-fewer above. (A 64-bit SimHash differs at 0.8 by about ten bits, often by fifteen, which no affordable number of covering
-masks reaches.) Candidates are then confirmed on the whole sets, so that no pair below 0.8 links.
+Candidates come by op4's covering masks: a set of shingles has a SimHash of 64 bits, and what each of the 15 masks keeps of
+it is a key, so that no pair whose fingerprints differ at three bits or fewer is missed. That radius alone is not enough: at
+a likeness of 0.8 fingerprints differ by about ten bits, often by fifteen, which no affordable number of masks covers. So a
+set has further keys: BANDS x LOWEST minima of its hashes (MinHash), of which those of a band make one. Two sets of likeness
+j share a given one with probability j ** LOWEST, so that of pairs at 0.8 one in ten thousand shares none of 30, and fewer
+above. Candidates of both kinds are then confirmed on the whole sets, so that no pair below 0.8 links.
 
 Equal sets are one node. Sets of a key are compared in one group up to GROUP; of a larger key all are first
 compared with its smallest one, and only blocks of those that this leaves in different components with each other.
@@ -22,13 +24,17 @@ from pyspark.sql import functions as F
 
 from spanloom.llm._common import bounded_batches, materialise, running_totals
 from spanloom.llm.graph import connected_components
+from spanloom.llm.simhash import cover, fingerprint_of_hashes
 
 #: Words of a shingle, and hash seed.
 SHINGLE, SEED = 5, 42
 
-#: Keys of a set, and minima in one key.
+#: MinHash keys of a set, and minima in one of them.
 BANDS, LOWEST = 30, 6
 
+#: Masks whose keys no two fingerprints within three bits miss.
+MASKS = np.array(cover(list(range(64))), dtype=np.int64)
+
 #: Likeness of near copies, as a fraction.
 LEAST, OF = 4, 5
 
@@ -54,6 +60,12 @@ def node_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
 
 
+def masked_keys(found: np.ndarray) -> list[int]:
+    """What each mask keeps of the fingerprint of a set."""
+    kept = MASKS & np.int64(fingerprint_of_hashes(found))
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), BANDS + i) for i, x in enumerate(kept)], dtype=np.uint64).view(np.int64).tolist()
+
+
 def keys_of(found: np.ndarray) -> list[int]:
     low = np.full(BANDS * LOWEST, ~np.uint64(0))
     for at in range(0, len(found), CHUNK):
@@ -64,7 +76,7 @@ def keys_of(found: np.ndarray) -> list[int]:
 def _node(text: Column) -> Column:
     @F.pandas_udf("node long, keys array<long>")
     def node(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(node_of(x), keys_of(x)) for x in map(shingles, texts)], columns=["node", "keys"])
+        return pd.DataFrame([(node_of(x), masked_keys(x) + keys_of(x)) for x in map(shingles, texts)], columns=["node", "keys"])
 
     return node(text)
 

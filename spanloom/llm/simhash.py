@@ -42,8 +42,23 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     for at in range(0, n, CHUNK):
         part = words[at : at + CHUNK + shingle - 1]
         grams = map(b" ".join, zip(*(part[i:] for i in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        counts += _ones(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8"))
+    return _majority(counts, n)
+
+
+def fingerprint_of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of a text whose shingles have these hashes."""
+    counts = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        counts += _ones(hashes[at : at + CHUNK])
+    return _majority(counts, len(hashes))
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 

@@ -186,6 +186,32 @@ def test_near_copies_of_five_words_and_four_fifths_are_those_of_brute_force(spar
     assert {r.doc_id for r in nearcopies.drop_near_copies(docs).collect()} == set(root)
 
 
+def test_near_copies_within_three_bits_meet_by_covering_masks_alone(spark, monkeypatch):
+    rng = random.Random(21)
+    texts = []
+    for _ in range(12):
+        base = [rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(400)]
+        texts += [" ".join(base), " ".join([*base, "one", "more"]), " ".join(base[:-1])]
+    sets = [nearcopies.shingles(t) for t in texts]
+    bits = [simhash.fingerprint_of_hashes(x) % (1 << 64) for x in sets]
+    linked = []
+    for i in range(0, len(texts), 3):
+        near = [(i + j, i + k) for j in range(3) for k in range(j) if (bits[i + j] ^ bits[i + k]).bit_count() <= 3]
+        linked += near
+        assert all(set(nearcopies.masked_keys(sets[a])) & set(nearcopies.masked_keys(sets[b])) for a, b in near)
+    assert len(linked) > 20
+    monkeypatch.setattr(nearcopies, "BANDS", 0)
+    monkeypatch.setattr(nearcopies, "keys_of", lambda found: [])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_key"))
+    keys = spark.createDataFrame([(t, nearcopies.node_of(x), nearcopies.masked_keys(x)) for t, x in enumerate(sets)], "doc_id long, node long, keys array<long>")
+    root = {n: {n} for n in map(nearcopies.node_of, sets)}
+    for r in nearcopies.near_links(docs, rows.join(keys, "doc_id")).collect():
+        both = root[r.a] | root[r.b]
+        root |= dict.fromkeys(both, both)
+    assert all(nearcopies.node_of(sets[a]) in root[nearcopies.node_of(sets[b])] for a, b in linked)
+
+
 def cut_by_force(texts):
     seen, out = set(), {}
     for d, t in texts:
