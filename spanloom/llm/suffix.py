@@ -45,8 +45,8 @@ BATCHES = 4
 #: Window starts that are hashed at a time; positions within fit in 16 bits.
 CHUNK = 60_000
 
-#: Entries that a task settles at a time.
-BLOCK = 1_500_000
+#: Entries that a task settles at a time: about 190 bytes of a worker's memory for each.
+BLOCK = 400_000
 
 #: Most zones of a key that are compared in one group; strings in a part of a zone where a key has more.
 GROUP, STEP = 256, 10

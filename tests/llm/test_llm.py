@@ -237,6 +237,22 @@ def test_texts_over_a_chunk_and_passages_of_many_documents(spark, monkeypatch):
     assert got == want
 
 
+def test_a_worker_settles_its_entries_in_bounded_memory():
+    import tracemalloc
+
+    def parts():
+        rng = np.random.default_rng(5)
+        for doc in range(1600):
+            key = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
+            yield key, key ^ np.uint64(5), doc, suffix._packed(0, np.arange(1000, dtype=np.int64) * 26, np.full(1000, 26))
+
+    tracemalloc.start()
+    n = sum(len(block) for block in suffix._blocks(parts(), last=False))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1_600_000 and peak < 120e6
+
+
 def test_levels_merge_and_stay_few(spark):
     texts = spark.createDataFrame([(i, "".join(random.Random(i).choices("abc ", k=400))) for i in range(60)], "doc long, text string").withColumn("variant", F.lit(0).cast("long"))
     family, sizes = suffix.SuffixLevels(4), []
