@@ -219,11 +219,11 @@ def ledger_rows(files: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def enrol(clips: DataFrame, taken: DataFrame, speaker: str, order: str, digest: str) -> DataFrame:
-    """Names clip_001, ... for each speaker's new clips, after the last number taken (speaker, last); copies of a clip are
-    enrolled once."""
+    """Numbers each speaker's new clips, after the last number taken (speaker, last), and names them clip_001, ..., with more
+    digits from 1000 on; copies of a clip are enrolled once."""
     once = clips.groupBy(speaker, digest).agg(F.min(order).alias(order))
-    number = F.row_number().over(Window.partitionBy(speaker).orderBy(order)) + F.coalesce("last", F.lit(0))
-    return once.join(F.broadcast(taken), speaker, "left").select(speaker, order, F.format_string("clip_%03d", number).alias("name"))
+    number = F.row_number().over(Window.partitionBy(speaker).orderBy(F.col(order).asc_nulls_last())) + F.coalesce("last", F.lit(0))
+    return once.join(F.broadcast(taken), speaker, "left").select(speaker, order, number.alias("number"), F.format_string("clip_%03d", number).alias("name"))
 
 
 def first_given(*columns: Column) -> Column:
