@@ -183,8 +183,9 @@ def sample_per(rows: DataFrame, key: str, row_id: str, n: int, seed: object) ->
 
 
 def batches(rows: DataFrame, key: str, row_id: str, size: int, seed: object) -> DataFrame:
-    """Adds batch, `size` rows of a key each in shuffled order."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(hashed(seed, row_id))) - 1) / size))
+    """Adds batch, `size` rows of a key each in shuffled order, rows without an id behind all others."""
+    order = F.when(F.col(row_id).isNotNull(), hashed(seed, row_id)).asc_nulls_last()
+    return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1) / size))
 
 
 def packed(rows: DataFrame, key: str, order: str, most_bytes: int, most_rows: int) -> DataFrame:
@@ -204,10 +205,14 @@ def split_leaks(rows: DataFrame, split: str, keys: Sequence[str]) -> DataFrame:
     return long.groupBy("key", "value").agg(F.count_distinct(split).alias("splits")).where("splits > 1")
 
 
+def short_id(key: str, seed: str) -> Column:
+    """Eight digits of a seeded hash, which several keys may share; see review_ids()."""
+    return F.substring(F.sha2(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")), 256), 1, 8)
+
+
 def review_ids(rows: DataFrame, key: str, seed: str) -> DataFrame:
     """Adds review_id: eight digits of a seeded hash, with the key behind them where they are not the only ones."""
-    short = F.substring(F.sha2(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")), 256), 1, 8)
-    named = rows.withColumn("_s", short)
+    named = rows.withColumn("_s", short_id(key, seed))
     again = named.groupBy("_s").agg(F.count("*").alias("_n"))
     full = F.when(F.col("_n") > 1, F.concat_ws("-", "_s", F.col(key).cast("string"))).otherwise(F.col("_s"))
     return named.join(again, "_s").withColumn("review_id", full).select(*rows.columns, "review_id")
