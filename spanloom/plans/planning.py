@@ -13,6 +13,7 @@ from spanloom.operators import planning as P
 from spanloom.operators.timeline import along, following, upto_sum
 from spanloom.plans.alignment import WORDS, frames, words
 from spanloom.plans.registry import ORACLES, query, turned, turns, union_cte
+from spanloom.sources.scratch import settled
 from spanloom.sources import tables as S
 
 FRAME_US = 1_000_000
@@ -22,8 +23,15 @@ LOW = "lo AS (SELECT recording_id, min(frame) * 1000000 AS s, (max(frame) + 1) *
 
 
 def seconds(spark, sf) -> DataFrame:
-    t = turns(spark, sf)
-    spoken = t.select("recording_id", I.frames_of(t, FRAME_US).alias("frame")).distinct()
+    return seconds_of(turns(spark, sf))
+
+
+def seconds_of(t) -> DataFrame:
+    frame = lambda c: c * FRAME_US
+    # of the turns that begin in a second the longest has the frames of all; their unions have each frame once
+    spans = t.groupBy("recording_id", frame(F.floor(F.col("start_us") / FRAME_US)).alias("start_us")).agg(frame(F.max(F.ceil(F.col("end_us") / FRAME_US))).alias("end_us"))
+    spoken = I.islands(spans, ["recording_id"])
+    spoken = spoken.select("recording_id", I.frames_of(spoken, FRAME_US).alias("frame"))
     digest = F.substring(F.md5(F.concat_ws(":", "recording_id", F.col("frame").cast("string")).cast("binary")), 1, 4)
     return spoken.withColumn("p", F.conv(digest, 16, 10).cast("long") % 100)
 
@@ -89,13 +97,17 @@ SPLIT = ["""pc AS (SELECT recording_id, turn_index, start_us // 1000000 AS a, en
 """seg AS (SELECT recording_id, turn_index, a AS first_frame, b AS end_frame, b - a <= 30 AS fits FROM pc WHERE b - a <= 30 OR (SELECT min(p) FROM fr WHERE fr.recording_id = pc.recording_id AND fr.frame > a AND fr.frame < b) >= 50)"""]
 
 
-def _segments(spark, sf, t):
-    return folds.plan_segments(t, seconds(spark, sf).withColumn("p", F.col("p") / 100), FRAME_US, 30, 0.5)
+def _bounds(spark, sf):
+    return settled(turns(spark, sf).select("recording_id", "turn_index", "start_us", "end_us"))
+
+
+def _segments(t):
+    return folds.plan_segments(t, seconds_of(t).withColumn("p", F.col("p") / 100), FRAME_US, 30, 0.5)
 
 
 @query("w12_plan_segments", turned("SELECT * FROM seg", QUIET, *SPLIT).replace("WITH", "WITH RECURSIVE", 1))
 def _(spark, sf):
-    return _segments(spark, sf, turns(spark, sf))
+    return _segments(_bounds(spark, sf))
 
 
 @query("w12_quiet_cuts_by_sql", ORACLES["w12_plan_segments"])
@@ -116,8 +128,8 @@ def _(spark, sf):
   UNION ALL SELECT recording_id, turn_index, start_us, end_us, false FROM turns t WHERE NOT EXISTS (SELECT 1 FROM sn WHERE sn.recording_id = t.recording_id AND sn.turn_index = t.turn_index)""",
   QUIET, *SPLIT, "sn AS (SELECT recording_id, turn_index, min(first_frame) AS f, max(end_frame) AS l FROM seg GROUP BY ALL HAVING count(*) > 1)").replace("WITH", "WITH RECURSIVE", 1))
 def _(spark, sf):
-    t = turns(spark, sf)
-    return P.split_with_lineage(t, _segments(spark, sf, t), FRAME_US)
+    t = _bounds(spark, sf)
+    return P.split_with_lineage(t, _segments(t), FRAME_US)
 
 
 NEAR = """nb AS (SELECT *, lead(start_us) OVER (PARTITION BY recording_id ORDER BY turn_index) AS nx,
