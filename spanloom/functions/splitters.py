@@ -2,18 +2,20 @@
 
     register(spark)
     SELECT * FROM sliding_windows(TABLE(turns), 2000000, 750000)
-    SELECT * FROM quiet_cuts(TABLE(tracks), 30, 0.5)
+    SELECT * FROM quiet_cuts(TABLE(tracks) PARTITION BY (recording_id, part), 30, 0.5)
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row, SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 from pyspark.sql.types import BooleanType, DataType, IntegerType, LongType, StringType, StructType
-from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
-from spanloom.operators.folds import split_at_minimum
+from spanloom.operators.folds import split_part
 
 
 def _row(**columns: DataType) -> StructType:
@@ -40,31 +42,30 @@ class SlidingWindows:
 
 
 class QuietCuts:
-    """(recording_id, turn_index, first_frame, end_frame, fits): pieces of the turns that a table of their frames (recording_id,
-    turn_index, frame, p) has, cut as split_at_minimum() does. It asks for the frames of a turn together and in order."""
-
-    @staticmethod
-    def analyze(frames: AnalyzeArgument, most: AnalyzeArgument, threshold: AnalyzeArgument) -> AnalyzeResult:
-        return AnalyzeResult(
-            _row(first_frame=LongType(), end_frame=LongType(), fits=BooleanType()),
-            partitionBy=[PartitioningColumn("recording_id"), PartitioningColumn("turn_index")], orderBy=[OrderingColumn("frame")],
-        )
+    """(recording_id, turn_index, first_frame, end_frame, fits): pieces of the turns of a table that tracks() gives, cut as
+    split_part() does. It wants the rows of a part together (PARTITION BY recording_id, part), and gets them as Arrow batches."""
 
     def __init__(self) -> None:
-        self.turn, self.p = None, []
+        self.batches, self.asked = [], None
 
-    def eval(self, frame: Row, most: int, threshold: float) -> None:
-        if self.turn is None:
-            self.turn = (frame["recording_id"], frame["turn_index"], frame["frame"], most, float(threshold))
-        self.p.append(frame["p"])
+    def eval(self, rows: pa.RecordBatch, most: pa.Array, threshold: pa.Array):
+        if rows.num_rows:
+            self.batches.append(rows)
+            self.asked = most[0].as_py(), float(threshold[0].as_py())
+        yield from ()
 
     def terminate(self):
-        if self.turn:
-            recording, index, first, most, threshold = self.turn
-            for a, b, fits in split_at_minimum(first, np.array(self.p, dtype=float), most, threshold):
-                yield recording, index, a, b, fits
+        if self.batches:
+            rows = pa.Table.from_batches(self.batches)
+            turns = rows.filter(pc.is_valid(rows["turn_index"]))
+            known = rows.filter(pc.is_null(rows["turn_index"]))
+            asked = np.stack([turns[c].to_numpy().astype(np.int64) for c in ("turn_index", "first", "end")], axis=1)
+            blocks = [(f.values.to_numpy(zero_copy_only=False), p.values.to_numpy(zero_copy_only=False)) for f, p in zip(known["frames"], known["p"], strict=True)]
+            index, a, b, fits = split_part(asked, blocks, *self.asked)
+            key = pa.repeat(rows["recording_id"][0], len(index))
+            yield pa.table({"recording_id": key, "turn_index": index.astype(np.int32), "first_frame": a, "end_frame": b, "fits": fits})
 
 
 def register(spark: SparkSession) -> None:
-    for name, function in (("sliding_windows", SlidingWindows), ("quiet_cuts", QuietCuts)):
-        spark.udtf.register(name, udtf(function))
+    spark.udtf.register("sliding_windows", udtf(SlidingWindows))
+    spark.udtf.register("quiet_cuts", arrow_udtf(QuietCuts, returnType=_row(first_frame=LongType(), end_frame=LongType(), fits=BooleanType())))

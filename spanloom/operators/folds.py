@@ -127,13 +127,6 @@ def split_part(turns: np.ndarray, known: list[tuple[np.ndarray, np.ndarray]], mo
     return turns[which, 0], a + low, b + low, fits
 
 
-def long_tracks(turns: DataFrame, frames: DataFrame, frame_us: int, most_frames: int) -> DataFrame:
-    """(recording_id, turn_index, frame, p): the frames (recording_id, frame, p) of turns of more than most_frames."""
-    length = F.floor(F.col("end_us") / frame_us) - F.floor(F.col("start_us") / frame_us)
-    long = turns.where(length > most_frames).select("recording_id", "turn_index", F.explode(F.sequence(F.floor(F.col("start_us") / frame_us), F.floor(F.col("end_us") / frame_us) - 1)).alias("frame"))
-    return long.join(frames, ["recording_id", "frame"])
-
-
 def plan_segments(turns: DataFrame, frames: DataFrame, frame_us: int, most_frames: int, threshold: float) -> DataFrame:
     """Splits turns of more than most_frames at quiet frames (recording_id, frame, p); only those meet their frames."""
 

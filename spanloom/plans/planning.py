@@ -113,8 +113,9 @@ def _(spark, sf):
 @query("w12_quiet_cuts_by_sql", ORACLES["w12_plan_segments"])
 def _(spark, sf):
     splitters.register(spark)
-    tracks = folds.long_tracks(turns(spark, sf), seconds(spark, sf), FRAME_US, 30)
-    return spark.sql("SELECT * FROM quiet_cuts(TABLE(SELECT * FROM {tracks}), 30, 50.0D)", tracks=tracks)
+    t = _bounds(spark, sf)
+    tracks = folds.tracks(t, seconds_of(t), FRAME_US, 30)
+    return spark.sql("SELECT * FROM quiet_cuts(TABLE(SELECT * FROM {tracks}) PARTITION BY (recording_id, part), 30, 50.0D)", tracks=tracks)
 
 
 @query("w19_windows_by_sql", ORACLES["w19_sliding_windows"])
