@@ -62,14 +62,6 @@ def union_length(intervals: DataFrame, keys: list[str], cheap: bool = False) ->
     return islands(intervals, keys, cheap=cheap).groupBy(*keys).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("union_us"))
 
 
-def other_speaker_overlap(turns: DataFrame) -> DataFrame:
-    """Of each turn the length within which any other speaker is active."""
-    turns = settled(turns)
-    pairs = range_join(turns, other(turns, "speaker_id"), ["recording_id"]).where("speaker_id <> b_speaker_id")
-    parts = pairs.select("recording_id", "turn_index", F.greatest("start_us", "b_start_us").alias("start_us"), F.least("end_us", "b_end_us").alias("end_us"))
-    return turns.join(union_length(parts, ["recording_id", "turn_index"]), ["recording_id", "turn_index"], "left").withColumn("other_us", F.coalesce("union_us", F.lit(0))).drop("union_us")
-
-
 def sweep(turns: DataFrame) -> DataFrame:
     """Elementary intervals between neighbouring bounds of a recording, with the number of turns active."""
     events = turns.select("recording_id", F.col("start_us").alias("at"), F.lit(1).alias("step")).unionAll(turns.select("recording_id", "end_us", F.lit(-1)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as T
 from spanloom.operators import analytics as A
 from spanloom.operators import folds, intervals as I
+from spanloom.operators import sweeps
 from spanloom.operators.timeline import along, following, previous
 from spanloom.sources import tables as S
 from spanloom.streaming import windows as W
@@ -84,7 +85,7 @@ def _(spark, sf):
   """parts AS (SELECT a.recording_id, a.turn_index, greatest(a.start_us, b.start_us) AS start_us, least(a.end_us, b.end_us) AS end_us FROM turns a JOIN turns b
   ON a.recording_id = b.recording_id AND a.speaker_id <> b.speaker_id AND a.start_us < b.end_us AND b.start_us < a.end_us)""", union_cte("u", "parts", "recording_id, turn_index")))
 def _(spark, sf):
-    return I.other_speaker_overlap(turns(spark, sf)).select("recording_id", "turn_index", "other_us")
+    return sweeps.other_speaker_overlap(turns(spark, sf))
 
 
 @query("j05_overlap_weights", turned("""SELECT a.recording_id, a.speaker_id, b.speaker_id AS b_speaker_id, cast(sum(least(a.end_us, b.end_us) - greatest(a.start_us, b.start_us)) AS BIGINT) AS weight
