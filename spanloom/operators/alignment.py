@@ -23,16 +23,6 @@ def straddles(turns: DataFrame, words: DataFrame) -> DataFrame:
     return across.groupBy(*_TURN).agg(first.alias("first_word_us"), last.alias("last_word_us"))
 
 
-def word_owners(words: DataFrame, turns: DataFrame) -> DataFrame:
-    """The turn that each word lies in, if it is the only one and no other speaker's turn touches the word."""
-    pairs = I.range_join(words.select("recording_id", "word_id", "start_us", "end_us"), I.other(turns, "speaker_id", "turn_index"), ["recording_id"])
-    inside = (F.col("b_start_us") <= F.col("start_us")) & (F.col("b_end_us") >= F.col("end_us"))
-    found = pairs.groupBy("recording_id", "word_id").agg(
-        F.count_if(inside).alias("_holders"), F.min(F.when(inside, F.col("b_turn_index"))).alias("turn_index"), F.min("b_speaker_id").alias("_a"), F.max("b_speaker_id").alias("_b")
-    )
-    return found.where("_holders = 1 AND _a = _b").select("recording_id", "word_id", "turn_index")
-
-
 def safe_walls(turns: DataFrame) -> DataFrame:
     """Adds wall_before_us, the last end of another speaker's turn at or before a turn's start, and wall_after_us, the
     first start of one at or after its end; null where there is none.

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import alignment as L
 from spanloom.operators import folds, intervals as I
+from spanloom.operators import sweeps
 from spanloom.operators.timeline import along, upto_sum
 from spanloom.plans.registry import _weights, query, turned, turns, union_cte
 from spanloom.sources import tables as S
+from spanloom.sources.scratch import settled
 
 WORDS = """words AS (SELECT recording_id, event_id * 4 + i AS word_id, start_us + ((end_us - start_us) * i) // n + shift AS start_us, start_us + ((end_us - start_us) * (i + 1)) // n + shift AS end_us
   FROM (SELECT *, 1 + event_id % 4 AS n, (event_id % 3 - 1) * 300000 AS shift FROM turns), range(4) r(i) WHERE i < n AND ((end_us - start_us) * (i + 1)) // n > ((end_us - start_us) * i) // n)"""
@@ -22,9 +24,13 @@ ACTIVE = "act AS (SELECT recording_id, speaker_id, frame, count(*) AS turns FROM
 
 
 def words(spark, sf):
+    return words_of(turns(spark, sf))
+
+
+def words_of(t):
     """One to four words a turn, shifted so that some of them straddle its bounds."""
     n, shift, length = 1 + F.col("event_id") % 4, (F.col("event_id") % 3 - 1) * 300_000, F.col("end_us") - F.col("start_us")
-    each = turns(spark, sf).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    each = t.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     at = lambda i: F.col("start_us") + F.floor(length * i / n) + shift
     return each.select("recording_id", (F.col("event_id") * 4 + F.col("i")).alias("word_id"), at(F.col("i")).alias("start_us"), at(F.col("i") + 1).alias("end_us")).where("end_us > start_us")
 
@@ -71,7 +77,8 @@ def _(spark, sf):
 @query("j10_word_owners", turned("""SELECT w.recording_id, word_id, min(turn_index) FILTER (WHERE t.start_us <= w.start_us AND t.end_us >= w.end_us) AS turn_index FROM words w JOIN turns t ON w.recording_id = t.recording_id AND w.end_us > t.start_us
   AND w.start_us < t.end_us GROUP BY ALL HAVING count(*) FILTER (WHERE t.start_us <= w.start_us AND t.end_us >= w.end_us) = 1 AND count(DISTINCT t.speaker_id) = 1""", WORDS))
 def _(spark, sf):
-    return L.word_owners(words(spark, sf), turns(spark, sf))
+    t = settled(turns(spark, sf).select("event_id", "recording_id", "turn_index", "speaker_id", "start_us", "end_us"))
+    return sweeps.word_owners(words_of(t), t)
 
 
 @query("j13_safe_walls", turned("SELECT recording_id, turn_index, wall_before_us, wall_after_us FROM walls", WALLS))
